@@ -24,23 +24,25 @@ def running_sums(
     """
     if slot_rows <= 0:
         raise ValueError("slot_rows must be positive")
-    slotted = df.withColumn("_slot", F.floor(F.col(order) / slot_rows))
-    totals = slotted.groupBy(key, "_slot").agg(
+    # A struct of the key is never null, so rows with a null key join like others.
+    slotted = df.withColumn("_key", F.struct(key)).withColumn(
+        "_slot", F.floor(F.col(order) / slot_rows)
+    )
+    totals = slotted.groupBy("_key", "_slot").agg(
         *(F.sum(c).alias(f"_total_{name}") for name, c in sums.items())
     )
-    earlier = W.partitionBy(key).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_key").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     before = totals.select(
-        F.col(key).alias("_key"),
-        F.col("_slot").alias("_slot_before"),
+        "_key",
+        "_slot",
         *(
             F.coalesce(F.sum(f"_total_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}")
             for name in sums
         ),
     )
-    inside = W.partitionBy(key, "_slot").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("_key", "_slot").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     within = slotted.select("*", *(F.sum(c).over(inside).alias(f"_in_{n}") for n, c in sums.items()))
-    same_slot = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slot") == F.col("_slot_before"))
-    return within.join(before, same_slot).select(
+    return within.join(before, ["_key", "_slot"]).select(
         *df.columns,
         *(
             (F.col(f"_before_{n}") + F.coalesce(F.col(f"_in_{n}"), F.lit(0))).alias(n)
