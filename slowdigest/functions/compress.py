@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from slowdigest.functions.text import BLANK, DIGIT
+from slowdigest.functions.text import BLANK, DIGIT, replace
 
 _B = f"[{BLANK}]"
 
 # What is shortened and to what, in this order.
 COMPRESSION_STEPS = (
     (f"{_B}++", " "),
-    (rf"(?iu)IN{_B}*+\([^)]++\)", "IN (...)"),
-    (rf"(?iu)VALUES{_B}*+\([^)]++\)", "VALUES (...)"),
-    (rf"(?iu)CASE{_B}++WHEN.+?END", "CASE ... END"),
+    (rf"IN{_B}*+\([^)]++\)", "IN (...)"),
+    (rf"VALUES{_B}*+\([^)]++\)", "VALUES (...)"),
+    (rf"CASE{_B}++WHEN.+?END", "CASE ... END"),
     (r"'[^']{100,}+'", "'...'"),
     (rf"(?<!{DIGIT}){DIGIT}++(?:{_B}*+,{_B}*+{DIGIT}++){{5,}}+", "..."),
-    (r"(?iu)ORDER BY(?:[^,]*+,){5}+,*+", "ORDER BY ..."),
-    (r"(?iu)GROUP BY(?:[^,]*+,){5}+,*+", "GROUP BY ..."),
+    (r"ORDER BY(?:[^,]*+,){5}+,*+", "ORDER BY ..."),
+    (r"GROUP BY(?:[^,]*+,){5}+,*+", "GROUP BY ..."),
 )
 # Fixed value: a shortened statement is kept when at most this share of its bytes is left.
 MAX_SHARE = 0.5
@@ -27,7 +27,7 @@ MAX_SHARE = 0.5
 def shorten(c: Column) -> Column:
     """All steps, whatever they save."""
     for pattern, replacement in COMPRESSION_STEPS:
-        c = F.regexp_replace(c, pattern, replacement)
+        c = replace(c, pattern, replacement, "i")
     return c
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from slowdigest.functions.text import BLANK, DIGIT, WORD
+from slowdigest.functions.text import BLANK, DIGIT, WORD, extract, replace
 
 # A statement part counts as SQL when it contains one of these.
 STATEMENT_KEYWORDS = (
@@ -31,36 +31,37 @@ STATEMENT_KEYWORDS = (
 REQUEST_LABELS = ("REMOTE_ADDR", "URL", "Host")
 
 _B = f"[{BLANK}]"
-_SET_TIMESTAMP = rf"(?iu)SET{_B}++timestamp{_B}*+={_B}*+{DIGIT}++{_B}*+;?+{_B}*+"
-_USE = rf"(?iu)\Ause{_B}++[{WORD}]++{_B}*+;?+{_B}*+"
+_SET_TIMESTAMP = rf"SET{_B}++timestamp{_B}*+={_B}*+{DIGIT}++{_B}*+;?+{_B}*+"
+_USE = rf"\Ause{_B}++[{WORD}]++{_B}*+;?+{_B}*+"
 _REQUEST_COMMENT = (
-    rf"(?iu)--{_B}*+(?:{'|'.join(REQUEST_LABELS)}){_B}*+:"
+    rf"--{_B}*+(?:{'|'.join(REQUEST_LABELS)}){_B}*+:"
     rf"(?:{_B}*+(?!--|SELECT)[^;{BLANK}])*+"
     rf"(?={_B}*+(?:--|SELECT|\z))"
 )
 _LAST_STATEMENT = (
-    rf"(?isu)\A(?:.*;)?{_B}*+"
+    rf"\A(?:.*;)?{_B}*+"
     rf"([^;]*?(?:{'|'.join(STATEMENT_KEYWORDS)})(?:[^;]*[^;{BLANK}])?)"
 )
-_NUMBER = rf"(?<![{WORD}]){DIGIT}++(?![{WORD}])"
+# The test for a word character in front comes after the digit: it then runs at digits only.
+_NUMBER = rf"{DIGIT}(?<![{WORD}]{DIGIT}){DIGIT}*+(?![{WORD}])"
 _QUOTED = r""""[^"]*+"|'[^']*+'"""
-_OPEN_IN = rf"(?iu)IN{_B}*+\([^)]*+\z"
-_CLOSED_IN = rf"(?iu)IN{_B}*+\([^)]++\)"
+# Both cases of I and N, with the dotted and dotless forms that fold to them.
+_IN_LIST = rf"[Ii\u0130\u0131][Nn]{_B}*+\((?:[^)]++\)|[^)]*+\z)"
 
 
 def strip_set_timestamp(c: Column) -> Column:
     """Remove every ``SET timestamp=n;``."""
-    return F.regexp_replace(c, _SET_TIMESTAMP, "")
+    return replace(c, _SET_TIMESTAMP, "", "i")
 
 
 def strip_use(c: Column) -> Column:
     """Remove a leading ``use db;`` with a plain database name."""
-    return F.regexp_replace(c, _USE, "")
+    return replace(c, _USE, "", "i")
 
 
 def strip_request_comments(c: Column) -> Column:
     """Remove ``-- URL: …`` style comments up to the next comment, SELECT or end."""
-    return F.regexp_replace(c, _REQUEST_COMMENT, "")
+    return replace(c, _REQUEST_COMMENT, "", "i")
 
 
 def strip_meta(c: Column) -> Column:
@@ -73,21 +74,21 @@ def last_statement(c: Column) -> Column:
 
     The split ignores quoting: a ``;`` inside a literal cuts too.
     """
-    return F.regexp_extract(c, _LAST_STATEMENT, 1)
+    return extract(c, _LAST_STATEMENT, 1, "is")
 
 
 def collapse_blanks(c: Column) -> Column:
-    return F.regexp_replace(c, f"{_B}++", " ")
+    return replace(c, f"{_B}++", " ")
 
 
 def mask_numbers(c: Column) -> Column:
     """Whole digit runs become ``?``; digits inside identifiers stay."""
-    return F.regexp_replace(c, _NUMBER, "?")
+    return replace(c, _NUMBER, "?")
 
 
 def mask_strings(c: Column) -> Column:
     """Quoted text becomes ``?``; an unbalanced quote stays."""
-    return F.regexp_replace(c, _QUOTED, "?")
+    return replace(c, _QUOTED, "?")
 
 
 def fold_in_lists(c: Column) -> Column:
@@ -96,7 +97,7 @@ def fold_in_lists(c: Column) -> Column:
     There is deliberately no word boundary before ``IN``: ``min(a)`` is folded
     too, and fingerprints depend on it.
     """
-    return F.regexp_replace(F.regexp_replace(c, _OPEN_IN, "IN (...)"), _CLOSED_IN, "IN (...)")
+    return replace(c, _IN_LIST, "IN (...)")
 
 
 def normalize_query(c: Column) -> Column:

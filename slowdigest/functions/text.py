@@ -1,7 +1,8 @@
-"""Character classes and line helpers shared by the parser and the normaliser.
+"""Regex helpers and character classes shared by the parser and the normaliser.
 
-The classes are written out instead of using ``\\s``, ``\\w`` and ``\\d`` so that
-Java's regex engine treats every script the same way, without flags.
+All patterns run with Java's ``(?U)``, so that blanks and letters of every script
+count.  ``BLANK`` adds the four separators that Unicode text handling strips too
+but ``\\s`` leaves out.
 """
 
 from __future__ import annotations
@@ -9,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The blanks that Unicode text handling strips, as regex class bodies.
-BLANK = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-BLANK_IN_LINE = r"\t\x0b-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Class bodies, to be put between [ and ].
+BLANK = r"\s\x1c-\x1f"
+BLANK_IN_LINE = r"\s\x1c-\x1f&&[^\n]"
 WORD = r"\p{L}\p{N}_"
 DIGIT = r"\p{Nd}"
 
@@ -19,17 +20,35 @@ DIGIT = r"\p{Nd}"
 LINE_START = rf"\n[{BLANK_IN_LINE}]*+"
 
 
+def replace(c: Column, pattern: str, by: str, flags: str = "") -> Column:
+    return F.regexp_replace(c, f"(?U{flags}){pattern}", by)
+
+
+def extract(c: Column, pattern: str, group: int, flags: str = "") -> Column:
+    return F.regexp_extract(c, f"(?U{flags}){pattern}", group)
+
+
+def like(c: Column, pattern: str, flags: str = "") -> Column:
+    return F.regexp_like(c, F.lit(f"(?U{flags}){pattern}"))
+
+
 def strip(c: Column) -> Column:
     """Remove blanks at both ends; text of blanks only becomes ''."""
-    return F.regexp_extract(c, rf"(?s)\A[{BLANK}]*+(.*[^{BLANK}])", 1)
+    return extract(c, rf"\A[{BLANK}]*+(.*[^{BLANK}])", 1, "s")
 
 
 def join_lines(c: Column) -> Column:
-    """Strip every line, drop blank lines and join the rest with one space."""
+    """Strip every line, drop blank lines and join the rest with one space.
+
+    ``c`` is read more than once and should be a plain column.
+    """
+    # Blanks in front of a newline are rare; the pattern that takes them has to
+    # look at every character, so it runs only where they occur.
+    trailing = like(c, rf"\n(?<=[{BLANK_IN_LINE}]\n)")
     # The look-behind starts a match only where a run of blanks begins, which
     # keeps long runs linear.
-    breaks = rf"(?<![{BLANK}])[{BLANK_IN_LINE}]*+\n[{BLANK}]*+"
-    return strip(F.regexp_replace(c, breaks, " "))
+    thorough = replace(c, rf"(?<![{BLANK}])[{BLANK_IN_LINE}]*+\n[{BLANK}]*+", " ")
+    return strip(F.when(trailing, thorough).otherwise(replace(c, rf"\n[{BLANK}]*+", " ")))
 
 
 def first_line(c: Column) -> Column:
@@ -38,7 +57,7 @@ def first_line(c: Column) -> Column:
 
 def after_first_line(c: Column) -> Column:
     """Everything from the first newline on, newline included; '' if there is none."""
-    return F.regexp_extract(c, r"(?s)\n.*", 0)
+    return extract(c, r"\n.*", 0, "s")
 
 
 def last_group(c: Column, line: str, group: int = 1) -> Column:
@@ -47,4 +66,4 @@ def last_group(c: Column, line: str, group: int = 1) -> Column:
     ``c`` must start with a newline; ``line`` is a regex that starts at a line
     start and must not cross one.  The greedy prefix makes the last line win.
     """
-    return F.regexp_extract(c, rf"(?s)\A.*{line}", group)
+    return extract(c, rf"\A.*{line}", group, "s")

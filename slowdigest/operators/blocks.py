@@ -7,6 +7,9 @@ the block, so scan, split and parse run in one stage without a shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +20,12 @@ from slowdigest.functions.text import (
     LINE_START,
     WORD,
     after_first_line,
+    extract,
     first_line,
     join_lines,
     last_group,
-    strip,
+    like,
+    replace,
 )
 
 PROFILES = ("modular", "single_file")
@@ -32,9 +37,14 @@ SERVER_LINE_MARKS = (
     r"Tcp port:",
     rf"Time[{BLANK_IN_LINE}]+Id Command[{BLANK_IN_LINE}]+Argument",
 )
+# A text without any of these has no such line.
+_SERVER_LINE_HINTS = ("Version: 8.0.28", "started with:", "Tcp port:", "Id Command")
 
 # Shapes of a marker line's timestamp: ISO, the older "yymmdd hh:mm:ss", epoch millis.
-_TIMESTAMP_SHAPE = r"\A(?:\d{4}-\d{2}-\d{2}|\d{6} +\d{1,2}:\d{2}:\d{2}|\d{10,}\z)"
+_TIMESTAMP_SHAPE = (
+    rf"\A[{BLANK_IN_LINE}]*+"
+    r"(?:\d{4}-\d{2}-\d{2}|\d{6} +\d{1,2}:\d{2}:\d{2}|\d{10,}(?:\s|\z))"
+)
 
 _HB = f"[{BLANK_IN_LINE}]"
 _TIMES = rf"Query_time:{_HB}*([0-9]+\.?[0-9]*){_HB}+Lock_time:{_HB}*([0-9]+\.?[0-9]*)"
@@ -46,6 +56,26 @@ _USER_LOOSE = rf"# User@Host: ([{WORD}]+)(?:\[[^\]\n]+\])*{_HB}*@{_HB}*([^{BLANK
 _USER_STRICT = rf"# User@Host:{_HB}*([{WORD}]+)\[[{WORD}]+\]{_HB}*@{_HB}*([{WORD}.\-]+)"
 
 
+# The common head of a block, in one anchored pass: time, name, host, query time,
+# lock time, rows sent, rows examined.  It admits only what the line rules would
+# read the same way.  What follows the fields is the statement, line by line.
+_COMMON_FIELDS = "$1\t$2\t$3\t$4\t$5\t$6\t$7\t$8"
+
+
+def _common_head(keep_set_timestamp: bool) -> str:
+    number = r"[0-9]++(?:\.[0-9]*+)?"
+    skipped = "" if keep_set_timestamp else r"(?:\nSET timestamp=[^\n]*+)?"
+    # A "use" line may stand in front of the skipped one and is kept.
+    use = r"((?:\nuse [^\n]*+)?)"
+    return (
+        r"\A\x20?([!-~]++(?:\x20++[!-~]++)?)\n"
+        rf"# User@Host: ([{WORD}]++)\[[{WORD}]++\] @ ([{WORD}.\-]++)"
+        r"\x20*+(?:\[[0-9a-fA-F.:]*+\])?\x20*+(?:Id:\x20*+[0-9]++)?\x20*+\n"
+        rf"# Query_time: ({number})\x20++Lock_time: ({number})"
+        rf"\x20++Rows_sent: ([0-9]++)\x20++Rows_examined: ([0-9]++)(?=\n){use}{skipped}"
+    )
+
+
 def check_profile(profile: str) -> None:
     if profile not in PROFILES:
         raise ValueError(f"profile must be one of {PROFILES}, not {profile!r}")
@@ -68,16 +98,19 @@ def split_blocks(
     check_profile(profile)
     # Lines are stripped before the marker test, except in the single_file profile.
     indent = f"[{BLANK_IN_LINE}]*+" if profile == "modular" else ""
-    pieces = F.split(F.col(text_col), rf"(?:\A|\n){indent}# Time:")
-    others = [c for c in df.columns if c != text_col]
-    cut = df.select(*others, F.posexplode(pieces).alias("pos", "block"))
+    text = F.col(text_col)
+    pieces = F.split(text, rf"(?U)(?:\A|\n){indent}# Time:")
     if marker_consumed:
-        leads = F.regexp_like(first_line(F.col("block")), F.lit(_TIMESTAMP_SHAPE))
+        # Only indented markers and one that starts a file are left to cut at.
+        pieces = F.when(F.contains(text, F.lit("# Time:")), pieces).otherwise(F.array(text))
+        leads = like(F.substring("block", 1, 64), _TIMESTAMP_SHAPE)
     else:
         leads = F.lit(False)
-    # A leading piece carries no marker line: blank ones are no blocks at all.
-    blank = (F.col("pos") == 0) & ~F.regexp_like("block", F.lit(rf"[^{BLANK}]"))
-    return cut.filter(~blank).select(
+    others = [c for c in df.columns if c != text_col]
+    cut = df.select(*others, F.posexplode(pieces).alias("pos", "block"))
+    # A leading piece carries no marker line: a blank one is no block at all.
+    filled = like(F.substring("block", 1, 64), f"[^{BLANK}]") | like(F.col("block"), f"[^{BLANK}]")
+    return cut.filter((F.col("pos") > 0) | filled).select(
         *others, ((F.col("pos") > 0) | leads).alias("has_time"), "block"
     )
 
@@ -124,12 +157,14 @@ def compress_blocks(df: DataFrame, max_bytes: int) -> DataFrame:
 def _to_timestamp(raw: Column) -> Column:
     old = F.regexp_replace(raw, " +", " ")
     return F.coalesce(
+        F.when(~F.regexp_like(raw, F.lit(r"\A\d{6,}(?: |\z)")), raw.try_cast("timestamp")),
+        F.try_to_timestamp(
+            F.when(F.regexp_like(old, F.lit(r"\A\d{6} ")), old), F.lit("yyMMdd H:mm:ss")
+        ),
         F.when(
             F.regexp_like(raw, F.lit(r"\A\d{10,}\z")),
             F.timestamp_millis(raw.try_cast("bigint")),
         ),
-        F.try_to_timestamp(F.when(old.rlike(r"\A\d{6} "), old), F.lit("yyMMdd H:mm:ss")),
-        raw.try_cast("timestamp"),
     )
 
 
@@ -165,32 +200,48 @@ def parse_blocks(
         return (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
 
     timed = F.col("has_time")
-    rest = F.when(timed, after_first_line(F.col("block"))).otherwise(
-        F.concat(F.lit("\n"), F.col("block"))
-    )
-    if drop_preamble:
-        rest = F.regexp_replace(rest, rf"\n[^\n]*?(?:{'|'.join(SERVER_LINE_MARKS)})[^\n]*+", "")
     base = df.select(
         given("instance_id", "string"),
         given("source_file", "string"),
         given("split_start", "bigint"),
-        F.when(timed, first_line(F.col("block"))).alias("timestamp_raw"),
-        rest.alias("_lines"),
+        "has_time",
+        "block",
+        replace(F.when(timed, F.col("block")), _common_head(single), _COMMON_FIELDS).alias("_cut"),
         *others,
+    ).withColumn("_field", F.split("_cut", "\t", 8))
+    # The common shape holds if the head was replaced and the statement has nothing
+    # that the line rules below could drop.  Everything else takes those rules.
+    body = F.element_at("_field", -1)
+    odd = ["#"] + ([] if single else ["SET timestamp="])
+    odd += _SERVER_LINE_HINTS if drop_preamble else ()
+    common = (F.col("_cut") != F.col("block")) & ~reduce(
+        or_, (F.contains(body, F.lit(text)) for text in odd)
+    )
+    base = base.withColumn("_common", F.coalesce(common, F.lit(False)))
+    rest = F.when(timed, after_first_line(F.col("block"))).otherwise(
+        F.concat(F.lit("\n"), F.col("block"))
     )
+    if drop_preamble:
+        rest = replace(rest, rf"\n[^\n]*?(?:{'|'.join(SERVER_LINE_MARKS)})[^\n]*+", "")
+    base = base.withColumn("_lines", F.when(~F.col("_common"), rest))
 
     dropped = "#" if single else "(?:#|SET timestamp=)"
-    # Header lines only: the last-line-wins searches below then skip the statement.
-    header = F.regexp_replace("_lines", rf"{LINE_START}(?!#)[^\n]*+", "")
-    query = join_lines(F.regexp_replace("_lines", rf"{LINE_START}{dropped}[^\n]*+", ""))
-    cut = base.select("*", header.alias("_head"), query.alias("query")).drop("_lines")
+    statement = F.when(F.col("_common"), body).otherwise(
+        replace(F.col("_lines"), rf"{LINE_START}{dropped}[^\n]*+", "")
+    )
+    cut = base.select(
+        "*",
+        # Header lines only: the last-line-wins searches below then skip the statement.
+        replace(F.col("_lines"), rf"{LINE_START}(?!#)[^\n]*+", "").alias("_head"),
+        statement.alias("_statement"),
+    )
 
     head = F.col("_head")
     if single:
         shapes = (_USER_STRICT,)
         user = _line(f"(?:{_USER_STRICT})", starts="# User@Host:")
         times = _line(_TIMES, starts="# Query_time:")
-        rows = _line(_ROWS, starts="# Rows_examined:")
+        row_line = _line(_ROWS, starts="# Rows_examined:")
         # A Query_time line without indent takes precedence over an indented one.
         flush_left = last_group(head, _line(_TIMES, starts="# Query_time:", indent=False))
         query_time = F.coalesce(F.nullif(flush_left, F.lit("")), last_group(head, times))
@@ -198,11 +249,11 @@ def parse_blocks(
         shapes = (_USER_PLAIN, _USER_LOOSE)
         user = _line(f"(?:{_USER_PLAIN}|{_USER_LOOSE})")
         times = _line(_TIMES, unless=("User@Host:",))
-        rows = _line(_ROWS, unless=("User@Host:", _TIMES_ANY))
+        row_line = _line(_ROWS, unless=("User@Host:", _TIMES_ANY))
         query_time = last_group(head, times)
     lock_time = last_group(head, times, 2)
     if single or compat_rows:
-        examined, sent = last_group(head, rows), last_group(head, rows, 2)
+        examined, sent = last_group(head, row_line), last_group(head, row_line, 2)
     else:
         examined, sent = (
             last_group(head, _line(rf"{field}:{_HB}*([0-9]+)", unless=("User@Host:",)))
@@ -215,11 +266,42 @@ def parse_blocks(
 
     def user_part(group: int) -> Column:
         return F.coalesce(
-            *(F.nullif(F.regexp_extract("_user", s, group), F.lit("")) for s in shapes)
+            *(F.nullif(extract(F.col("_user"), s, group), F.lit("")) for s in shapes)
         )
 
-    raw = F.nullif(F.col("timestamp_raw"), F.lit(""))
-    return read.select(
+    def field(position: int, otherwise: Column) -> Column:
+        return F.when(F.col("_common"), F.element_at("_field", position)).otherwise(otherwise)
+
+    def number(c: Column, kind: str) -> Column:
+        return F.coalesce(c.try_cast(kind), F.lit(0).cast(kind))
+
+    # The common head has both counts on the Query_time line, where those two modes
+    # do not look.
+    rows_elsewhere = single or compat_rows
+
+    def rows(position: int, otherwise: Column) -> Column:
+        if rows_elsewhere:
+            return F.when(~F.col("_common"), otherwise)
+        return field(position, otherwise)
+
+    raw = field(1, F.when(timed, F.nullif(first_line(F.col("block")), F.lit(""))))
+    parsed = F.struct(
+        raw.alias("timestamp_raw"),
+        F.struct(
+            field(2, user_part(1)).alias("name"), field(3, user_part(2)).alias("host")
+        ).alias("user"),
+        number(field(4, query_time), "double").alias("query_time"),
+        number(field(5, lock_time), "double").alias("lock_time"),
+        number(rows(7, examined), "bigint").alias("rows_examined"),
+        number(rows(6, sent), "bigint").alias("rows_sent"),
+        join_lines(F.col("_statement")).alias("query"),
+    )
+    # A generator, unlike a projection, is not evaluated again for a filter on its
+    # results: the fields are computed once per block whatever comes after.
+    once = read.select(
+        "instance_id", "source_file", "split_start", *others, F.inline(F.array(parsed))
+    )
+    return once.select(
         "instance_id",
         "source_file",
         # The row number is taken after the split, so it orders blocks of one row too.
@@ -228,13 +310,13 @@ def parse_blocks(
             F.col("split_start").alias("start"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("seq"),
-        raw.alias("timestamp_raw"),
-        _to_timestamp(raw).alias("ts"),
-        F.struct(user_part(1).alias("name"), user_part(2).alias("host")).alias("user"),
-        F.coalesce(query_time.try_cast("double"), F.lit(0.0)).alias("query_time"),
-        F.coalesce(lock_time.try_cast("double"), F.lit(0.0)).alias("lock_time"),
-        F.coalesce(examined.try_cast("bigint"), F.lit(0)).cast("bigint").alias("rows_examined"),
-        F.coalesce(sent.try_cast("bigint"), F.lit(0)).cast("bigint").alias("rows_sent"),
+        "timestamp_raw",
+        _to_timestamp(F.col("timestamp_raw")).alias("ts"),
+        "user",
+        "query_time",
+        "lock_time",
+        "rows_examined",
+        "rows_sent",
         "query",
         *others,
     )
