@@ -59,11 +59,3 @@ def after_first_line(c: Column) -> Column:
     """Everything from the first newline on, newline included; '' if there is none."""
     return extract(c, r"\n.*", 0, "s")
 
-
-def last_group(c: Column, line: str, group: int = 1) -> Column:
-    """Capture from the last line of ``c`` that matches ``line``.
-
-    ``c`` must start with a newline; ``line`` is a regex that starts at a line
-    start and must not cross one.  The greedy prefix makes the last line win.
-    """
-    return extract(c, rf"\A.*{line}", group, "s")

@@ -20,10 +20,8 @@ from slowdigest.functions.text import (
     LINE_START,
     WORD,
     after_first_line,
-    extract,
     first_line,
     join_lines,
-    last_group,
     like,
     replace,
 )
@@ -56,23 +54,22 @@ _USER_LOOSE = rf"# User@Host: ([{WORD}]+)(?:\[[^\]\n]+\])*{_HB}*@{_HB}*([^{BLANK
 _USER_STRICT = rf"# User@Host:{_HB}*([{WORD}]+)\[[{WORD}]+\]{_HB}*@{_HB}*([{WORD}.\-]+)"
 
 
-# The common head of a block, in one anchored pass: time, name, host, query time,
-# lock time, rows sent, rows examined.  It admits only what the line rules would
-# read the same way.  What follows the fields is the statement, line by line.
-_COMMON_FIELDS = "$1\t$2\t$3\t$4\t$5\t$6\t$7\t$8"
-
-
 def _common_head(keep_set_timestamp: bool) -> str:
+    """The head that nearly every block has, for one anchored pass.
+
+    Groups: time, name, host, query time, lock time, rows sent, rows examined, and
+    a ``use`` line.  It admits only what the line rules would read the same way.
+    """
     number = r"[0-9]++(?:\.[0-9]*+)?"
     skipped = "" if keep_set_timestamp else r"(?:\nSET timestamp=[^\n]*+)?"
-    # A "use" line may stand in front of the skipped one and is kept.
-    use = r"((?:\nuse [^\n]*+)?)"
     return (
         r"\A\x20?([!-~]++(?:\x20++[!-~]++)?)\n"
         rf"# User@Host: ([{WORD}]++)\[[{WORD}]++\] @ ([{WORD}.\-]++)"
         r"\x20*+(?:\[[0-9a-fA-F.:]*+\])?\x20*+(?:Id:\x20*+[0-9]++)?\x20*+\n"
         rf"# Query_time: ({number})\x20++Lock_time: ({number})"
-        rf"\x20++Rows_sent: ([0-9]++)\x20++Rows_examined: ([0-9]++)(?=\n){use}{skipped}"
+        r"\x20++Rows_sent: ([0-9]++)\x20++Rows_examined: ([0-9]++)(?=\n)"
+        # A "use" line may stand in front of the skipped one and is kept.
+        rf"((?:\nuse [^\n]*+)?){skipped}"
     )
 
 
@@ -155,19 +152,21 @@ def compress_blocks(df: DataFrame, max_bytes: int) -> DataFrame:
 
 
 def _to_timestamp(raw: Column) -> Column:
-    old = F.regexp_replace(raw, " +", " ")
-    return F.coalesce(
-        F.when(~F.regexp_like(raw, F.lit(r"\A\d{6,}(?: |\z)")), raw.try_cast("timestamp")),
-        F.try_to_timestamp(
-            F.when(F.regexp_like(old, F.lit(r"\A\d{6} ")), old), F.lit("yyMMdd H:mm:ss")
-        ),
-        F.when(
-            F.regexp_like(raw, F.lit(r"\A\d{10,}\z")),
-            F.timestamp_millis(raw.try_cast("bigint")),
-        ),
+    """ISO times; else the older form or epoch milliseconds; null for other text."""
+    iso = F.substring(raw, 5, 1) == "-"
+    older = F.try_to_timestamp(F.regexp_replace(raw, " +", " "), F.lit("yyMMdd H:mm:ss"))
+    # Up to 15 digits, so that the conversion to microseconds cannot overflow.
+    millis = F.when(F.regexp_like(raw, F.lit(r"\A[0-9]{10,15}\z")), raw.try_cast("bigint"))
+    return F.when(iso, raw.try_cast("timestamp")).otherwise(
+        F.coalesce(older, F.timestamp_millis(millis))
     )
 
 
+def _last_line(head: Column, line: str, fields: str) -> Column:
+    """``fields`` (group references) from the last line that matches; '' where none does."""
+    return replace(head, rf"\A(?:.*(?:{line}))?.*+", fields, "s")
+
+
 def _line(body: str, *, starts: str = "#", unless: tuple[str, ...] = (), indent: bool = True) -> str:
     """Regex for a whole header line that starts with ``starts`` and holds ``body``."""
     start = LINE_START if indent else r"\n"
@@ -199,105 +198,93 @@ def parse_blocks(
     def given(name: str, kind: str) -> Column:
         return (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
 
-    timed = F.col("has_time")
+    timed, block = F.col("has_time"), F.col("block")
+    # Fields are cut out as one tab-separated text: name, host, query time, lock time,
+    # rows sent, rows examined, and for the common head also time and statement.
+    # The common head has its row counts on the Query_time line, where the
+    # single_file profile and compat_rows do not look.
+    counts = "0\t0" if single or compat_rows else "$6\t$7"
+    common_fields = f"$2\t$3\t$4\t$5\t{counts}\t$1\t$8"
     base = df.select(
         given("instance_id", "string"),
         given("source_file", "string"),
         given("split_start", "bigint"),
         "has_time",
         "block",
-        replace(F.when(timed, F.col("block")), _common_head(single), _COMMON_FIELDS).alias("_cut"),
+        replace(F.when(timed, block), _common_head(single), common_fields).alias("_cut"),
         *others,
-    ).withColumn("_field", F.split("_cut", "\t", 8))
-    # The common shape holds if the head was replaced and the statement has nothing
-    # that the line rules below could drop.  Everything else takes those rules.
-    body = F.element_at("_field", -1)
+    )
+    # The short way is right if the head was found and the statement has nothing in
+    # it that the line rules could drop.  Every other block takes those rules.
     odd = ["#"] + ([] if single else ["SET timestamp="])
     odd += _SERVER_LINE_HINTS if drop_preamble else ()
-    common = (F.col("_cut") != F.col("block")) & ~reduce(
-        or_, (F.contains(body, F.lit(text)) for text in odd)
-    )
-    base = base.withColumn("_common", F.coalesce(common, F.lit(False)))
-    rest = F.when(timed, after_first_line(F.col("block"))).otherwise(
-        F.concat(F.lit("\n"), F.col("block"))
-    )
+    plain = ~reduce(or_, (F.contains("_cut", F.lit(text)) for text in odd))
+    common = F.coalesce((F.col("_cut") != block) & plain, F.lit(False))
+    rest = F.when(timed, after_first_line(block)).otherwise(F.concat(F.lit("\n"), block))
     if drop_preamble:
         rest = replace(rest, rf"\n[^\n]*?(?:{'|'.join(SERVER_LINE_MARKS)})[^\n]*+", "")
-    base = base.withColumn("_lines", F.when(~F.col("_common"), rest))
-
-    dropped = "#" if single else "(?:#|SET timestamp=)"
-    statement = F.when(F.col("_common"), body).otherwise(
-        replace(F.col("_lines"), rf"{LINE_START}{dropped}[^\n]*+", "")
-    )
-    cut = base.select(
-        "*",
-        # Header lines only: the last-line-wins searches below then skip the statement.
-        replace(F.col("_lines"), rf"{LINE_START}(?!#)[^\n]*+", "").alias("_head"),
-        statement.alias("_statement"),
-    )
+    base = base.withColumn("_common", common).withColumn("_lines", F.when(~common, rest))
 
+    # Header lines only: the last-line-wins searches then skip the statement.
+    head = replace(F.col("_lines"), rf"{LINE_START}(?!#)[^\n]*+", "")
+    base = base.withColumn("_head", head)
     head = F.col("_head")
     if single:
-        shapes = (_USER_STRICT,)
-        user = _line(f"(?:{_USER_STRICT})", starts="# User@Host:")
-        times = _line(_TIMES, starts="# Query_time:")
-        row_line = _line(_ROWS, starts="# Rows_examined:")
+        users = _line(_USER_STRICT, starts="# User@Host:")
+        user = _last_line(head, users, "$1\t$2")
+        indented = _line(_TIMES, starts="# Query_time:")
         # A Query_time line without indent takes precedence over an indented one.
-        flush_left = last_group(head, _line(_TIMES, starts="# Query_time:", indent=False))
-        query_time = F.coalesce(F.nullif(flush_left, F.lit("")), last_group(head, times))
+        flush_left = _line(_TIMES, starts="# Query_time:", indent=False)
+        times = F.concat(
+            replace(head, rf"\A(?:.*{flush_left}|.*{indented})?.*+", "$1$3\t", "s"),
+            _last_line(head, indented, "$2"),
+        )
+        row_line = _line(_ROWS, starts="# Rows_examined:")
     else:
-        shapes = (_USER_PLAIN, _USER_LOOSE)
-        user = _line(f"(?:{_USER_PLAIN}|{_USER_LOOSE})")
-        times = _line(_TIMES, unless=("User@Host:",))
+        # On one line the plain shape goes before the loose one.
+        users = rf"{_line(_USER_PLAIN)}|{_line(_USER_LOOSE)}"
+        user = _last_line(head, users, "$1$3\t$2$4")
+        times = _last_line(head, _line(_TIMES, unless=("User@Host:",)), "$1\t$2")
         row_line = _line(_ROWS, unless=("User@Host:", _TIMES_ANY))
-        query_time = last_group(head, times)
-    lock_time = last_group(head, times, 2)
     if single or compat_rows:
-        examined, sent = last_group(head, row_line), last_group(head, row_line, 2)
+        rows = _last_line(head, row_line, "$2\t$1")
     else:
-        examined, sent = (
-            last_group(head, _line(rf"{field}:{_HB}*([0-9]+)", unless=("User@Host:",)))
-            for field in ("Rows_examined", "Rows_sent")
+        sent, examined = (
+            _last_line(head, _line(rf"{name}:{_HB}*([0-9]+)", unless=("User@Host:",)), "$1")
+            for name in ("Rows_sent", "Rows_examined")
         )
-    # The whole last line that names a user; its parts are read from it below.
-    user_line = last_group(head, rf"((?={user}){LINE_START}[^\n]*)")
-
-    read = cut.select("*", user_line.alias("_user"))
-
-    def user_part(group: int) -> Column:
-        return F.coalesce(
-            *(F.nullif(extract(F.col("_user"), s, group), F.lit("")) for s in shapes)
-        )
-
-    def field(position: int, otherwise: Column) -> Column:
-        return F.when(F.col("_common"), F.element_at("_field", position)).otherwise(otherwise)
-
-    def number(c: Column, kind: str) -> Column:
-        return F.coalesce(c.try_cast(kind), F.lit(0).cast(kind))
+        rows = F.concat(sent, F.lit("\t"), examined)
+    by_rules = F.concat(user, F.lit("\t"), times, F.lit("\t"), rows)
+    fields = F.split(F.when(F.col("_common"), F.col("_cut")).otherwise(by_rules), "\t", 8)
 
-    # The common head has both counts on the Query_time line, where those two modes
-    # do not look.
-    rows_elsewhere = single or compat_rows
+    dropped = "#" if single else "(?:#|SET timestamp=)"
+    statement = F.when(F.col("_common"), F.element_at("_field", 8)).otherwise(
+        replace(F.col("_lines"), rf"{LINE_START}{dropped}[^\n]*+", "")
+    )
+    at = F.when(F.col("_common"), F.element_at("_field", 7)).otherwise(
+        F.when(timed, first_line(block))
+    )
 
-    def rows(position: int, otherwise: Column) -> Column:
-        if rows_elsewhere:
-            return F.when(~F.col("_common"), otherwise)
-        return field(position, otherwise)
+    def number(position: int, kind: str) -> Column:
+        return F.coalesce(F.element_at("_field", position).try_cast(kind), F.lit(0).cast(kind))
 
-    raw = field(1, F.when(timed, F.nullif(first_line(F.col("block")), F.lit(""))))
     parsed = F.struct(
-        raw.alias("timestamp_raw"),
-        F.struct(
-            field(2, user_part(1)).alias("name"), field(3, user_part(2)).alias("host")
-        ).alias("user"),
-        number(field(4, query_time), "double").alias("query_time"),
-        number(field(5, lock_time), "double").alias("lock_time"),
-        number(rows(7, examined), "bigint").alias("rows_examined"),
-        number(rows(6, sent), "bigint").alias("rows_sent"),
+        at.alias("timestamp_raw"),
+        F.element_at("_field", 1).alias("_name"),
+        F.element_at("_field", 2).alias("_host"),
+        number(3, "double").alias("query_time"),
+        number(4, "double").alias("lock_time"),
+        number(5, "bigint").alias("rows_sent"),
+        number(6, "bigint").alias("rows_examined"),
         join_lines(F.col("_statement")).alias("query"),
     )
+    read = base.withColumn("_field", fields).withColumn("_statement", statement)
+
     # A generator, unlike a projection, is not evaluated again for a filter on its
     # results: the fields are computed once per block whatever comes after.
+    def given_text(name: str) -> Column:
+        return F.nullif(F.col(name), F.lit(""))
+
     once = read.select(
         "instance_id", "source_file", "split_start", *others, F.inline(F.array(parsed))
     )
@@ -310,9 +297,9 @@ def parse_blocks(
             F.col("split_start").alias("start"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("seq"),
-        "timestamp_raw",
+        given_text("timestamp_raw").alias("timestamp_raw"),
         _to_timestamp(F.col("timestamp_raw")).alias("ts"),
-        "user",
+        F.struct(given_text("_name").alias("name"), given_text("_host").alias("host")).alias("user"),
         "query_time",
         "lock_time",
         "rows_examined",
