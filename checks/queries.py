@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.render import INSTANCE, PREFIX, events, log_blocks, statement, write_logs
+from checks.render import INSTANCE, PREFIX, events, log_blocks, statement, table, write_logs
 from slowdigest.functions import normalize as N
 from slowdigest.operators import batches, chunks, series
 from slowdigest.operators.blocks import compress_blocks, parse_blocks, split_blocks
@@ -122,7 +122,7 @@ def _chunk_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 # ---------------------------------------------------------------- output shapes
@@ -330,14 +330,23 @@ def _exploded_pages(documents: DataFrame) -> DataFrame:
     ).select("query_hash", "execution_count", "page", "pos", _naive("ts").alias("ts"))
 
 
+def _stored(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """Records written and read back: several rollups then share one parsing pass."""
+    path = f"{scratch(spark)}/records"
+    records.write.parquet(path)
+    return spark.read.schema(records.schema).parquet(path)
+
+
 def q_digest_documents(spark, sf):
-    records = _fingerprinted(spark, sf)
+    records = _stored(spark, _fingerprinted(spark, sf))
     return _exploded_pages(digest_documents(digest(records), occurrences(records), page_size=PAGE))
 
 
 def q_digest_documents_arrival(spark, sf):
     logs = _written_logs(spark, sf, sort=True)
-    records = with_fingerprint(validate(parse_blocks(read_slow_log(spark, logs, INSTANCE))))
+    records = _stored(
+        spark, with_fingerprint(validate(parse_blocks(read_slow_log(spark, logs, INSTANCE))))
+    )
     return _exploded_pages(
         digest_documents(
             digest(records, order="arrival"),
@@ -378,32 +387,27 @@ def q_digest_stats(spark, sf):
 def q_upsert_actions(spark, sf):
     """The JSON actions, read back field by field."""
     actions = to_upsert_actions(_fingerprinted(spark, sf))
-    fields = {
-        "op_type": "$._op_type",
-        "index_name": "$._index",
-        "id": "$._id",
-        "param_timestamp": "$.script.params.timestamp",
-        "param_query_time": "$.script.params.query_time",
-        "query": "$.upsert.query",
-        "normalized_query": "$.upsert.normalized_query",
-        "user_name": "$.upsert.user.name",
-        "rows_examined": "$.upsert.rows_examined",
-        "execution_count": "$.upsert.execution_count",
-        "timestamps": "$.upsert.timestamps[0]",
-        "last_seen": "$.upsert.last_seen",
-        "retries": "$.retry_on_conflict",
-    }
-    kinds = {
-        "param_query_time": "double",
-        "rows_examined": "bigint",
-        "execution_count": "bigint",
-        "retries": "bigint",
-    }
-    return actions.select(
-        *(
-            F.get_json_object("value", path).cast(kinds.get(name, "string")).alias(name)
-            for name, path in fields.items()
-        )
+    shape = (
+        "_op_type string, _index string, _id string, retry_on_conflict bigint, "
+        "script struct<params: struct<timestamp: string, query_time: double>>, "
+        "upsert struct<query: string, normalized_query: string, user: struct<name: string>, "
+        "rows_examined: bigint, execution_count: bigint, timestamps: array<string>, "
+        "last_seen: string>"
+    )
+    return actions.select(F.from_json("value", shape).alias("a")).select(
+        F.col("a._op_type").alias("op_type"),
+        F.col("a._index").alias("index_name"),
+        F.col("a._id").alias("id"),
+        F.col("a.script.params.timestamp").alias("param_timestamp"),
+        F.col("a.script.params.query_time").alias("param_query_time"),
+        F.col("a.upsert.query").alias("query"),
+        F.col("a.upsert.normalized_query").alias("normalized_query"),
+        F.col("a.upsert.user.name").alias("user_name"),
+        F.col("a.upsert.rows_examined").alias("rows_examined"),
+        F.col("a.upsert.execution_count").alias("execution_count"),
+        F.col("a.upsert.timestamps")[0].alias("timestamps"),
+        F.col("a.upsert.last_seen").alias("last_seen"),
+        F.col("a.retry_on_conflict").alias("retries"),
     )
 
 

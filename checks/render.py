@@ -31,8 +31,15 @@ STATEMENTS = (
 )
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table, spread over the cores if its files give fewer partitions than that."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return table(spark, sf_dir, "events")
 
 
 def statement() -> Column:
