@@ -174,6 +174,39 @@ def _line(body: str, *, starts: str = "#", unless: tuple[str, ...] = (), indent:
     return rf"{start}(?={starts}){skips}[^\n]*?{body}"
 
 
+def _fields_by_rules(head: Column, single: bool, compat_rows: bool) -> Column:
+    """Name, host, query time, lock time, rows sent and rows examined, tab-separated.
+
+    ``head`` holds header lines only; of several lines with a field the last counts.
+    """
+    if single:
+        users = _line(_USER_STRICT, starts="# User@Host:")
+        user = _last_line(head, users, "$1\t$2")
+        indented = _line(_TIMES, starts="# Query_time:")
+        # A Query_time line without indent takes precedence over an indented one.
+        flush_left = _line(_TIMES, starts="# Query_time:", indent=False)
+        times = F.concat(
+            replace(head, rf"\A(?:.*{flush_left}|.*{indented})?.*+", "$1$3\t", "s"),
+            _last_line(head, indented, "$2"),
+        )
+        row_line = _line(_ROWS, starts="# Rows_examined:")
+    else:
+        # On one line the plain shape goes before the loose one.
+        users = rf"{_line(_USER_PLAIN)}|{_line(_USER_LOOSE)}"
+        user = _last_line(head, users, "$1$3\t$2$4")
+        times = _last_line(head, _line(_TIMES, unless=("User@Host:",)), "$1\t$2")
+        row_line = _line(_ROWS, unless=("User@Host:", _TIMES_ANY))
+    if single or compat_rows:
+        rows = _last_line(head, row_line, "$2\t$1")
+    else:
+        sent, examined = (
+            _last_line(head, _line(rf"{name}:{_HB}*([0-9]+)", unless=("User@Host:",)), "$1")
+            for name in ("Rows_sent", "Rows_examined")
+        )
+        rows = F.concat(sent, F.lit("\t"), examined)
+    return F.concat(user, F.lit("\t"), times, F.lit("\t"), rows)
+
+
 def parse_blocks(
     df: DataFrame,
     *,
@@ -228,33 +261,7 @@ def parse_blocks(
     # Header lines only: the last-line-wins searches then skip the statement.
     head = replace(F.col("_lines"), rf"{LINE_START}(?!#)[^\n]*+", "")
     base = base.withColumn("_head", head)
-    head = F.col("_head")
-    if single:
-        users = _line(_USER_STRICT, starts="# User@Host:")
-        user = _last_line(head, users, "$1\t$2")
-        indented = _line(_TIMES, starts="# Query_time:")
-        # A Query_time line without indent takes precedence over an indented one.
-        flush_left = _line(_TIMES, starts="# Query_time:", indent=False)
-        times = F.concat(
-            replace(head, rf"\A(?:.*{flush_left}|.*{indented})?.*+", "$1$3\t", "s"),
-            _last_line(head, indented, "$2"),
-        )
-        row_line = _line(_ROWS, starts="# Rows_examined:")
-    else:
-        # On one line the plain shape goes before the loose one.
-        users = rf"{_line(_USER_PLAIN)}|{_line(_USER_LOOSE)}"
-        user = _last_line(head, users, "$1$3\t$2$4")
-        times = _last_line(head, _line(_TIMES, unless=("User@Host:",)), "$1\t$2")
-        row_line = _line(_ROWS, unless=("User@Host:", _TIMES_ANY))
-    if single or compat_rows:
-        rows = _last_line(head, row_line, "$2\t$1")
-    else:
-        sent, examined = (
-            _last_line(head, _line(rf"{name}:{_HB}*([0-9]+)", unless=("User@Host:",)), "$1")
-            for name in ("Rows_sent", "Rows_examined")
-        )
-        rows = F.concat(sent, F.lit("\t"), examined)
-    by_rules = F.concat(user, F.lit("\t"), times, F.lit("\t"), rows)
+    by_rules = _fields_by_rules(F.col("_head"), single, compat_rows)
     fields = F.split(F.when(F.col("_common"), F.col("_cut")).otherwise(by_rules), "\t", 8)
 
     dropped = "#" if single else "(?:#|SET timestamp=)"
@@ -269,7 +276,8 @@ def parse_blocks(
         return F.coalesce(F.element_at("_field", position).try_cast(kind), F.lit(0).cast(kind))
 
     parsed = F.struct(
-        at.alias("timestamp_raw"),
+        F.col("_at").alias("timestamp_raw"),
+        _to_timestamp(F.col("_at")).alias("ts"),
         F.element_at("_field", 1).alias("_name"),
         F.element_at("_field", 2).alias("_host"),
         number(3, "double").alias("query_time"),
@@ -278,13 +286,17 @@ def parse_blocks(
         number(6, "bigint").alias("rows_examined"),
         join_lines(F.col("_statement")).alias("query"),
     )
-    read = base.withColumn("_field", fields).withColumn("_statement", statement)
+    read = (
+        base.withColumn("_field", fields)
+        .withColumn("_statement", statement)
+        .withColumn("_at", at)
+    )
 
-    # A generator, unlike a projection, is not evaluated again for a filter on its
-    # results: the fields are computed once per block whatever comes after.
     def given_text(name: str) -> Column:
         return F.nullif(F.col(name), F.lit(""))
 
+    # A generator, unlike a projection, is not evaluated again for a filter on its
+    # results: the fields are computed once per block whatever comes after.
     once = read.select(
         "instance_id", "source_file", "split_start", *others, F.inline(F.array(parsed))
     )
@@ -298,7 +310,7 @@ def parse_blocks(
             F.monotonically_increasing_id().alias("row"),
         ).alias("seq"),
         given_text("timestamp_raw").alias("timestamp_raw"),
-        _to_timestamp(F.col("timestamp_raw")).alias("ts"),
+        "ts",
         F.struct(given_text("_name").alias("name"), given_text("_host").alias("host")).alias("user"),
         "query_time",
         "lock_time",

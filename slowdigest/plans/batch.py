@@ -56,15 +56,17 @@ def run_batch(
     index_prefix: str = DEFAULT_INDEX_PREFIX,
     order: str = "time",
     profile: str = "modular",
+    job: str = "slow-log",
     **options,
 ) -> DigestTable:
     """Load all slow logs under ``path`` as the next version of a digest table.
 
-    ``options`` go to ``slow_query_records``.
+    A batch load has no memory of files: loading the same ones again counts them
+    again.  ``digest_stream`` with ``available_now`` takes only new files.  ``options`` go to ``slow_query_records``.
     """
     table = DigestTable(spark, table_root, order=order)
     blocks = read_slow_log(spark, path, instance_id, profile=profile)
     records = slow_query_records(blocks, profile=profile, **options)
     version = max(table.versions_kept(), default=-1) + 1
-    table.write(version, records, index_prefix=index_prefix)
+    table.load(version, records, index_prefix=index_prefix, job=job)
     return table

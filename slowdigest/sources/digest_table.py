@@ -4,6 +4,7 @@
 ``delta/v=n``        digests of load ``n`` alone
 ``occurrences/v=n``  distinct times of load ``n``
 ``base/v=n``         merge of all loads up to ``n``
+``batches/v=n``      one BATCH row for load ``n``; ``failures`` has one per failed try
 
 A load writes in proportion to its own input.  Readers merge the latest base with
 the deltas after it; ``compact`` moves the base on.  Repeating a load overwrites
@@ -12,12 +13,15 @@ its own version, so nothing is ever counted twice.
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slowdigest.operators.digest import check_order, digest, merge_digests, occurrences
-from slowdigest.schema import DIGEST_SCHEMA, OCCURRENCE_SCHEMA, PARSED_SCHEMA
+from slowdigest.schema import BATCH_SCHEMA, DIGEST_SCHEMA, OCCURRENCE_SCHEMA, PARSED_SCHEMA
 from slowdigest.sources.storage import committed_versions, drop_version, version_path
 
 RECORD_SCHEMA = T.StructType(
@@ -71,6 +75,38 @@ class DigestTable:
             "overwrite"
         ).parquet(version_path(self._folder("delta"), version))
 
+    def load(
+        self, version: int, records: DataFrame, *, index_prefix: str, job: str = "slow-log"
+    ) -> None:
+        """``write``, with a BATCH row about it: for a failed try too, before it is raised."""
+        started = time.monotonic()
+
+        def note(size: int, error: str | None) -> DataFrame:
+            row = (job, version, size, time.monotonic() - started, error is None, error)
+            return self.spark.createDataFrame([row], BATCH_SCHEMA).coalesce(1)
+
+        try:
+            self.write(version, records, index_prefix=index_prefix)
+            size = self.size_of(version)
+        except Exception as e:
+            note(0, type(e).__name__).write.mode("append").parquet(self._folder("failures"))
+            raise
+        note(size, None).write.mode("overwrite").parquet(
+            version_path(self._folder("batches"), version)
+        )
+
+    def batches(self) -> DataFrame:
+        """BATCH rows of all loads, failed tries included."""
+        folder = self._folder("batches")
+        done = self._read("batches", BATCH_SCHEMA, committed_versions(self.spark, folder))
+        try:
+            failed = self.spark.read.schema(BATCH_SCHEMA).parquet(self._folder("failures"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return done.drop("v")
+        return done.drop("v").unionByName(failed)
+
     def digests(self, up_to: int | None = None) -> DataFrame:
         """Merged digests of all complete loads, or of those up to a version."""
         deltas = [v for v in self.versions() if up_to is None or v <= up_to]

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from slowdigest.operators.digest import DEFAULT_INDEX_PREFIX
 from slowdigest.plans.batch import slow_query_records
-from slowdigest.schema import BATCH_SCHEMA
 from slowdigest.sources.digest_table import DigestTable
 
 # Fixed value: a batch is flushed at the latest after this time.
@@ -39,17 +36,11 @@ def digest_stream(
         raise ValueError("compact_every must be positive")
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        started = time.monotonic()
-        table = DigestTable(spark, table_root, order=order)
-        table.write(batch_id, slow_query_records(batch, **options), index_prefix=index_prefix)
+        table = DigestTable(batch.sparkSession, table_root, order=order)
+        records = slow_query_records(batch, **options)
+        table.load(batch_id, records, index_prefix=index_prefix, job=job)
         if (batch_id + 1) % compact_every == 0:
             table.compact(batch_id)
-        size = table.size_of(batch_id)
-        row = (job, batch_id, size, time.monotonic() - started, True, None)
-        spark.createDataFrame([row], BATCH_SCHEMA).write.mode("overwrite").parquet(
-            f"{table_root}/batches/v={batch_id}"
-        )
 
     writer = (
         blocks.writeStream.foreachBatch(load)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from checks.render import events, write_logs
+from slowdigest.operators.batches import run_summary
 from slowdigest.operators.blocks import parse_blocks
 from slowdigest.operators.digest import digest, occurrences, with_fingerprint
 from slowdigest.operators.validate import validate
@@ -129,6 +130,18 @@ def test_run_batch_versions(spark, logs, expected, tmp_path):
     assert sorted(table.occurrences().collect()) == sorted(occurrences(records(spark, logs)).collect())
 
 
+def test_failed_loads_are_noted(spark, logs, tmp_path):
+    table = DigestTable(spark, str(tmp_path / "table"))
+    records = slow_query_records(read_slow_log(spark, logs, "db-1"))
+    broken = records.withColumn("query_time", F.raise_error(F.lit("no")).cast("double"))
+    with pytest.raises(Exception):
+        table.load(0, broken, index_prefix="p")
+    assert table.versions() == [] and table.digests().count() == 0
+    table.load(0, records, index_prefix="p", job="again")
+    notes = {r.job: (r.success, r.error_type is None) for r in table.batches().collect()}
+    assert notes == {"slow-log": (False, False), "again": (True, True)}
+
+
 def test_compaction_keeps_the_result(spark, logs, tmp_path):
     root = str(tmp_path / "table")
     table = DigestTable(spark, root)
@@ -167,9 +180,9 @@ def test_stream_equals_batch_and_replay_does_not_count_twice(spark, logs, expect
     first = sorted(table.digests().collect())
     if order == "time":
         assert first == [r for r in sorted(expected)]
-    batches = spark.read.parquet(f"{root}/batches").drop("v")
-    assert batches.count() == 5
-    assert batches.agg(F.sum("size")).first()[0] == sum(r.execution_count for r in expected)
+    summary = run_summary(table.batches()).first()
+    assert (summary.job, summary.batches_processed, summary.error_count) == ("slow-log", 5, 0)
+    assert summary.indexed_documents == sum(r.execution_count for r in expected)
     # Nothing new: the checkpoint knows every file.
     drain()
     assert sorted(table.digests().collect()) == first
