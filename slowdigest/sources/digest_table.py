@@ -20,7 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slowdigest.operators.digest import check_order, digest, merge_digests, occurrences
+from slowdigest.operators.digest import (
+    check_order,
+    digest,
+    digest_documents,
+    first_arrivals,
+    merge_digests,
+    occurrences,
+)
 from slowdigest.schema import BATCH_SCHEMA, DIGEST_SCHEMA, OCCURRENCE_SCHEMA, PARSED_SCHEMA
 from slowdigest.sources.storage import committed_versions, drop_version, version_path
 
@@ -137,6 +144,20 @@ class DigestTable:
         stored = committed_versions(self.spark, self._folder("occurrences"))
         return [v for v in stored if v <= newest]
 
+    def documents(self, *, page_size: int = 10_000) -> DataFrame:
+        """Digests with their occurrence times, in pages (``digest_documents``)."""
+        if self.order == "time":
+            return digest_documents(self.digests(), self.occurrences(), page_size=page_size)
+        # Earlier loads arrived earlier, whatever their files are called.
+        load = F.lpad(F.col("v").cast("string"), 12, "0")
+        valid = self.records().filter(~F.col("rejected"))
+        placed = valid.withColumn(
+            "seq", F.col("seq").withField("file", F.concat(load, F.lit(":"), F.col("seq.file")))
+        )
+        return digest_documents(
+            self.digests(), first_arrivals(placed), page_size=page_size, order="arrival"
+        )
+
     def records(self) -> DataFrame:
         """Stored records, rejected ones included (``rejected``, ``reject_reason``)."""
         return self._read("records", RECORD_SCHEMA, self.versions_kept())

@@ -9,7 +9,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, difference
-from checks.queries import _text_blocks, scratch
+from checks.queries import _batch_records, _text_blocks, scratch
+from slowdigest.operators.batches import batch_running_totals
 from slowdigest.operators.blocks import parse_blocks
 from slowdigest.operators.digest import digest, occurrences, with_fingerprint
 from slowdigest.operators.series import trailing_trend
@@ -49,7 +50,7 @@ def plan(df):
 def test_digest_plan_has_one_shuffle_and_one_normalisation_per_row(spark):
     df = digest(with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF)))))
     text = plan(df)
-    assert len(re.findall(r"Exchange ", text)) == 1
+    assert len(re.findall("Exchange hashpartitioning", text)) == 1
     assert "partial_min_by" in text and "CartesianProduct" not in text
     # The chain runs once below the shuffle (hash) and once above it (one row per digest).
     assert text.count("GROUP BY|ORDER BY") == 2
@@ -57,11 +58,33 @@ def test_digest_plan_has_one_shuffle_and_one_normalisation_per_row(spark):
 
 def test_occurrence_plan_hashes_by_time_and_parses_once(spark):
     text = plan(occurrences(with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF))))))
-    assert len(re.findall(r"Exchange ", text)) == 1
+    assert len(re.findall("Exchange hashpartitioning", text)) == 1
     assert re.search(r"Exchange hashpartitioning\([^)]*ts#", text)
     assert text.count("# Query_time: (") == 1 and text.count("GROUP BY|ORDER BY") == 1
 
 
+def test_generated_code_can_be_compiled(spark):
+    """Above 8,000 bytes of a method the JVM interprets it for good."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = digest(with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF)))))
+        stages = df._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert sizes and 0 < max(sizes) < 8000
+
+
+def test_running_totals_do_not_gather_a_job(spark):
+    """Rows are spread by job and slot; only slot totals are ordered per job."""
+    df = batch_running_totals(_batch_records(spark, SF))
+    text = plan(df)
+    spread = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert sum("_slot" in s for s in spread) >= 2
+    assert sum("_slot" not in s for s in spread) == 1
+    assert "CartesianProduct" not in text and "SinglePartition" not in text
+
+
 def test_trend_bound_reaches_the_scan(spark):
     from checks.queries import AS_OF
     from checks.render import events

@@ -130,6 +130,31 @@ def test_run_batch_versions(spark, logs, expected, tmp_path):
     assert sorted(table.occurrences().collect()) == sorted(occurrences(records(spark, logs)).collect())
 
 
+@pytest.mark.parametrize("order", ["time", "arrival"])
+def test_documents_of_a_table(spark, tmp_path, order):
+    """The second load has the earlier times and the lower file name."""
+    block = (
+        "# Time: 2024-01-0{0}T00:00:0{1}Z\n# User@Host: a[a] @ h []\n"
+        "# Query_time: 1.0  Lock_time: 0.0 Rows_sent: 1  Rows_examined: 1\nSELECT {1};\n"
+    )
+    for name, day in (("b", 2), ("a", 1)):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "slowquery.log").write_text("".join(block.format(day, s) for s in (3, 1, 2, 1)))
+        table = run_batch(spark, str(folder), "db", str(tmp_path / "table"), order=order)
+    pages = sorted(table.documents(page_size=4).collect(), key=lambda r: r.page)
+    assert [len(p.timestamps) for p in pages] == [4, 2]
+    got = [(t.day, t.second) for p in pages for t in p.timestamps]
+    arrived = [(2, 3), (2, 1), (2, 2), (1, 3), (1, 1), (1, 2)]
+    assert got == (arrived if order == "arrival" else sorted(arrived))
+    first, last = pages[0].timestamp, pages[0].last_seen
+    assert pages[0].execution_count == 8
+    if order == "arrival":
+        assert (first.day, first.second, last.day, last.second) == (2, 3, 1, 1)
+    else:
+        assert (first.day, first.second, last.day, last.second) == (1, 1, 2, 3)
+
+
 def test_failed_loads_are_noted(spark, logs, tmp_path):
     table = DigestTable(spark, str(tmp_path / "table"))
     records = slow_query_records(read_slow_log(spark, logs, "db-1"))
