@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from slowdigest.operators import blocks as B
 from slowdigest.operators.blocks import compress_blocks, parse_blocks, split_blocks
@@ -220,6 +221,59 @@ def test_common_head_agrees_with_the_line_rules(spark, monkeypatch, profile, com
     assert len(quick) == len(VARIANTS)
 
 
+LINES = [
+    "# User@Host: u1[u1] @ h1 []",
+    "# User@Host: u2 @  [10.0.0.1]  Id: 7",
+    "  # User@Host: u-3[u-3] @ h3",
+    "# Query_time: 1.250000  Lock_time: 0.000100 Rows_sent: 3  Rows_examined: 40",
+    "# Query_time: 7  Lock_time: 1.",
+    "\t# Query_time: 8.5  Lock_time: 2.5 Rows_sent: 9",
+    "# Rows_examined: 11  Rows_sent: 12",
+    "# Thread_id: 5  Schema: x",
+    "SET timestamp=5;",
+    " SET timestamp=6;",
+    "use shop;",
+    "SELECT a \t, '#x'",
+    "  FROM t -- b",
+    "Tcp port: 1",
+    "",
+    " \u3000 ",
+]
+
+
+@pytest.mark.parametrize("profile", ["modular", "single_file"])
+def test_random_blocks_agree_with_the_line_rules(spark, monkeypatch, profile):
+    rng = random.Random(profile)
+    ordinary = [LINES[0], LINES[3]]
+    texts = [
+        "\n".join(
+            ["# Time: 2024-01-01T00:00:00Z"]
+            + (ordinary if i % 2 else [])
+            + rng.choices(LINES, k=rng.randrange(7))
+        )
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string").repartition(1)
+
+    def run():
+        parsed = parse_blocks(split_blocks(df, profile=profile), profile=profile)
+        return sorted(parsed.drop("seq").collect(), key=lambda r: r.i)
+
+    quick = run()
+    monkeypatch.setattr(B, "_common_head", lambda keep: r"\A(a)(a)(a)(a)(a)(a)(a)(a)\z(?!)")
+    assert quick == run()
+    for row, text in zip(quick, texts):
+        lines = [line.strip() for line in text.split("\n")[1:]]
+        drop = ("#", "Tcp port") if profile == "single_file" else ("#", "Tcp port", "SET timestamp=")
+        assert row.query == " ".join(x for x in lines if x and not x.startswith(drop))
+        times = [x for x in lines if x.startswith("# Query_time")]
+        if profile == "modular":
+            want = float(re.search(r"[\d.]+", times[-1])[0]) if times else 0.0
+            assert row.query_time == want
+            users = [x for x in lines if x.startswith(("# User@Host: u1", "# User@Host: u2"))]
+            assert row.user.name == (users[-1][13:15] if users else None)
+
+
 def test_reject_reasons_in_order(spark):
     good = SAMPLE_1.strip()
     cases = {

@@ -14,7 +14,9 @@ from slowdigest.operators.digest import digest, occurrences, with_fingerprint
 from slowdigest.operators.validate import validate
 from slowdigest.plans.batch import run_batch, slow_query_records
 from slowdigest.sources.digest_table import DigestTable
+from slowdigest.schema import DIGEST_SCHEMA
 from slowdigest.sources.slowlog import (
+    WriteCounts,
     digest_stats,
     read_digest,
     read_slow_log,
@@ -107,6 +109,18 @@ def test_missing_table(spark, tmp_path):
         read_slow_log(spark, path, "db")
 
 
+def test_empty_inputs(spark, tmp_path):
+    (tmp_path / "slowquery.log").write_text("")
+    table = run_batch(spark, str(tmp_path), "db", str(tmp_path / "table"))
+    assert table.digests().count() == 0 and table.documents().count() == 0
+    assert [b.size for b in table.batches().collect()] == [0]
+    for i, df in enumerate((table.digests(), spark.createDataFrame([], DIGEST_SCHEMA))):
+        path = str(tmp_path / f"digest-{i}")
+        assert write_digest(df, path) == WriteCounts(0, 0)
+        assert read_digest(spark, path).count() == 0
+        assert digest_stats(spark, path).first().document_count == 0
+
+
 def test_upsert_actions(spark, logs):
     action = json.loads(to_upsert_actions(records(spark, logs), script_id="s").first().value)
     assert action["_op_type"] == "update" and action["retry_on_conflict"] == 3
