@@ -162,14 +162,16 @@ def apply_rules(
 ) -> DataFrame:
     """Base columns, ``score`` and ``kept`` for every document.
 
-    ``labels`` (doc_id, quality, toxic) name the trusted documents: quality 1, not toxic. The target
-    model and the threshold are fitted on at most ``max_labelled`` labelled ids of either kind; the raw
-    corpus is counted over all documents.
+    ``labels`` (doc_id, quality, toxic) name the trusted documents: quality 1, not toxic. At most
+    ``max_labelled`` labelled ids of either kind are used: half of the trusted ones (by a hash) make the
+    target model, the other half and the bad ones set the threshold, since documents of the
+    model itself score higher than others like them. The raw corpus is counted over all documents.
     """
     good = trusted_sample(labels, F.expr("quality = 1 and coalesce(toxic, 0) = 0"), max_labelled)
     bad = trusted_sample(labels, F.expr("quality = 0"), max_labelled)
-    weights = log_ratios(docs, good, text, doc_id)
-    known = good.withColumn("good", F.lit(True)).union(bad.withColumn("good", F.lit(False)))
+    odd = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1
+    weights = log_ratios(docs, good.filter(~odd), text, doc_id)
+    known = good.filter(odd).withColumn("good", F.lit(True)).union(bad.withColumn("good", F.lit(False)))
     sample = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         F.broadcast(known), "doc_id"
     )
