@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slowdigest.llm.common import GAP, NOT_GAP, fresh, trusted_sample, whole_text, words
+from slowdigest.llm.common import NOT_GAP, fresh, trusted_sample, whole_text, words
 
 BUCKETS = 1 << 14
 SCALE = 1 << 16
@@ -31,8 +31,8 @@ GAPS = " \t\n\x0b\x0c\r"
 KEEP_SHARE = 0.995
 
 
-def with_base(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
+def with_base(df: DataFrame, text: str = "text", weights: list[int] | None = None) -> DataFrame:
+    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (and score, given weights)."""
     w, g, s, p = (fresh(df, f"__{x}") for x in ("words", "grams", "sorted", "starts"))
     whole = whole_text(F.col(text))
     lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(NOT_GAP))
@@ -43,7 +43,8 @@ def with_base(df: DataFrame, text: str = "text") -> DataFrame:
             "n_words": n.cast("long"),
             "word_chars": F.length(F.translate(whole, GAPS, "")).cast("long"),
             "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": _surplus(lines).cast("long"),
+            "n_dup_lines": _let(lines, _surplus).cast("long"),
+            **({"score": _score_of_words(F.col(w), weights)} if weights else {}),
             g: F.when(
                 n >= 3,
                 F.transform(
@@ -77,19 +78,22 @@ def _surplus(values: Column) -> Column:
     return F.size(values) - F.size(F.array_distinct(values))
 
 
-def buckets(text: Column, size: int = BUCKETS) -> Column:
-    """Bucket numbers of a text's words and word pairs."""
-    w = words(text)
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value evaluated once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _bucket_numbers(w: Column, size: int) -> Column:
     number = lambda *x: F.pmod(F.xxhash64(*x), F.lit(size)).cast("int")
-    single = F.transform(w, lambda x: number(x))
-    pairs = F.transform(
-        F.arrays_zip(
-            F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))).alias("a"),
-            F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("b"),
-        ),
-        lambda x: number(x["a"], x["b"]),
+    firsts = F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0)))
+    return F.concat(
+        F.transform(w, lambda x: number(x)), F.transform(firsts, lambda x, i: number(x, F.get(w, i + 1)))
     )
-    return F.concat(single, pairs)
+
+
+def buckets(text: Column, size: int = BUCKETS) -> Column:
+    """Bucket numbers of a text's words and word pairs."""
+    return _let(words(text), lambda w: _bucket_numbers(w, size))
 
 
 def log_ratios(
@@ -120,11 +124,14 @@ def log_ratios(
 
 def score(text: Column, weights: list[int]) -> Column:
     """Mean weight of a text's n-grams; null without any."""
+    return _score_of_words(words(text), weights)
+
+
+def _score_of_words(w: Column, weights: list[int]) -> Column:
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
-    found = buckets(text, len(weights))
-    total = F.aggregate(found, F.lit(0).cast("long"), lambda a, b: a + F.get(table, b))
-    n = F.size(found)
-    return F.when(n > 0, F.floor(total / n))
+    total = lambda found: F.aggregate(found, F.lit(0).cast("long"), lambda a, b: a + F.get(table, b))
+    mean = lambda found: F.when(F.size(found) > 0, F.floor(total(found) / F.size(found)))
+    return _let(_let(w, lambda x: _bucket_numbers(x, len(weights))), mean)
 
 
 def fit_threshold(scored: DataFrame, keep_share: float = KEEP_SHARE) -> int:
@@ -135,12 +142,12 @@ def fit_threshold(scored: DataFrame, keep_share: float = KEEP_SHARE) -> int:
     """
     width = SCALE // 1024
     rows = (
-        scored.filter("score is not null")
-        .groupBy(F.floor(F.col("score") / width).alias("bin"))
+        scored.groupBy(F.floor(F.col("score") / width).alias("bin"))
         .agg(F.count(F.when(F.col("good"), 1)).alias("good"), F.count(F.when(~F.col("good"), 1)).alias("bad"))
         .orderBy("bin")
         .collect()
     )
+    rows = [r for r in rows if r["bin"] is not None]
     good, bad = sum(r["good"] for r in rows), sum(r["bad"] for r in rows)
     best, at = 0.0, -(1 << 62)
     lost = caught = 0
@@ -176,10 +183,6 @@ def apply_rules(
         F.broadcast(known), "doc_id"
     )
     threshold = fit_threshold(sample.select(score(F.col("text"), weights).alias("score"), "good"))
-    s = score(F.col(text), weights)
-    out = with_base(docs, text).withColumn("score", s)
+    out = with_base(docs, text, weights)
     kept = ~F.col("base_failed") & (F.coalesce(F.col("score"), F.lit(0)) >= F.lit(threshold))
     return out.withColumn("kept", kept)
-
-
-__all__ = ["apply_rules", "buckets", "fit_threshold", "log_ratios", "score", "with_base", "GAP"]
