@@ -185,4 +185,9 @@ def apply_rules(
     threshold = fit_threshold(sample.select(score(F.col("text"), weights).alias("score"), "good"))
     out = with_base(docs, text, weights)
     kept = ~F.col("base_failed") & (F.coalesce(F.col("score"), F.lit(0)) >= F.lit(threshold))
-    return out.withColumn("kept", kept)
+    out = out.withColumn("kept", kept)
+    # Behind a generator, so that a later filter is not evaluated again inside every step above.
+    found = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
+    rest = [c for c in docs.columns if c.lower() not in found]
+    one = fresh(docs, "rules")
+    return out.select(*rest, F.explode(F.array(F.struct(*found))).alias(one)).select(*rest, f"{one}.*")
