@@ -1,11 +1,21 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents, stage by stage.
+
+Each stage takes what the one before kept and returns the columns of documents, but for the last, which
+returns the packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slowdigest.llm.common import table
+from slowdigest.llm.common import staged, table
+from slowdigest.llm.line_dedup import dedup_lines
+from slowdigest.llm.ngram_join import jaccard_components
+from slowdigest.llm.packing import pack
 from slowdigest.llm.quality_rules import apply_rules
+from slowdigest.llm.queries import vocabulary
+from slowdigest.llm.suffix_dedup import remove_repeated
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,14 +23,53 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return apply_rules(docs, table(spark, sf_dir, "labels")).filter("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Delete later repeats of runs of lines; ``n_chars`` follows the text."""
+    return _sized(dedup_lines(docs).select(*docs.columns))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each component; of rows with that id, one."""
+    found = jaccard_components(docs)
+    first = found.filter("component_id <=> doc_id").select("doc_id").distinct()
+    kept = docs.join(first.withColumnRenamed("doc_id", "__id"), docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").limit(1).count()
+    return kept.dropDuplicates(["doc_id"]) if ids else kept
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages that occur elsewhere."""
+    return _sized(remove_repeated(docs).select(*docs.columns))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    return pack(docs, vocabulary())
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_copies),
+    ("suffix-array dedup", repeats),
+    ("best-fit packing", packing),
+]
 
-#: Hashed models, winnowing and packing are beyond SQL; tests hold the stages against brute force.
+#: Hashed models, byte strings and packing are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for n, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if n + 1 < len(STAGES):
+            docs = staged(docs)
     return docs

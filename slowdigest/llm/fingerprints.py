@@ -147,8 +147,8 @@ def likeness(a: str, b: str) -> float:
     return same / max(n, m)
 
 
-def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", partitions: int | None = None):
-    """Each document (id, text) beside the next one's text, as DataFrame (k, text, next).
+def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", partitions: int | None = None) -> DataFrame:
+    """Documents (k, text, guest) in ranges of ids, sorted; the first guest of a range follows its last document.
 
     Ids are cut into ranges by quantiles; each range also gets the first document of the next range that
     has one, so following documents always lie in one task. Only one id per range reaches the driver.
@@ -165,18 +165,18 @@ def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", parti
     )
     firsts = [r["k"] for r in ids.groupBy("p").agg(F.min("k").alias("k")).orderBy("k").collect()]
     if not firsts:
-        return rows.withColumn("next", F.lit("")).withColumn("next_k", F.col("k"))
+        return rows.withColumn("guest", F.lit(False))
     table = F.split(F.lit(",".join(map(str, firsts))), ",").cast("array<bigint>")
     here = F.size(F.filter(table, lambda x: x <= F.col("key"))) - 1
     n = len(firsts)
     place = F.when(F.array_contains(table, F.col("key")), F.array(F.col("p"), (F.col("p") - 1 + n) % n)).otherwise(
         F.array("p")
     )
-    # Rows of a range's first id may be several; only the first of them is the neighbour of the range before.
+    # Rows with a range's first id may be several; only the first of them follows the range before.
     dealt = (
         rows.withColumn("key", key)
         .withColumn("p", here.cast("int"))
-        .withColumn("to", F.explode(place) if n > 1 else F.explode(F.array("p", "p")))
+        .withColumn("to", F.explode(place))
         .withColumn("guest", F.col("to") != F.col("p"))
     )
     if n == 1:  # the only range is its own neighbour

@@ -143,6 +143,8 @@ def shard(
 
     The columns ``keep`` (all, unless given) are staged and exchanged with the keys.
     """
+    made = {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}
+    carried = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
     h, i, cell, part = (fresh(docs, x) for x in ("h", "i", "cell", "cell_start"))
     whole = whole_text(F.col(text))
     rows = docs.withColumns(
@@ -153,7 +155,7 @@ def shard(
             i: F.coalesce(F.col(doc_id).cast("long"), F.lit(_ID_LOW)),
         }
     )
-    rows = staged(rows.select(*(docs.columns if keep is None else keep), "size", "text_crc32", h, i))
+    rows = staged(rows.select(*carried, "size", "text_crc32", h, i))
     keys = splitters(rows.select(F.col(h).alias("h"), F.col(i).alias("i"), "size"), shards)
     cells = max(1, -(-rows.count() // (shards * CELL_ROWS)))
     rows = rows.withColumns(
