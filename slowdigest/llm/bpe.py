@@ -1,7 +1,7 @@
 """BPE encoding and decoding.
 
-The backtracking encoder finds all vocabulary tokens in a piece of text with an Aho-Corasick automaton, takes
-the longest token at each place and steps back to a shorter one where the next token is not
+The backtracking encoder takes the longest vocabulary token at each place of a piece, found with an
+Aho-Corasick automaton of all tokens, and steps back to a shorter one where the next token is not
 compatible with the one before. Two tokens are compatible when the merges, applied to their joined bytes, give
 exactly these two; a piece tiled by compatible neighbours is what the merges give. Decoding gathers bytes
 through an offset table. Pieces come from the public pattern of byte-level BPE; encoded words are kept in a
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: the public pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words kept per worker; the memory is emptied when it is full.
-KEPT_WORDS = 300_000
+#: Words kept per worker, twice: the newest and those before them.
+KEPT_WORDS = 200_000
 
 
 def _letters() -> dict[str, int]:
@@ -38,15 +40,18 @@ def _letters() -> dict[str, int]:
 
 
 class _Memory(dict):
-    """A dictionary that makes missing values and holds a bounded number of them."""
+    """A dictionary that makes missing values and holds a bounded number of them, in two generations."""
 
     def __init__(self, make, most: int = KEPT_WORDS):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.get(key, self)
+        if value is self:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -80,9 +85,15 @@ class Bpe:
         for b, i in self.ids.items():
             self.finder.add_word(b.decode("latin-1"), (len(b), i))
         self.finder.make_automaton()
+        self.sizes = [len(t) for t in self.tokens]
+        self.most = max(self.sizes)
+        #: Of every token, the longest token that is a proper prefix of it, or -1.
+        self.shorter = [
+            next((self.ids[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.ids), -1) for t in self.tokens
+        ]
         self.pieces = regex.compile(PATTERN)
-        self.compatible = _Memory(self._compatible, 4 * KEPT_WORDS)
-        self.words = _Memory(self._word)
+        self.compatible = _Memory(self._compatible, 2 * KEPT_WORDS)
+        self.words = _Memory(self._word, KEPT_WORDS // 4)
         self.after_space = _Memory(lambda w: self._words(" " + w))
         self.at_start = _Memory(self._words)
         self.specials = regex.compile("|".join(f"({regex.escape(s)})" for s in self.special)) if self.special else None
@@ -116,36 +127,37 @@ class Bpe:
         whole = self.ids.get(data)
         if whole is not None and self.merged(data) == [data]:
             return whole.to_bytes(4, "little")
-        starts: list[list[tuple[int, int]]] = [[] for _ in data]
-        for end, (size, token) in self.finder.iter(data.decode("latin-1")):
-            starts[end + 1 - size].append((size, token))  # sizes ascend
+        letters, compatible, sizes, shorter = data.decode("latin-1"), self.compatible, self.sizes, self.shorter
         path: list[int] = []
-        untried = [list(starts[0])]
-        at, dead = [0], set()
-        while True:
-            place, options = at[-1], untried[-1]
-            moved = False
-            while options:
-                size, token = options.pop()
-                if place + size in dead or (path and not self.compatible[path[-1], token]):
-                    continue
-                path.append(token)
-                at.append(place + size)
-                moved = True
-                break
-            if moved:
-                if at[-1] == len(data):
-                    return np.array(path, dtype="<u4").tobytes()
-                untried.append(list(starts[at[-1]]))
+        place, token, dead = 0, self._longest(data, letters, 0), set()
+        while place < len(data):
+            while token >= 0 and (place + sizes[token] in dead or (path and not compatible[path[-1], token])):
+                token = shorter[token]
+            if token < 0:
+                # Tokens of a prefix are unique, so a place that leads nowhere is never tried again.
+                dead.add(place)
+                token = path.pop()
+                place -= sizes[token]
+                token = shorter[token]
                 continue
-            # Tokens of a prefix are unique, so a place that leads nowhere is never tried again.
-            untried.pop()
-            dead.add(at.pop())
-            path.pop()
+            path.append(token)
+            place += sizes[token]
+            if place < len(data):
+                token = self._longest(data, letters, place)
+        return array("I", path).tobytes()
+
+    def _longest(self, data: bytes, letters: str, place: int) -> int:
+        """The longest token that starts at a place: the automaton's longest path, back to a token."""
+        end = place + self.finder.longest_prefix(letters[place : place + self.most])
+        while (token := self.ids.get(data[place:end])) is None:
+            end -= 1
+        return token
 
     def _words(self, text: str) -> bytes | None:
         """Ids of a stretch between two single spaces; None if it is not independent of its neighbours."""
         inner = text[1:] if text[:1] == " " else text
+        if inner.isalpha():  # one piece, by the pattern
+            return self.words[text]
         if not inner or inner[0].isspace() or inner[-1].isspace():
             return None
         return b"".join([self.words[p] for p in self.pieces.findall(text)])
@@ -186,6 +198,10 @@ class Bpe:
         return b"".join(out).decode("utf-8", "replace")
 
 
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are written as little-endian 32-bit integers of the machine")
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> Bpe:
     return Bpe(path)
