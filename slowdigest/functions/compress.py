@@ -9,17 +9,16 @@ from slowdigest.functions.text import BLANK, DIGIT, replace
 
 _B = f"[{BLANK}]"
 
-# What is shortened and to what, in this order.  Words match in any
-# case; a first letter is a plain class, which keeps the search for a start cheap.
+# What is shortened and to what, in this order.  Words match in any case.
 COMPRESSION_STEPS = (
     (f"{_B}++", " "),
     (rf"[Ii\u0130\u0131][Nn]{_B}*+\([^)]++\)", "IN (...)"),
-    (rf"[Vv](?i:ALUES){_B}*+\([^)]++\)", "VALUES (...)"),
-    (rf"[Cc](?i:ASE){_B}++(?i:WHEN).+?(?i:END)", "CASE ... END"),
+    (rf"(?i:VALUES){_B}*+\([^)]++\)", "VALUES (...)"),
+    (rf"(?i:CASE){_B}++(?i:WHEN).+?(?i:END)", "CASE ... END"),
     (r"'[^']{100,}+'", "'...'"),
     (rf"{DIGIT}(?<!{DIGIT}{{2}}){DIGIT}*+(?:{_B}*+,{_B}*+{DIGIT}++){{5,}}+", "..."),
-    (r"[Oo](?i:RDER BY)(?:[^,]*+,){5}+,*+", "ORDER BY ..."),
-    (r"[Gg](?i:ROUP BY)(?:[^,]*+,){5}+,*+", "GROUP BY ..."),
+    (r"(?i:ORDER BY)(?:[^,]*+,){5}+,*+", "ORDER BY ..."),
+    (r"(?i:GROUP BY)(?:[^,]*+,){5}+,*+", "GROUP BY ..."),
 )
 # Fixed value: a shortened statement is kept when at most this share of its bytes is left.
 MAX_SHARE = 0.5

@@ -100,7 +100,7 @@ def split_blocks(
     if marker_consumed:
         # Only indented markers and one that starts a file are left to cut at.
         pieces = F.when(F.contains(text, F.lit("# Time:")), pieces).otherwise(F.array(text))
-        leads = like(F.substring("block", 1, 64), _TIMESTAMP_SHAPE)
+        leads = like(F.col("block"), _TIMESTAMP_SHAPE)
     else:
         leads = F.lit(False)
     others = [c for c in df.columns if c != text_col]
@@ -212,7 +212,7 @@ def parse_blocks(
     *,
     profile: str = "modular",
     compat_rows: bool = False,
-    drop_preamble: bool = True,
+    drop_preamble: bool = False,
 ) -> DataFrame:
     """Parse ``block`` rows into the columns of ``PARSED_SCHEMA``.
 
@@ -221,7 +221,8 @@ def parse_blocks(
 
     ``compat_rows`` reads the row counts only where ``Rows_examined`` stands
     before ``Rows_sent`` on a line without ``Query_time``; the default reads each
-    on its own.  ``drop_preamble`` removes lines that a server writes on start.
+    on its own.  ``drop_preamble`` removes lines that a server writes on
+    start; a statement line with the same words goes with them, so it is off unless asked for.
     """
     check_profile(profile)
     single = profile == "single_file"

@@ -61,7 +61,7 @@ def digest(
         F.count(F.lit(1)).alias("execution_count"),
         F.max("query_time").alias("max_query_time"),
         (F.max("ts") if by_time else F.max_by("ts", "seq")).alias("last_seen"),
-        F.min_by(body, F.struct("ts", "seq") if by_time else F.col("seq")).alias("body"),
+        F.min_by(body, F.struct(F.col("ts").isNull(), "ts", "seq") if by_time else F.col("seq")).alias("body"),
     )
     # The normalised text follows from the body's query, so it is not shuffled.
     return rolled.select(
@@ -80,7 +80,8 @@ def merge_digests(df: DataFrame, *, generation: str, order: str = "time") -> Dat
     check_order(order)
     by_time = order == "time"
     body = F.struct(*_BODY, "normalized_query")
-    rank = F.struct("timestamp", generation) if by_time else F.col(generation)
+    untimed = F.col("timestamp").isNull()
+    rank = F.struct(untimed, "timestamp", generation) if by_time else F.col(generation)
     rolled = df.groupBy(*KEYS, "index_name").agg(
         F.sum("execution_count").alias("execution_count"),
         F.max("max_query_time").alias("max_query_time"),

@@ -12,9 +12,8 @@ from slowdigest.operators.validate import with_reject_reason
 from slowdigest.sources.digest_table import DigestTable
 from slowdigest.sources.slowlog import read_slow_log
 
-# The defaults of a run.
+# Fixed value: the default of a run.
 MIN_QUERY_TIME = 0.1
-MAX_BLOCK_BYTES = 10 * 1024 * 1024
 
 
 def slow_query_records(
@@ -24,17 +23,14 @@ def slow_query_records(
     profile: str = "modular",
     max_block_bytes: int | None = None,
     compat_rows: bool = False,
-    drop_preamble: bool = True,
+    drop_preamble: bool = False,
 ) -> DataFrame:
     """Parsed records with ``reject_reason``, ``rejected`` and ``query_hash``.
 
     The hash is computed for valid records only.  Blocks above
-    ``max_block_bytes`` are shortened; the ``single_file`` profile does so from
-    10 MiB on, the ``modular`` one only if a bound is given.
+    ``max_block_bytes`` are shortened; without a bound none is, in either profile.
     """
     single = profile == "single_file"
-    if max_block_bytes is None and single:
-        max_block_bytes = MAX_BLOCK_BYTES
     if max_block_bytes is not None:
         blocks = compress_blocks(blocks, max_block_bytes)
     parsed = parse_blocks(
