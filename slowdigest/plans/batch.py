@@ -63,6 +63,7 @@ def run_batch(
     table = DigestTable(spark, table_root, order=order)
     blocks = read_slow_log(spark, path, instance_id, profile=profile)
     records = slow_query_records(blocks, profile=profile, **options)
+    table.claim("run_batch")
     version = max(table.versions_kept(), default=-1) + 1
     table.load(version, records, index_prefix=index_prefix, job=job)
     return table

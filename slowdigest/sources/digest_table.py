@@ -52,6 +52,21 @@ class DigestTable:
     def _folder(self, part: str) -> str:
         return f"{self.root}/{part}"
 
+    def claim(self, writer: str) -> None:
+        """Let one writer number the loads; a second one would overwrite them and is refused."""
+        folder = self._folder("writer")
+        try:
+            known = self.spark.read.schema("writer string").parquet(folder).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            known = None
+        if known is None:
+            row = self.spark.createDataFrame([(writer,)], "writer string")
+            row.coalesce(1).write.mode("errorifexists").parquet(folder)
+        elif known["writer"] != writer:
+            raise RuntimeError(f"{self.root} is written by {known['writer']}, not by {writer}")
+
     def versions(self) -> list[int]:
         """Loads that are complete: the delta is the last thing a load writes."""
         return committed_versions(self.spark, self._folder("delta"))

@@ -30,13 +30,17 @@ def digest_stream(
 
     The size bound of a batch is set at the source, its age bound here.  The
     checkpoint reads each file once; a batch that is repeated after a failure
-    overwrites its own version.  ``options`` go to ``slow_query_records``.
+    overwrites its own version.  A table takes one stream only: a second one, or one
+    after ``run_batch``, fails instead of overwriting loads.  ``options`` go to ``slow_query_records``.
     """
     if compact_every <= 0:
         raise ValueError("compact_every must be positive")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         table = DigestTable(batch.sparkSession, table_root, order=order)
+        # The query id lives in the checkpoint: a new or lost checkpoint is another writer.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        table.claim(f"stream {query}")
         records = slow_query_records(batch, **options)
         table.load(batch_id, records, index_prefix=index_prefix, job=job)
         if (batch_id + 1) % compact_every == 0:

@@ -236,3 +236,15 @@ def test_stream_options(spark, logs, tmp_path):
     source = stream_slow_log(spark, logs, "db-1", max_bytes_per_trigger="1k")
     with pytest.raises(ValueError):
         digest_stream(source, str(tmp_path), str(tmp_path / "c"), compact_every=0)
+
+
+def test_second_writer_is_refused(spark, logs, tmp_path):
+    root = str(tmp_path / "t")
+    source = lambda: stream_slow_log(spark, logs, "db-1")
+    digest_stream(source(), root, str(tmp_path / "c"), available_now=True).awaitTermination()
+    before = DigestTable(spark, root).digests().count()
+    with pytest.raises(Exception, match="is written by"):
+        digest_stream(source(), root, str(tmp_path / "new"), available_now=True).awaitTermination()
+    with pytest.raises(RuntimeError, match="is written by"):
+        run_batch(spark, logs, "db-1", root)
+    assert DigestTable(spark, root).digests().count() == before > 0
