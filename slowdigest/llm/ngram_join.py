@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slowdigest.llm.common import batches, bucket_counts, components, mixed, staged
@@ -224,7 +225,12 @@ def line_candidates(lists: DataFrame) -> DataFrame:
 
 def occurrences(lists: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
     """Pairs (a, an, b, bn) of different components that their short lists let reach the overlap."""
-    labelled = lists.select("s", "cls", "n", "pos").join(
+    # Common shingles before a place stand in lists too, so ``r`` bounds their number; where it and all
+    # shingles from the place on stay below the overlap with any partner, the entry joins no pair.
+    own_order = W.partitionBy("cls").orderBy("pos")
+    entries = lists.select("s", "cls", "n", "pos").withColumn("r", F.row_number().over(own_order) - 1)
+    entries = entries.filter(f"100 * (r + n - pos) >= {PERCENT} * n")
+    labelled = entries.join(
         labels.select(F.col("node").alias("cls"), "component"), "cls", "left"
     )
     labelled = labelled.withColumn("c", F.coalesce("component", "cls")).drop("component")
@@ -243,7 +249,7 @@ def occurrences(lists: DataFrame, labels: DataFrame, block: int = BLOCK) -> Data
         labelled.join(mixed_lists, "s")
         .withColumn("own", own)
         .withColumn("cell", F.explode(cells))
-        .select("s", "cell.i", "cell.j", "own", "cls", "n", "pos", "c")
+        .select("s", "cell.i", "cell.j", "own", "cls", "n", "pos", "r", "c")
         .repartition("s", "i", "j")
         .sortWithinPartitions("s", "i", "j", "cls")
     )
@@ -252,7 +258,7 @@ def occurrences(lists: DataFrame, labels: DataFrame, block: int = BLOCK) -> Data
         held: list[tuple] = []
         key = None
         for batch in parts:
-            columns = [batch.column(x).to_numpy() for x in ("s", "i", "j", "own", "cls", "n", "pos", "c")]
+            columns = [batch.column(x).to_numpy() for x in ("s", "i", "j", "own", "cls", "n", "pos", "r", "c")]
             k = np.stack(columns[:3], axis=1)
             cuts = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(k)]):
@@ -277,17 +283,18 @@ def occurrences(lists: DataFrame, labels: DataFrame, block: int = BLOCK) -> Data
 
 def _cross(key: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
     """Pairs of classes from different components in one cell; both blocks' own pairs go to cell (i, i)."""
-    own, cls, n, pos, c = (np.concatenate([x[k] for x in held]) for k in range(5))
+    own, cls, n, pos, r, c = (np.concatenate([x[k] for x in held]) for k in range(6))
     _, first = np.unique(cls, return_index=True)
-    own, cls, n, pos, c = own[first], cls[first], n[first], pos[first], c[first]
+    own, cls, n, pos, r, c = (x[first] for x in (own, cls, n.astype(np.int64), pos, r, c))
     for x in range(len(cls) - 1):
         right = np.arange(x + 1, len(cls))
         ok = c[right] != c[x]
         if key[1] != key[2]:
             ok &= own[right] != own[x]
         small, large = np.minimum(n[right], n[x]), np.maximum(n[right], n[x])
-        ok &= 100 * small.astype(np.int64) >= PERCENT * large.astype(np.int64)
-        # What the first common shingle at these places leaves open must still reach the overlap.
+        ok &= 100 * small >= PERCENT * large
+        most = np.minimum(r[right], r[x]) + np.minimum(n[right] - pos[right], n[x] - pos[x])
+        ok &= (100 + PERCENT) * most >= PERCENT * (n[right] + n[x])
         right = right[ok]
         if not len(right):
             continue
