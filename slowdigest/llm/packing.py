@@ -19,7 +19,9 @@ with equal ids are packed one by one.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import deque
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +30,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slowdigest.llm.bpe import load
+from slowdigest.llm.bpe import Bpe
 from slowdigest.llm.common import staged
 
 CAPACITY = 1024
 END = 2
 
 
+class PublicWords(Bpe):
+    """Ids by the public tokenizer library, asked once per kept word."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__(path)
+        self.library = Tokenizer.from_file(path)
+
+    def _word(self, piece: str) -> bytes:
+        return array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
+
+
+@lru_cache(maxsize=1)
+def load(path: str) -> PublicWords:
+    return PublicWords(path)
+
+
 def cut(size: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``size`` tokens."""
     first = size % capacity or min(size, capacity)
