@@ -2,7 +2,7 @@
 
 Two bigram models of one form share one vocabulary: words are hashed to word numbers, word pairs to pair numbers. Both
 are counted over the whole corpus: the background over all documents, the target over the trusted ones.
-A pair's probability mixes pair and word frequency; a token's loss is its negative logarithm. A
+A token's loss is the mean of the negative log frequencies of its word and of its pair. A
 document's score is the mean over its tokens of target loss minus background loss: low is like the target.
 
 Counts are added up per task and then by Spark, with no sample or cap on the corpus; the driver receives
