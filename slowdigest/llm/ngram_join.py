@@ -7,12 +7,18 @@ candidate's sorted set is probed by binary search.
 
 1. Shingles are counted in hashed buckets over all documents, which gives one global order, rare first.
 2. The short lists are the sorted runs of one shuffle by shingle. A very frequent shingle is dealt over
-   several tasks by class. Each list links neighbours (by size) and its first class to all others as candidates: lines, not all
+   several tasks by class. Each list links neighbours (by size), its first class and, among frequent shingles, the class with
+   the most of them (an original beside its copies) to all others as candidates: lines, not all
    pairs. Candidates are probed, and links make components.
 3. Lists whose classes all lie in one component are done: a large group of near copies ends here. In the
    others, merging the lists counts the occurrences of every pair from different components; pairs whose count
    plus the most that the rest can add misses the required overlap T are dropped; the others are probed
    in the long lists. Lists beyond ``BLOCK`` classes are worked in blocks of pairs.
+4. Frequent shingles, the last of the global order, form no pairs of single classes. Two linked texts either share a rare shingle of
+   their short lists, or reach the overlap by frequent ones alone. So classes with equal frequent parts make one
+   group, whose smallest class stands for it in the lists of frequent shingles: if a class links with any of its group
+   by that part, it links with the smallest. A class that does not can link by its frequent part only with a
+   smaller representative of another group, and does so with the one that leaves most room.
 
 Components therefore equal those of all links, though links inside a component need not all be tested.
 
@@ -40,6 +46,8 @@ BUCKET_BITS = 20
 #: Shingles whose bucket is counted more often are dealt over several tasks, so many classes each.
 SPLIT = 20_000
 BLOCK = 2048
+#: Shingles counted this much more often than chance puts other ones into their bucket are frequent.
+FREQUENT = 64
 #: Entries of one list that a task holds at once.
 STRETCH = 500_000
 
@@ -87,27 +95,65 @@ def _texts(rows) -> Iterator[tuple[int | None, np.ndarray]]:
             yield k, shingles(t)
 
 
-def profiles(rows: DataFrame) -> DataFrame:
-    """(k, n, cls) of every row (k, t); cls is null for empty sets."""
+def often_of(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return counts[(found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+
+
+def frequent_from(counts: np.ndarray, frequent: int = FREQUENT) -> float:
+    """Shingles whose bucket counts more are frequent: ``frequent`` above what chance gives most buckets."""
+    usual = float(np.median(counts))
+    return usual + 6 * usual**0.5 + frequent
+
+
+def profiles(rows: DataFrame, shared, limit: float) -> DataFrame:
+    """(k, n, cls, nf, part) of every row (k, t); cls is null for empty sets.
+
+    ``nf`` counts the frequent shingles; ``part`` is their hash where they alone can reach the similarity.
+    """
 
     def run(parts):
         for batch in parts:
             sets = [shingles(t) for t in batch.column("t").to_pylist()]
+            common = [s[often_of(s, shared.value) > limit] for s in sets]
+            alone = [len(s) > 0 and 100 * len(f) >= PERCENT * len(s) for s, f in zip(sets, common)]
             yield pa.RecordBatch.from_pydict(
                 {
                     "k": batch.column("k"),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "cls": pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
+                    "nf": pa.array([len(f) for f in common], pa.int64()),
+                    "part": pa.array([class_of(f) if x else None for f, x in zip(common, alone)], pa.int64()),
                 }
             )
 
-    return rows.mapInArrow(run, "k long, n long, cls long")
+    return rows.mapInArrow(run, "k long, n long, cls long, nf long, part long")
+
+
+def group_members(classes: DataFrame) -> DataFrame:
+    """(cls, n, rep, rep_n, near): classes by equal frequent parts; ``near`` ones link with the representative."""
+    able = classes.filter("part is not null and id is not null")
+    reps = able.groupBy("part").agg(F.min(F.struct("n", "cls")).alias("least"))
+    reach = F.expr(f"{100 + PERCENT} * nf >= {PERCENT} * (n + rep_n)")
+    return (
+        able.join(reps, "part")
+        .select("cls", "n", "nf", F.col("least.cls").alias("rep"), F.col("least.n").alias("rep_n"))
+        .select("cls", "n", "nf", "rep", "rep_n", ((F.col("cls") == F.col("rep")) | reach).alias("near"))
+    )
+
+
+def further_links(found: DataFrame, members: DataFrame) -> DataFrame:
+    """Links of classes that are not near their representative, from pairs (a, b, o) of representatives."""
+    ways = found.union(found.select("b", "a", "o")).toDF("rep", "other", "o")
+    sizes = members.filter("cls = rep").select(F.col("cls").alias("other"), F.col("n").alias("other_n"))
+    room = F.expr(f"{100 + PERCENT} * o - {PERCENT} * other_n").alias("room")
+    best = ways.join(sizes, "other").select("rep", "other", room).groupBy("rep")
+    best = best.agg(F.max(F.struct("room", "other")).alias("best"))
+    far = members.filter("not near").select("cls", "n", "rep")
+    return far.join(best, "rep").filter(f"{PERCENT} * n <= best.room").select("cls", "best.other")
 
 
-def short_lists(rows: DataFrame, counts: np.ndarray, split: int = SPLIT) -> DataFrame:
+def short_lists(rows: DataFrame, shared, split: int = SPLIT) -> DataFrame:
     """Entries (s, salt, cls, n, pos, prev, prev_n, lead, lead_n) of all lists with two classes or more."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(counts)
 
     def emit(parts):
         table, seen = shared.value, set()
@@ -120,7 +166,7 @@ def short_lists(rows: DataFrame, counts: np.ndarray, split: int = SPLIT) -> Data
             if cls in seen:
                 continue
             seen.add(cls)
-            often = table[(found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+            often = often_of(found, table)
             order = np.lexsort((found, often))[: prefix_length(n)]
             parts_of = (often[order] // split).astype(np.int64) + 1
             salt = np.where(parts_of > 1, (cls % (1 << 31)) % parts_of + 1, 0).astype(np.int32)
@@ -220,24 +266,43 @@ def line_candidates(lists: DataFrame) -> DataFrame:
     top = heads.groupBy("s").agg(F.min("cls").alias("lead"))
     dealt = heads.join(top, "s").join(heads.select("s", F.col("cls").alias("lead"), F.col("n").alias("lead_n")), ["s", "lead"])
     across = dealt.select(*_pairs("cls", "n", "lead", "lead_n"))
-    return near.union(first).union(across).filter("a <> b").filter(_size_fits()).distinct()
+    return near.union(first).union(across).filter("a <> b").filter(_size_fits())
 
 
-def occurrences(lists: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, an, b, bn) of different components that their short lists let reach the overlap."""
+def centre_candidates(lists: DataFrame, members: DataFrame) -> DataFrame:
+    """Candidate pairs of representatives with the one of most frequent shingles, in every list of a frequent one."""
+    reps = members.filter("cls = rep").select("cls", "nf")
+    entries = lists.select("s", "cls", "n", "pos").join(reps, "cls").filter("pos >= n - nf")
+    centres = entries.groupBy("s").agg(F.max(F.struct("nf", "cls", "n")).alias("x"))
+    centres = centres.select("s", F.col("x.cls").alias("centre"), F.col("x.n").alias("centre_n"))
+    both = entries.join(centres, "s").filter("cls <> centre")
+    return both.select(*_pairs("cls", "n", "centre", "centre_n")).filter(_size_fits())
+
+
+def occurrences(lists: DataFrame, known: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, an, b, bn) that their short lists let reach the overlap.
+
+    ``known`` are (cls, nf, c, rep, open). Pairs are of different components c, or of a representative with ``open``
+    members and a smaller one. Only representatives stand in the lists of frequent shingles.
+    """
     # Common shingles before a place stand in lists too, so ``r`` bounds their number; where it and all
     # shingles from the place on stay below the overlap with any partner, the entry joins no pair.
     own_order = W.partitionBy("cls").orderBy("pos")
     entries = lists.select("s", "cls", "n", "pos").withColumn("r", F.row_number().over(own_order) - 1)
     entries = entries.filter(f"100 * (r + n - pos) >= {PERCENT} * n")
-    labelled = entries.join(
-        labels.select(F.col("node").alias("cls"), "component"), "cls", "left"
+    labelled = (
+        entries.join(known, "cls")
+        .withColumn("rare", F.expr("pos < n - nf"))
+        .filter("rare or rep")
+        .withColumn("open", F.expr("open and not rare"))
+        .withColumn("q", F.expr("if(rare, -1, pos - (n - nf))").cast("int"))
+        .drop("nf", "rare", "rep")
     )
-    labelled = labelled.withColumn("c", F.coalesce("component", "cls")).drop("component")
+    labelled = staged(labelled)
     mixed_lists = (
         labelled.groupBy("s")
-        .agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m"))
-        .filter("lo < hi")
+        .agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m"), F.max("open").alias("open"))
+        .filter("m > 1 and (lo < hi or open)")
         .select("s", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
     )
     own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
@@ -249,16 +314,18 @@ def occurrences(lists: DataFrame, labels: DataFrame, block: int = BLOCK) -> Data
         labelled.join(mixed_lists, "s")
         .withColumn("own", own)
         .withColumn("cell", F.explode(cells))
-        .select("s", "cell.i", "cell.j", "own", "cls", "n", "pos", "r", "c")
+        .select("s", "cell.i", "cell.j", "own", "cls", "n", "pos", "r", "c", "open", "q")
         .repartition("s", "i", "j")
         .sortWithinPartitions("s", "i", "j", "cls")
     )
 
+    names = ("s", "i", "j", "own", "cls", "n", "pos", "r", "c", "open", "q")
+
     def merge(parts):
         held: list[tuple] = []
         key = None
         for batch in parts:
-            columns = [batch.column(x).to_numpy() for x in ("s", "i", "j", "own", "cls", "n", "pos", "r", "c")]
+            columns = [batch.column(x).to_numpy(zero_copy_only=False) for x in names]
             k = np.stack(columns[:3], axis=1)
             cuts = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(k)]):
@@ -272,23 +339,27 @@ def occurrences(lists: DataFrame, labels: DataFrame, block: int = BLOCK) -> Data
         if held:
             yield from _cross(key, held)
 
-    found = dealt.mapInArrow(merge, "a long, an int, b long, bn int, pa int, pb int")
-    pairs = found.groupBy("a", "an", "b", "bn").agg(
-        F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb")
-    )
-    most = F.expr("c + least(an - pa - 1, bn - pb - 1)")
+    # Lists of rare and of frequent shingles bound the overlap each on its own.
+    found = dealt.mapInArrow(merge, "a long, an int, b long, bn int, pa int, pb int, often boolean")
+    kinds = {"rare": ~F.col("often"), "often": F.col("often")}
+    counted = {f"c_{kind}": F.count(F.when(x, 1)) for kind, x in kinds.items()}
+    places = {f"{p}_{kind}": F.max(F.when(x, F.col(p))) for kind, x in kinds.items() for p in ("pa", "pb")}
+    pairs = found.groupBy("a", "an", "b", "bn").agg(*(x.alias(name) for name, x in (counted | places).items()))
     need = F.expr(f"ceil({PERCENT}D * (an + bn) / {100 + PERCENT} - 1e-9)")
-    return pairs.filter(most >= need).select("a", F.col("an").cast("long"), "b", F.col("bn").cast("long"))
+    enough = [F.expr(f"c_{kind} + least(an - pa_{kind} - 1, bn - pb_{kind} - 1)") >= need for kind in kinds]
+    return pairs.filter(F.coalesce(enough[0], F.lit(False)) | F.coalesce(enough[1], F.lit(False))).select("a", F.col("an").cast("long"), "b", F.col("bn").cast("long"))
 
 
 def _cross(key: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes from different components in one cell; both blocks' own pairs go to cell (i, i)."""
-    own, cls, n, pos, r, c = (np.concatenate([x[k] for x in held]) for k in range(6))
+    """Pairs of classes to be counted in one cell; both blocks' own pairs go to cell (i, i)."""
+    own, cls, n, pos, r, c, has, q = (np.concatenate([x[k] for x in held]) for k in range(8))
     _, first = np.unique(cls, return_index=True)
-    own, cls, n, pos, r, c = (x[first] for x in (own, cls, n.astype(np.int64), pos, r, c))
+    own, cls, n, pos, r, c, has, q = (x[first] for x in (own, cls, n.astype(np.int64), pos, r, c, has, q))
+    # Of a frequent shingle, pairs that the frequent parts alone let link: q of them stand before it.
+    r = np.where(q >= 0, np.minimum(q, r), r)
     for x in range(len(cls) - 1):
         right = np.arange(x + 1, len(cls))
-        ok = c[right] != c[x]
+        ok = (c[right] != c[x]) | (has[x] & (n[right] < n[x])) | (has[right] & (n[right] > n[x]))
         if key[1] != key[2]:
             ok &= own[right] != own[x]
         small, large = np.minimum(n[right], n[x]), np.maximum(n[right], n[x])
@@ -306,35 +377,50 @@ def _cross(key: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
                 "bn": n[right].astype(np.int32),
                 "pa": np.full(len(right), pos[x], dtype=np.int32),
                 "pb": pos[right].astype(np.int32),
+                "often": q[right] >= 0,
             }
         )
 
 
-def probe(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the overlap; sets are (cls, found)."""
+def probe(pairs: DataFrame, sets: DataFrame, shared, limit: float) -> DataFrame:
+    """The pairs (a, b) whose sets reach the overlap, and how many frequent shingles they share; sets are (cls, found)."""
     left = sets.select(F.col("cls").alias("a"), F.col("found").alias("fa"))
     right = sets.select(F.col("cls").alias("b"), F.col("found").alias("fb"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "fa", "fb")
 
     def run(parts):
         for batch in parts:
-            ok = []
+            ok, common = [], []
             for x, y in zip(batch.column("fa"), batch.column("fb")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.searchsorted(y, x)
                 at[at == len(y)] = 0
-                ok.append(int((y[at] == x).sum()) >= required(len(x), len(y)))
+                both = x[y[at] == x]
+                ok.append(len(both) >= required(len(x), len(y)))
+                if ok[-1]:
+                    common.append(int((often_of(both, shared.value) > limit).sum()))
             mask = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_pydict(
-                {"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)}
+                {
+                    "a": batch.column("a").filter(mask),
+                    "b": batch.column("b").filter(mask),
+                    "o": pa.array(common, pa.int64()),
+                }
             )
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long, o long")
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", split: int = SPLIT, block: int = BLOCK) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    split: int = SPLIT,
+    block: int = BLOCK,
+    frequent: int = FREQUENT,
+) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest id with an equal set) and component_id of every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("k"), F.col(text).alias("t"))
 
@@ -354,9 +440,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
             yield np.concatenate(held)
 
     counts = bucket_counts(rows, grouped, BUCKET_BITS)
-    known = staged(profiles(rows))
-    lists = staged(short_lists(rows, counts, split))
-    classes = known.filter("cls is not null").groupBy("cls").agg(F.min("k").alias("id"))
+    shared, limit = docs.sparkSession.sparkContext.broadcast(counts), frequent_from(counts, frequent)
+    known = staged(profiles(rows, shared, limit))
+    lists = staged(short_lists(rows, shared, split))
+    # Rows of one class agree in the rest.
+    classes = known.filter("cls is not null").groupBy("cls").agg(
+        F.min("k").alias("id"), *(F.max(c).alias(c) for c in ("n", "nf", "part"))
+    )
     listed = classes.join(lists.select("cls").distinct(), "cls").filter("id is not null")
 
     def fetch(parts):
@@ -374,12 +464,31 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
     wanted = rows.join(listed.select(F.col("id").alias("k")), "k", "left_semi")
     sets = staged(wanted.mapInArrow(fetch, "cls long, found binary"))
-    first = staged(probe(line_candidates(lists), sets))
+    members = staged(group_members(classes))
+    stars = members.filter("near and cls <> rep").select("cls", "rep")
+    candidates = line_candidates(lists).union(centre_candidates(lists, members)).distinct()
+    first = staged(probe(candidates, sets, shared, limit).select("a", "b").union(stars))
     labels = components(first)
-    second = staged(probe(occurrences(lists, labels, block), sets))
+    opened = members.filter("not near").select(F.col("rep").alias("cls")).distinct().withColumn("open", F.lit(True))
+    reps = members.filter("cls = rep").select("cls", F.lit(True).alias("rep"))
+    attributes = (
+        classes.select("cls", "nf")
+        .join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+        .join(reps, "cls", "left")
+        .join(opened, "cls", "left")
+        .select(
+            "cls",
+            "nf",
+            F.coalesce("component", "cls").alias("c"),
+            F.coalesce("rep", F.lit(False)).alias("rep"),
+            F.coalesce("open", F.lit(False)).alias("open"),
+        )
+    )
+    second = staged(probe(occurrences(lists, attributes, block), sets, shared, limit))
+    second = second.select("a", "b").union(further_links(second, members))
     final = components(first.union(second)) if second.limit(1).count() else labels
     named = (
-        classes.join(final.withColumnRenamed("node", "cls"), "cls", "left")
+        classes.select("cls", "id").join(final.withColumnRenamed("node", "cls"), "cls", "left")
         .withColumn("g", F.coalesce("component", "cls"))
     )
     least = named.groupBy("g").agg(F.min("id").alias("component_id"))

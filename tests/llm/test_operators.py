@@ -123,8 +123,8 @@ def test_automaton_against_regex():
             assert got[i, j] == bool(pattern(glob).fullmatch(text.decode())), (glob, text)
 
 
-@pytest.mark.parametrize("split,block", [(20_000, 2048), (8, 3)])
-def test_ngram_join(spark, frame, docs, empty, split, block):
+@pytest.mark.parametrize("split,block,frequent", [(20_000, 2048, 64), (8, 3, 2), (20_000, 5, 12)])
+def test_ngram_join(spark, frame, docs, empty, split, block, frequent):
     rnd = random.Random(5)
     base = [f"w{n}" for n in range(120)]
     extra = []
@@ -134,10 +134,14 @@ def test_ngram_join(spark, frame, docs, empty, split, block):
             w[rnd.randrange(120)] = f"z{rnd.randrange(10_000)}"
         extra.append((10_000 + n, " ".join(w)))
     extra += [(11_000 + n, " ".join(base[:30] + [f"q{n}_{m}" for m in range(n)])) for n in range(40)]
+    for n in range(150):  # shared passages with endings of their own around the threshold; frequent shingles dominate
+        w = [f"p{n % 3}_{m}" for m in range(60 + n % 2)]
+        w = w[: 60 - n % 5] + [f"e{n}_{m}" for m in range(rnd.randint(0, 24))]
+        extra.append((13_000 + n, " ".join(w)))
     extra += [(12_000, "One two"), (12_001, "oNE  two"), (12_002, extra[0][1].upper())]
     rows = docs + extra
     df = frame.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string")).repartition(6)
-    got = {k: (r["n_shingles"], r["component_id"]) for k, r in by_id(ngram_join.jaccard_components(df, split=split, block=block)).items()}
+    got = {k: (r["n_shingles"], r["component_id"]) for k, r in by_id(ngram_join.jaccard_components(df, split=split, block=block, frequent=frequent)).items()}
     assert got == brute.jaccard_components(rows)
     if block == 3:
         assert ngram_join.jaccard_components(empty).count() == 0
