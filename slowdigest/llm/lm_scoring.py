@@ -1,16 +1,19 @@
 """LM scoring: cross-entropy difference of a target and a background model.
 
-Two bigram models of one form share one vocabulary: words are hashed to word numbers, word pairs to pair numbers. Both
-are counted over the whole corpus: the background over all documents, the target over the trusted ones.
-A token's loss is the mean of the negative log frequencies of its word and of its pair. A
-document's score is the mean over its tokens of target loss minus background loss: low is like the target.
-
-Counts are added up per task and then by Spark, with no sample or cap on the corpus; the driver receives
-one sum per number, bounded by ``WORD_BITS`` and ``PAIR_BITS``, and shares the difference table.
-Scoring is one pass without a shuffle.
-
-Defined cases: null and blank texts have no tokens and a null score. Without trusted documents both models agree
-as far as smoothing goes. Repeated rows are scored alike; ids may be null (never trusted).
+Two bigram models of one form share one vocabulary, the distinct words of the corpus. Words and word pairs are
+known by 64-bit hashes. Both models are counted over the whole corpus: the background over all documents, the
+target over all trusted ones. A token's loss is the mean of the negative log frequencies of its word and of its
+pair. A document's score is the mean over its tokens of target loss minus background loss: low is like the target.
+
+Counts have a row for every word and pair, so what is gathered grows with the corpus; nothing is sampled or capped,
+and the driver only receives the number of tokens. Documents are packed once into batches of about ``BATCH``
+tokens, written with their word hashes. Each batch adds up its distinct words and pairs and sends them, sorted,
+to the parts of the hash range; a part adds up all batches and answers each with the totals of what it
+sent. A hot word thus is one entry a batch. The answers meet their batch again and give the losses. Parts
+multiply with the corpus, so none outgrows a task.
+
+Defined cases: null and blank texts have no tokens and a null score. Without trusted documents the target model knows
+the smoothing only. Repeated rows are scored alike; ids may be null (never trusted).
 """
 
 from __future__ import annotations
@@ -18,15 +21,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slowdigest.llm.common import ascii_lower, bucket_counts, mixed, trusted_sample
+from slowdigest.llm.common import ascii_lower, mixed, staged
 
-WORD_BITS = 18
-PAIR_BITS = 20
 MIX = 0.5
-MAX_TRUSTED = 100_000
+#: Tokens of a batch.
+BATCH = 1 << 19
+#: Parts of the hash range: at least so many, and one for every so many tokens.
+PARTS = 1024
+PART_TOKENS = 1 << 22
 _START = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -46,84 +52,187 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def numbers(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers and pair numbers (with the word before, or the start mark) of a text's words."""
-    before = np.concatenate([[_START], h[:-1]]) if len(h) else h
-    word = mixed(h) >> np.uint64(64 - WORD_BITS)
-    pair = mixed(before * np.uint64(3) + mixed(h)) >> np.uint64(64 - PAIR_BITS)
-    return word.astype(np.int64), pair.astype(np.int64)
+def word_batches(rows: DataFrame, size: int = BATCH) -> DataFrame:
+    """Batches of rows (doc_id, t): ids, tokens per text, distinct word hashes and each token's place in them."""
+
+    def packed(batch, ids, found):
+        words, at = np.unique(np.concatenate(found), return_inverse=True)
+        lengths = np.array([len(x) for x in found], dtype=np.uint32)
+        return pa.RecordBatch.from_pydict(
+            {
+                "batch": pa.array([batch], pa.int64()),
+                "n_tokens": pa.array([len(at)], pa.int64()),
+                "ids": pa.array([ids], pa.list_(pa.int64())),
+                "lengths": pa.array([lengths.tobytes()], pa.binary()),
+                "words": pa.array([words.tobytes()], pa.binary()),
+                "places": pa.array([at.astype(np.uint32).tobytes()], pa.binary()),
+            }
+        )
+
+    def run(parts):
+        batch = TaskContext.get().partitionId() << 32
+        ids, found, n = [], [], 0
+        for rows in parts:
+            for k, text in zip(rows.column("doc_id").to_pylist(), rows.column("t").to_pylist()):
+                ids.append(k)
+                found.append(word_hashes(text))
+                n += len(found[-1]) + 1
+                if n >= size:
+                    yield packed(batch, ids, found)
+                    batch, ids, found, n = batch + 1, [], [], 0
+        if ids:
+            yield packed(batch, ids, found)
+
+    schema = "batch long, n_tokens long, ids array<long>, lengths binary, words binary, places binary"
+    return rows.mapInArrow(run, schema)
 
 
-def count_models(docs: DataFrame) -> np.ndarray:
-    """Counts of word numbers, then pair numbers, for rows (t, trusted): background, then target."""
-    size = (1 << WORD_BITS) + (1 << PAIR_BITS)
+def grams(lengths: np.ndarray, words: np.ndarray, places: np.ndarray):
+    """A batch's words with the start mark and its pairs, sorted; each token's word, word before, and pair in them."""
+    keys = np.union1d(words, np.array([_START]))
+    word = np.searchsorted(keys, words)[places]
+    start = np.searchsorted(keys, _START)
+    before = np.concatenate([[start], word[:-1]])[: len(word)]
+    before[(np.cumsum(lengths, dtype=np.int64) - lengths)[lengths > 0]] = start
+    pairs, pair = np.unique(mixed(keys[before] * np.uint64(3) + mixed(keys[word])), return_inverse=True)
+    return keys, pairs, word, before, pair
 
-    def found(rows):
-        for batch in rows:
-            for text, trusted in zip(batch.column("t").to_pylist(), batch.column("trusted").to_pylist()):
-                word, pair = numbers(word_hashes(text))
-                both = np.concatenate([word, pair + (1 << WORD_BITS)])
-                yield both
-                if trusted:
-                    yield both + size
 
-    bits = int(2 * size - 1).bit_length()
-    return bucket_counts(docs, lambda rows: _grouped(found(rows)), bits)[: 2 * size].reshape(2, size)
+def _unpacked(row: dict):
+    return tuple(np.frombuffer(row[c], t) for c, t in (("lengths", "u4"), ("words", "u8"), ("places", "u4")))
 
 
-def _grouped(arrays, most: int = 1 << 20):
-    """Fewer, longer arrays."""
-    held, n = [], 0
-    for a in arrays:
-        held.append(a)
-        n += len(a)
-        if n >= most:
-            yield np.concatenate(held)
-            held, n = [], 0
-    if held:
-        yield np.concatenate(held)
+def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The rows of ``values`` between neighbouring bounds as binary values."""
+    offsets = (bounds * values.itemsize * (values.size // max(len(values), 1))).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
+    )
+
+
+def _joined(blobs, kind: str, width: int = 0) -> np.ndarray:
+    values = np.frombuffer(b"".join(blobs.to_pylist()), kind)
+    return values.reshape(-1, width) if width else values
+
+
+def requests(batches: DataFrame, bits: int) -> DataFrame:
+    """One row a batch and part: the batch's words and pairs of that part and how often it has them.
+
+    Counts of words are: in all documents, in trusted ones, before a word in all, in trusted ones.
+    """
+
+    def run(parts):
+        for rows in parts:
+            for row in rows.to_pylist():
+                lengths, words, places = _unpacked(row)
+                keys, pairs, word, before, pair = grams(lengths, words, places)
+                trusted = np.zeros(len(lengths), dtype=bool)
+                trusted[row["trusted"] or []] = True
+                own = np.repeat(trusted, lengths)
+                count = lambda *found, n: np.stack([np.bincount(x, minlength=n) for x in found], axis=1)
+                counts = count(word, word[own], before, before[own], n=len(keys))
+                pair_counts = count(pair, pair[own], n=len(pairs))
+                part = np.arange((1 << bits) + 1)
+                at, pair_at = (
+                    np.searchsorted((x >> np.uint64(64 - bits)).astype(np.int64), part) for x in (keys, pairs)
+                )
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "part": pa.array(part[:-1].astype(np.int32)),
+                        "batch": pa.array([row["batch"]] * len(part[:-1]), pa.int64()),
+                        "words": _blobs(keys, at),
+                        "counts": _blobs(counts.astype(np.uint32), at),
+                        "pairs": _blobs(pairs, pair_at),
+                        "pair_counts": _blobs(pair_counts.astype(np.uint32), pair_at),
+                    }
+                )
+
+    schema = "part int, batch long, words binary, counts binary, pairs binary, pair_counts binary"
+    return batches.mapInArrow(run, schema)
+
+
+_ANSWER = (
+    "part int, batch long, counts binary, pair_counts binary, n_words long, n_pairs long, n_tokens long, n_trusted long"
+)
+
+
+def answers(sent: DataFrame) -> DataFrame:
+    """For every request the corpus's counts of what it names, and the part's distinct words, pairs and tokens."""
+
+    def run(group: pa.Table) -> pa.Table:
+        out = {"part": group.column("part"), "batch": group.column("batch")}
+        sums = {}
+        for names, counts, width in (("words", "counts", 4), ("pairs", "pair_counts", 2)):
+            keys, at = np.unique(_joined(group.column(names), "u8"), return_inverse=True)
+            found = _joined(group.column(counts), "u4", width)
+            total = np.stack(
+                [np.bincount(at, weights=found[:, n], minlength=len(keys)) for n in range(width)], axis=1
+            ).astype(np.int64)
+            ends = np.cumsum([0, *(len(x) // 8 for x in group.column(names).to_pylist())])
+            out[counts], sums[names] = _blobs(total[at], ends), total
+        one = lambda n: pa.array([int(n)] * len(group), pa.int64())
+        n_tokens, n_trusted = sums["words"][:, 0].sum(), sums["words"][:, 1].sum()
+        out |= {"n_words": one((sums["words"][:, 0] > 0).sum()), "n_pairs": one(len(sums["pairs"]))}
+        return pa.table(out | {"n_tokens": one(n_tokens), "n_trusted": one(n_trusted)})
+
+    return sent.groupBy("part").applyInArrow(run, _ANSWER)
+
+
+def losses(word, before, pair, counts, pair_counts, n_words: int, n_pairs: int, totals) -> list[np.ndarray]:
+    """Each token's loss by the background and by the target model."""
+    out = []
+    for k, total in enumerate(totals):
+        # Add-one smoothing over the shared vocabulary; a pair counts against the sum of all pairs.
+        unigram = (counts[:, k] + 1) / (total + n_words)
+        bigram = (pair_counts[:, k] + 1) / (total + n_pairs)
+        out.append(-(MIX * np.log(unigram)[word] + (1 - MIX) * np.log(bigram)[pair]))
+    return out
 
 
 def score_documents(
-    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", max_trusted: int = MAX_TRUSTED
+    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", batch_tokens: int = BATCH
 ) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss and score of every document."""
-    trusted = trusted_sample(labels, F.expr("quality = 1 and coalesce(toxic, 0) = 0"), max_trusted)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), ascii_lower(F.col(text)).alias("t"))
-    marked = rows.join(F.broadcast(trusted.withColumn("trusted", F.lit(True))), "doc_id", "left")
-    counts = count_models(marked.select("t", "trusted"))
-    words, pairs = 1 << WORD_BITS, 1 << PAIR_BITS
-    logs = []
-    for row in counts[::-1]:  # target first
-        total = row[:words].sum()
-        # Add-one smoothing over the shared vocabulary; a pair bucket counts against the sum of all pairs.
-        unigram = (row[:words] + 1) / (total + words)
-        bigram = (row[words:] + 1) / (total + pairs)
-        logs.append((unigram.astype(np.float64), bigram.astype(np.float64)))
-    shared = docs.sparkSession.sparkContext.broadcast(
-        [(np.log(u).astype(np.float32), np.log(b).astype(np.float32)) for u, b in logs]
+    batches = staged(word_batches(rows, batch_tokens))
+    n_tokens = batches.agg(F.sum("n_tokens")).first()[0] or 0
+    bits = max(PARTS, n_tokens // PART_TOKENS).bit_length() - 1
+    trusted = (
+        labels.filter(F.expr("quality = 1 and coalesce(toxic, 0) = 0") & F.col("doc_id").isNotNull())
+        .select(F.col("doc_id").cast("long").alias("doc_id"))
+        .distinct()
     )
-
-    def run(batches):
-        models = shared.value
-        for batch in batches:
-            out: list[list] = [[], [], []]
-            for text in batch.column("t").to_pylist():
-                word, pair = numbers(word_hashes(text))
-                out[0].append(len(word))
-                for k, (u, b) in enumerate(models):
-                    loss = -(MIX * u[word].astype(np.float64) + (1 - MIX) * b[pair]).mean() if len(word) else None
-                    out[k + 1].append(loss)
-            score = [None if t is None else t - b for t, b in zip(out[1], out[2])]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "n_tokens": pa.array(out[0], pa.int64()),
-                    "target_loss": pa.array(out[1], pa.float64()),
-                    "background_loss": pa.array(out[2], pa.float64()),
-                    "score": pa.array(score, pa.float64()),
-                }
+    marks = (
+        batches.select("batch", F.posexplode("ids").alias("pos", "doc_id"))
+        .join(trusted, "doc_id")
+        .groupBy("batch")
+        .agg(F.collect_list("pos").alias("trusted"))
+    )
+    got = answers(requests(batches.join(marks, "batch", "left"), bits))
+
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        found = found.sort_by("part")
+        whole = lambda c: sum(found.column(c).to_pylist())
+        ids, score = [], {c: [] for c in ("n_tokens", "target_loss", "background_loss", "score")}
+        for row in own.to_pylist():
+            lengths, words, places = _unpacked(row)
+            _, _, word, before, pair = grams(lengths, words, places)
+            counts, pair_counts = (
+                _joined(found.column(c), "i8", n) for c, n in (("counts", 4), ("pair_counts", 2))
             )
+            by_token = losses(
+                word, before, pair, counts, pair_counts, whole("n_words"), whole("n_pairs"),
+                (whole("n_tokens"), whole("n_trusted")),
+            )
+            full = lengths > 0
+            starts = (np.cumsum(lengths, dtype=np.int64) - lengths)[full]
+            background, target = (np.full(len(lengths), np.nan) for _ in range(2))
+            for means, x in zip((background, target), by_token):
+                means[full] = np.add.reduceat(x, starts) / lengths[full] if len(starts) else 0
+            ids += row["ids"]
+            for c, x in zip(score, (lengths.astype(np.int64), target, background, target - background)):
+                score[c].append(pa.array(x, mask=None if c == "n_tokens" else ~full))
+        return pa.table({"doc_id": pa.array(ids, pa.int64())} | {c: pa.chunked_array(x) for c, x in score.items()})
 
     schema = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
-    return rows.mapInArrow(run, schema)
+    return batches.groupBy("batch").cogroup(got.groupBy("batch")).applyInArrow(run, schema)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -79,6 +80,27 @@ def line_dedup(docs, run=3):
     return out
 
 
+def lm_losses(docs, trusted, mix=0.5):
+    """(id, tokens, target loss, background loss, score) by plain bigram models of the trusted and of all rows."""
+    tokens = [(k, words("".join(c.lower() if c.isascii() else c for c in t or ""))) for k, t in docs]
+    models = []
+    for rows in ([w for k, w in tokens if k in trusted], [w for _, w in tokens]):
+        models.append((Counter(x for w in rows for x in w), Counter(p for w in rows for p in zip([None, *w], w))))
+    n_words, n_pairs = map(len, models[1])
+    out = []
+    for k, w in tokens:
+        means = []
+        for word, pair in models:
+            n = word.total()
+            loss = [
+                mix * math.log((word[b] + 1) / (n + n_words)) + (1 - mix) * math.log((pair[a, b] + 1) / (n + n_pairs))
+                for a, b in zip([None, *w], w)
+            ]
+            means.append(-sum(loss) / len(w) if w else None)
+        out.append((k, len(w), *means, means[0] - means[1] if w else None))
+    return out
+
+
 def suffix_dedup(docs, length=400):
     at = Counter()
     raw = [(k, (t or "").encode()) for k, t in docs]

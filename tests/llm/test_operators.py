@@ -281,6 +281,20 @@ def test_lm_scoring(frame, docs, labels, empty):
     assert score_documents(empty, labels).count() == 0
 
 
+@pytest.mark.parametrize("batch_tokens", [1 << 19, 700])
+def test_lm_counts_know_every_word_and_trusted_document(spark, frame, docs, labels, batch_tokens):
+    rows = docs + [(None, "one null id"), (None, docs[1][1]), (docs[2][0], docs[5][1])]
+    df = frame.select("doc_id", "text").union(spark.createDataFrame(rows[len(docs) :], "doc_id long, text string"))
+    known = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and not r["toxic"]}
+    want = brute.lm_losses(rows, known)
+    got = score_documents(df, labels, batch_tokens=batch_tokens).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[3] or 0)
+    got, want = sorted(map(tuple, got), key=key), sorted(want, key=key)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    for a, b in zip(got, want):
+        assert a[2:] == b[2:] if b[2] is None else np.allclose(a[2:], b[2:], rtol=1e-9, atol=1e-9), a
+
+
 @pytest.mark.parametrize("heavy", [4096, 2])
 def test_suffix_dedup(spark, frame, docs, empty, heavy, monkeypatch):
     monkeypatch.setattr(suffix_dedup.repeated, "__defaults__", (400, heavy))
