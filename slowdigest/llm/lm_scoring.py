@@ -2,8 +2,14 @@
 
 Two bigram models of one form share one vocabulary, the distinct words of the corpus. Words and word pairs are
 known by 64-bit hashes. Both models are counted over the whole corpus: the background over all documents, the
-target over all trusted ones. A token's loss is the mean of the negative log frequencies of its word and of its
-pair. A document's score is the mean over its tokens of target loss minus background loss: low is like the target.
+target over all trusted ones. With c the counts, N all tokens, V the distinct words and v the word before w (a
+start mark for a text's first word):
+
+    p(w) = (c(w) + 1) / (N + V)
+    p(w | v) = MIX * p(w) + (1 - MIX) * (c(v, w) + p(w)) / (c(v before any word) + 1)
+
+which sums to 1 over the vocabulary for every v. A token's loss is -log p(w | v), and a document's losses are the means
+over its tokens: cross-entropies. Its score is target loss minus background loss: low is like the target.
 
 Counts have a row for every word and pair, so what is gathered grows with the corpus; nothing is sampled or capped,
 and the driver only receives the number of tokens. Documents are packed once into batches of about ``BATCH``
@@ -13,7 +19,7 @@ sent. A hot word thus is one entry a batch. The answers meet their batch again a
 multiply with the corpus, so none outgrows a task.
 
 Defined cases: null and blank texts have no tokens and a null score. Without trusted documents the target model knows
-the smoothing only. Repeated rows are scored alike; ids may be null (never trusted).
+the smoothing only: p(w | v) = 1 / V. Repeated rows are scored alike; ids may be null (never trusted).
 """
 
 from __future__ import annotations
@@ -152,12 +158,12 @@ def requests(batches: DataFrame, bits: int) -> DataFrame:
 
 
 _ANSWER = (
-    "part int, batch long, counts binary, pair_counts binary, n_words long, n_pairs long, n_tokens long, n_trusted long"
+    "part int, batch long, counts binary, pair_counts binary, n_words long, n_tokens long, n_trusted long"
 )
 
 
 def answers(sent: DataFrame) -> DataFrame:
-    """For every request the corpus's counts of what it names, and the part's distinct words, pairs and tokens."""
+    """For every request the corpus's counts of what it names, and the part's distinct words and tokens."""
 
     def run(group: pa.Table) -> pa.Table:
         out = {"part": group.column("part"), "batch": group.column("batch")}
@@ -172,20 +178,19 @@ def answers(sent: DataFrame) -> DataFrame:
             out[counts], sums[names] = _blobs(total[at], ends), total
         one = lambda n: pa.array([int(n)] * len(group), pa.int64())
         n_tokens, n_trusted = sums["words"][:, 0].sum(), sums["words"][:, 1].sum()
-        out |= {"n_words": one((sums["words"][:, 0] > 0).sum()), "n_pairs": one(len(sums["pairs"]))}
-        return pa.table(out | {"n_tokens": one(n_tokens), "n_trusted": one(n_trusted)})
+        n_words = (sums["words"][:, 0] > 0).sum()
+        return pa.table(out | {"n_words": one(n_words), "n_tokens": one(n_tokens), "n_trusted": one(n_trusted)})
 
     return sent.groupBy("part").applyInArrow(run, _ANSWER)
 
 
-def losses(word, before, pair, counts, pair_counts, n_words: int, n_pairs: int, totals) -> list[np.ndarray]:
+def losses(word, before, pair, counts, pair_counts, n_words: int, totals) -> list[np.ndarray]:
     """Each token's loss by the background and by the target model."""
     out = []
     for k, total in enumerate(totals):
-        # Add-one smoothing over the shared vocabulary; a pair counts against the sum of all pairs.
-        unigram = (counts[:, k] + 1) / (total + n_words)
-        bigram = (pair_counts[:, k] + 1) / (total + n_pairs)
-        out.append(-(MIX * np.log(unigram)[word] + (1 - MIX) * np.log(bigram)[pair]))
+        unigram = ((counts[:, k] + 1) / (total + n_words))[word]
+        bigram = (pair_counts[pair, k] + unigram) / (counts[before, 2 + k] + 1)
+        out.append(-np.log(MIX * unigram + (1 - MIX) * bigram))
     return out
 
 
@@ -221,9 +226,8 @@ def score_documents(
                 _joined(found.column(c), "i8", n) for c, n in (("counts", 4), ("pair_counts", 2))
             )
             by_token = losses(
-                word, before, pair, counts, pair_counts, whole("n_words"), whole("n_pairs"),
-                (whole("n_tokens"), whole("n_trusted")),
-            )
+                word, before, pair, counts, pair_counts, whole("n_words"), (whole("n_tokens"), whole("n_trusted"))
+            )
             full = lengths > 0
             starts = (np.cumsum(lengths, dtype=np.int64) - lengths)[full]
             background, target = (np.full(len(lengths), np.nan) for _ in range(2))

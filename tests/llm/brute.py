@@ -85,18 +85,23 @@ def lm_losses(docs, trusted, mix=0.5):
     tokens = [(k, words("".join(c.lower() if c.isascii() else c for c in t or ""))) for k, t in docs]
     models = []
     for rows in ([w for k, w in tokens if k in trusted], [w for _, w in tokens]):
-        models.append((Counter(x for w in rows for x in w), Counter(p for w in rows for p in zip([None, *w], w))))
-    n_words, n_pairs = map(len, models[1])
-    out = []
+        pairs = Counter(p for w in rows for p in zip([None, *w], w))
+        before = Counter()
+        for (v, _), n in pairs.items():
+            before[v] += n
+        models.append((Counter(x for w in rows for x in w), before, pairs, sum(map(len, rows))))
+    size, out = len(models[1][0]), []
+
+    def p(model, v, w):
+        word, before, pair, n = model
+        alone = (word[w] + 1) / (n + size)
+        return mix * alone + (1 - mix) * (pair[v, w] + alone) / (before[v] + 1)
+
+    for model in models:
+        for v in (None, *list(models[1][0])[:3]):
+            assert abs(sum(p(model, v, w) for w in models[1][0]) - 1) < 1e-9
     for k, w in tokens:
-        means = []
-        for word, pair in models:
-            n = word.total()
-            loss = [
-                mix * math.log((word[b] + 1) / (n + n_words)) + (1 - mix) * math.log((pair[a, b] + 1) / (n + n_pairs))
-                for a, b in zip([None, *w], w)
-            ]
-            means.append(-sum(loss) / len(w) if w else None)
+        means = [-sum(math.log(p(m, *x)) for x in zip([None, *w], w)) / len(w) if w else None for m in models]
         out.append((k, len(w), *means, means[0] - means[1] if w else None))
     return out
 
