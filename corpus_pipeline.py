@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slowdigest.llm.common import staged, table
+from slowdigest.llm.common import fresh, staged, table
 from slowdigest.llm.line_dedup import dedup_lines
 from slowdigest.llm.ngram_join import jaccard_components
 from slowdigest.llm.packing import pack
@@ -29,12 +29,31 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component; of rows with that id, one."""
-    found = jaccard_components(docs)
-    first = found.filter("component_id <=> doc_id").select("doc_id").distinct()
-    kept = docs.join(first.withColumnRenamed("doc_id", "__id"), docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if ids else kept
+    """Keep the document with the smallest id of each component, null ids last; all without shingles stay.
+
+    Rows are known by a hash of id and text, so rows that share an id, or have none, are judged by their own text.
+    Of rows equal in both, one stays.
+    """
+    key, own = fresh(docs, "row_key"), F.xxhash64("doc_id", "text")
+    keyed = docs.withColumn(key, own)
+    found = staged(
+        jaccard_components(docs.select(own.alias("doc_id"), "text"))
+        .groupBy(F.col("doc_id").alias(key), "component_id")
+        .agg(F.max(F.coalesce("n_shingles", F.lit(0)) > 0).alias("__has"), F.count("*").alias("__n"))
+    )
+    ranked = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col(key))
+    first = (
+        keyed.select("doc_id", key)
+        .distinct()
+        .join(found.filter("__has"), key)
+        .groupBy("component_id")
+        .agg(F.min(ranked)[key].alias(key))
+    )
+    stay = first.select(key, F.lit(True).alias("__has")).union(found.filter("not __has").select(key, "__has"))
+    kept = keyed.join(stay, key)
+    if found.filter("__has and __n > 1").limit(1).count():
+        kept = kept.filter("__has").dropDuplicates([key]).unionByName(kept.filter("not __has"))
+    return kept.select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,3 +42,19 @@ def test_stages(spark):
         ends = [o + n for o, n in sorted(own)]
         assert [o for o, _ in sorted(own)] == [0, *ends[:-1]] and ends[-1] <= 1024
     assert {r["doc_id"] for r in kept[4].select("doc_id").collect()} == set(cut)
+
+
+def test_near_copies_judges_null_and_repeated_ids_by_text(spark):
+    import corpus_pipeline
+
+    text = lambda c: " ".join(f"{c}{n}" for n in range(40))
+    rows = [
+        (1, text("a")), (1, text("b")), (1, text("b")), (None, text("c")), (None, text("d")), (None, text("d") + " e"),
+        (None, text("a")), (2, text("f")), (3, text("f") + " g"), (3, text("h")), (None, None), (None, ""), (5, " "),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in corpus_pipeline.near_copies(spark, df, SF).collect()]
+    either = [t for k, t in got if t in (rows[4][1], rows[5][1])]
+    assert len(either) == 1
+    want = [rows[n] for n in (0, 1, 3, 7, 9, 10, 11, 12)] + [(None, either[0])]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
