@@ -4,7 +4,8 @@ Lines with a word are hashed; every window of ``run`` consecutive ones gives its
 fingerprint, so any two equal runs of that length share one. Positions whose fingerprint occurs more
 than once are joined, each window around them is compared by the hash of all its lines, and
 windows that occurred earlier (by id, then line) are repeated. Overlapping repeated windows extend to
-maximal runs both ways, and their lines are deleted. The first occurrence stays. Lines without a word neither
+maximal runs both ways, and their lines are deleted. Given ``words``, shorter runs with at least so many words are
+windows too: every later repeat of a passage of whole lines goes if it has ``run`` lines or ``words`` words. The first occurrence stays. Lines without a word neither
 count nor break a run and stay.
 
 Column functions only. One narrow table of line hashes is staged; fingerprints and windows meet by
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slowdigest.llm.common import NOT_GAP, fresh, staged
+from slowdigest.llm.common import GAP, NOT_GAP, fresh, staged
 
 RUN = 3
 _LINES_MAX = 1 << 31
@@ -36,20 +37,32 @@ def line_hashes(text: Column) -> Column:
     return F.transform(_real(F.split(text, "\n")), lambda x: F.xxhash64(x))
 
 
-def repeated_windows(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """Starts of the repeated windows: (k, th, start), for documents (k, th, hs)."""
+def word_counts(text: Column) -> Column:
+    """Words of each line with a word."""
+    count = lambda x: F.size(F.array_remove(F.split(x, GAP), ""))
+    return F.transform(_real(F.split(text, "\n")), count)
+
+
+def repeated_windows(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
+    """Starts and lines of the repeated windows: (k, th, start, size), for documents (k, th, hs, ws)."""
     n = F.size("hs")
-    around = F.when(
-        n >= run,
-        F.transform(
-            F.sequence(F.lit(0), n - run),
+
+    def windows_of(size: int) -> Column:
+        found = F.transform(
+            F.sequence(F.lit(0), n - size),
             lambda i: F.struct(
                 i.alias("s"),
-                F.array_min(F.slice("hs", i + 1, run)).alias("f"),
-                F.xxhash64(F.slice("hs", i + 1, run)).alias("c"),
+                F.lit(size).alias("size"),
+                F.array_min(F.slice("hs", i + 1, size)).alias("f"),
+                F.xxhash64(F.slice("hs", i + 1, size)).alias("c"),
             ),
-        ),
-    )
+        )
+        if size < run:
+            total = lambda i: F.aggregate(F.slice("ws", i + 1, size), F.lit(0), lambda a, b: a + b)
+            found = F.filter(found, lambda w: total(w["s"]) >= words)
+        return F.when(n >= size, found).otherwise(F.array())
+
+    around = F.concat(*(windows_of(size) for size in range(1 if words is not None else run, run + 1)))
     windows = docs.select("k", "th", F.explode(around).alias("w")).select("k", "th", "w.*")
     # A fingerprint stands for the windows that select it; those in it twice are worth a comparison.
     twice = windows.groupBy("f").agg(F.count("*").alias("n")).filter("n > 1").select("f")
@@ -64,11 +77,13 @@ def repeated_windows(docs: DataFrame, run: int = RUN) -> DataFrame:
         .filter("n > 1")
         .select("c", "first")
     )
-    return joined.join(firsts, "c").filter("rank > first").select("k", "th", F.col("s").alias("start"))
+    return joined.join(firsts, "c").filter("rank > first").select("k", "th", F.col("s").alias("start"), "size")
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run: int = RUN) -> DataFrame:
-    """``docs`` with repeated runs of at least ``run`` lines deleted from the text.
+def dedup_lines(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run: int = RUN, words: int | None = None
+) -> DataFrame:
+    """``docs`` with repeated runs of at least ``run`` lines, or of ``words`` words if given, deleted from the text.
 
     Adds n_lines (with a word), n_removed and n_runs.
     """
@@ -77,15 +92,18 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run
     narrow = staged(
         docs.filter(F.col(text).isNotNull())
         .select(
-            F.col(doc_id).cast("long").alias("k"), F.xxhash64(text).alias("th"), line_hashes(F.col(text)).alias("hs")
+            F.col(doc_id).cast("long").alias("k"),
+            F.xxhash64(text).alias("th"),
+            line_hashes(F.col(text)).alias("hs"),
+            *([] if words is None else [word_counts(F.col(text)).alias("ws")]),
         )
-        .filter(F.size("hs") >= run)
+        .filter(F.size("hs") >= (run if words is None else 1))
         .dropDuplicates(["k", "th"])
     )
     found = (
-        repeated_windows(narrow, run)
+        repeated_windows(narrow, run, words)
         .groupBy("k", "th")
-        .agg(F.sort_array(F.collect_set("start")).alias(starts))
+        .agg(F.collect_set(F.struct("start", "size")).alias(starts))
         .select(F.col("k").alias("__k"), F.col("th").alias("__th"), starts)
     )
     out = keyed.join(found, F.col(k).eqNullSafe(F.col("__k")) & (F.col(th) == F.col("__th")), "left")
@@ -97,8 +115,10 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run
             F.transform(lines, lambda x, i: F.when(x.rlike(NOT_GAP), i).otherwise(F.lit(-1))), lambda x: x >= 0
         ),
     )
-    gone = F.array_distinct(F.flatten(F.transform(starts, lambda s: F.sequence(s, s + (run - 1)))))
-    gap = lambda x, i: (i == 0) | (x - F.coalesce(F.get(F.col(starts), i - 1), x) > run)
+    covered = F.flatten(F.transform(starts, lambda w: F.sequence(w["start"], w["start"] + w["size"] - 1)))
+    out = out.withColumn(starts, F.array_sort(F.array_distinct(covered)))
+    gone = F.col(starts)
+    gap = lambda x, i: (i == 0) | (x - F.coalesce(F.get(F.col(starts), i - 1), x) > 1)
     place = F.transform(gone, lambda j: F.get(F.col(at), j))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), place)
     rest = F.array_join(F.transform(left, lambda i: F.get(F.col(lines), i)), "\n")

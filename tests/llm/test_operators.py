@@ -281,6 +281,19 @@ def test_lm_scoring(frame, docs, labels, empty):
     assert score_documents(empty, labels).count() == 0
 
 
+def test_line_dedup_finds_short_runs_with_many_words(spark):
+    line = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    rows = [
+        (1, line("a", 60)), (2, "own\n" + line("a", 60) + "\n\nend"), (3, line("b", 49)), (4, line("b", 49)),
+        (5, line("c", 25) + "\n" + line("d", 25)), (6, line("c", 25) + "\n \n" + line("d", 25) + "\nx"),
+        (7, line("c", 25) + "\nx\n" + line("d", 25)), (8, line("a", 60) + "\n" + line("a", 60)),
+    ]
+    got = by_id(dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), words=50))
+    want = dict(rows) | {2: "own\n\nend", 6: " \nx", 8: ""}
+    assert {k: r["text"] for k, r in got.items()} == want
+    assert [(got[k]["n_removed"], got[k]["n_runs"]) for k in (1, 2, 6, 8)] == [(0, 0), (1, 1), (2, 1), (2, 1)]
+
+
 @pytest.mark.parametrize("batch_tokens", [1 << 19, 700])
 def test_lm_counts_know_every_word_and_trusted_document(spark, frame, docs, labels, batch_tokens):
     rows = docs + [(None, "one null id"), (None, docs[1][1]), (docs[2][0], docs[5][1])]
