@@ -35,7 +35,7 @@ from slowdigest.llm.common import ascii_lower, mixed, staged
 
 MIX = 0.5
 #: Tokens of a batch.
-BATCH = 1 << 19
+BATCH = 1 << 20
 #: Parts of the hash range: at least so many, and one for every so many tokens.
 PARTS = 1024
 PART_TOKENS = 1 << 22
@@ -58,6 +58,22 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+def _small(values: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes."""
+    if not values.size:
+        return b""
+    planes = np.ascontiguousarray(values).reshape(-1).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _plain(blob: bytes, kind: str) -> np.ndarray:
+    if not blob:
+        return np.zeros(0, kind)
+    size = int.from_bytes(blob[:8], "little")
+    planes = np.frombuffer(pa.decompress(blob[8:], size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
+
+
 def word_batches(rows: DataFrame, size: int = BATCH) -> DataFrame:
     """Batches of rows (doc_id, t): ids, tokens per text, distinct word hashes and each token's place in them."""
 
@@ -69,9 +85,9 @@ def word_batches(rows: DataFrame, size: int = BATCH) -> DataFrame:
                 "batch": pa.array([batch], pa.int64()),
                 "n_tokens": pa.array([len(at)], pa.int64()),
                 "ids": pa.array([ids], pa.list_(pa.int64())),
-                "lengths": pa.array([lengths.tobytes()], pa.binary()),
+                "lengths": pa.array([_small(lengths)], pa.binary()),
                 "words": pa.array([words.tobytes()], pa.binary()),
-                "places": pa.array([at.astype(np.uint32).tobytes()], pa.binary()),
+                "places": pa.array([_small(at.astype(np.uint32))], pa.binary()),
             }
         )
 
@@ -105,20 +121,17 @@ def grams(lengths: np.ndarray, words: np.ndarray, places: np.ndarray):
 
 
 def _unpacked(row: dict):
-    return tuple(np.frombuffer(row[c], t) for c, t in (("lengths", "u4"), ("words", "u8"), ("places", "u4")))
+    return _plain(row["lengths"], "u4"), np.frombuffer(row["words"], "u8"), _plain(row["places"], "u4")
 
 
-def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+def _blobs(values: np.ndarray, bounds: np.ndarray, small: bool = True) -> pa.Array:
     """The rows of ``values`` between neighbouring bounds as binary values."""
-    offsets = (bounds * values.itemsize * (values.size // max(len(values), 1))).astype(np.int32)
-    return pa.Array.from_buffers(
-        pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
-    )
+    parts = (values[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+    return pa.array([_small(x) if small else x.tobytes() for x in parts], pa.binary())
 
 
-def _joined(blobs, kind: str, width: int = 0) -> np.ndarray:
-    values = np.frombuffer(b"".join(blobs.to_pylist()), kind)
-    return values.reshape(-1, width) if width else values
+def _joined(blobs, kind: str, width: int) -> np.ndarray:
+    return np.concatenate([_plain(x, kind) for x in blobs.to_pylist()]).reshape(-1, width)
 
 
 def requests(batches: DataFrame, bits: int) -> DataFrame:
@@ -146,9 +159,9 @@ def requests(batches: DataFrame, bits: int) -> DataFrame:
                     {
                         "part": pa.array(part[:-1].astype(np.int32)),
                         "batch": pa.array([row["batch"]] * len(part[:-1]), pa.int64()),
-                        "words": _blobs(keys, at),
+                        "words": _blobs(keys, at, small=False),
                         "counts": _blobs(counts.astype(np.uint32), at),
-                        "pairs": _blobs(pairs, pair_at),
+                        "pairs": _blobs(pairs, pair_at, small=False),
                         "pair_counts": _blobs(pair_counts.astype(np.uint32), pair_at),
                     }
                 )
@@ -169,12 +182,13 @@ def answers(sent: DataFrame) -> DataFrame:
         out = {"part": group.column("part"), "batch": group.column("batch")}
         sums = {}
         for names, counts, width in (("words", "counts", 4), ("pairs", "pair_counts", 2)):
-            keys, at = np.unique(_joined(group.column(names), "u8"), return_inverse=True)
+            blobs = group.column(names).to_pylist()
+            keys, at = np.unique(np.frombuffer(b"".join(blobs), "u8"), return_inverse=True)
             found = _joined(group.column(counts), "u4", width)
             total = np.stack(
                 [np.bincount(at, weights=found[:, n], minlength=len(keys)) for n in range(width)], axis=1
             ).astype(np.int64)
-            ends = np.cumsum([0, *(len(x) // 8 for x in group.column(names).to_pylist())])
+            ends = np.cumsum([0, *(len(x) // 8 for x in blobs)])
             out[counts], sums[names] = _blobs(total[at], ends), total
         one = lambda n: pa.array([int(n)] * len(group), pa.int64())
         n_tokens, n_trusted = sums["words"][:, 0].sum(), sums["words"][:, 1].sum()
@@ -207,7 +221,8 @@ def score_documents(
         .select(F.col("doc_id").cast("long").alias("doc_id"))
         .distinct()
     )
-    marks = (
+    # Written, so that Spark knows its size and shuffles the batches for it only if it is large.
+    marks = staged(
         batches.select("batch", F.posexplode("ids").alias("pos", "doc_id"))
         .join(trusted, "doc_id")
         .groupBy("batch")
