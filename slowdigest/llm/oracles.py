@@ -61,4 +61,61 @@ SELECT d.doc_id, CAST(coalesce(s.n_lines, 0) AS BIGINT) AS n_lines,
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN per p USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
-ORACLES = {"op2_url_filter": OP2, "op7_line_dedup": OP7}
+OP11 = """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda c: NOT isfinite(c))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.x, d.x) AS BIGINT) AS score
+  FROM rows q JOIN rows d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM pairs)
+WHERE n <= 20
+"""
+
+OP12 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents),
+terms AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+vocabulary AS (SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM vocabulary GROUP BY lang),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms JOIN vocabulary USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+dense AS (
+  SELECT s.lang, s.source, w.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000 * (coalesce(c.n, 0)::HUGEINT + 2) // (coalesce(t.total, 0)::HUGEINT + 2 * v.v) AS p
+  FROM sources s JOIN vocabulary w USING (lang) JOIN sizes v USING (lang)
+  LEFT JOIN counts c USING (lang, source, term) LEFT JOIN totals t USING (lang, source)),
+whole AS (
+  SELECT lang, term, 1 + 1000000000 * (sum(n)::HUGEINT + 2) // (any_value(total)::HUGEINT + 2 * any_value(v)) AS q
+  FROM counts JOIN (SELECT lang, sum(total) AS total FROM totals GROUP BY lang) USING (lang) JOIN sizes USING (lang)
+  GROUP BY lang, term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+marks AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM dense JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM marks))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES = {
+    "op2_url_filter": OP2,
+    "op7_line_dedup": OP7,
+    "op11_exact_top_k": OP11,
+    "op12_source_divergence": OP12,
+}

@@ -9,14 +9,17 @@ from slowdigest.llm.bpe import encode_documents
 from slowdigest.llm.common import table
 from slowdigest.llm.fingerprints import fingerprint_documents
 from slowdigest.llm.histogram_shards import shard
+from slowdigest.llm.knn_join import top_k
 from slowdigest.llm.line_dedup import dedup_lines
 from slowdigest.llm.lm_scoring import score_documents
 from slowdigest.llm.ngram_join import jaccard_components
 from slowdigest.llm.oracles import ORACLES
 from slowdigest.llm.packing import pack
 from slowdigest.llm.quality_rules import apply_rules
+from slowdigest.llm.source_divergence import divergence
 from slowdigest.llm.suffix_dedup import remove_repeated
 from slowdigest.llm.url_filter import Rule, filter_urls
+from slowdigest.llm.whitening import fit, identity_error, whiten
 
 VOCABULARY = "byte_bpe_50k.json"
 RULES = [
@@ -87,6 +90,31 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeated(_documents(spark, sf), digest=True)
 
 
+def op11_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return top_k(table(spark, sf, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence(table(spark, sf, "documents").select("text", "lang", "source"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    model = fit(rows)
+    explained = F.array(*(F.lit(v) for v in model.explained)) if model else F.array()
+    out = whiten(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return out.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        # A long by contract; null beyond its range, where the operator's decimal still has it.
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        F.get(explained, F.col("at")).cast("double").alias("explained"),
+        F.lit(identity_error(rows, model) if model else 0.0).alias("identity_error"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,6 +128,9 @@ QUERIES = {
         op8_lm_scoring,
         op9_bpe,
         op10_suffix_dedup,
+        op11_exact_top_k,
+        op12_source_divergence,
+        op13_embedding_whitening,
     )
 }
 
