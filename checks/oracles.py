@@ -223,8 +223,11 @@ ORACLES: dict[str, str] = {
       FROM r""",
     "digest": _DIGEST,
     "digest_arrival": _DIGEST_ARRIVAL,
+    "digest_stored": _DIGEST,
+    "digest_stored_arrival": _DIGEST_ARRIVAL,
     "digest_single_file": _DIGEST_SINGLE,
     "merge_digest": _DIGEST,
+    "merge_digest_stored": _DIGEST,
     "run_batch": _DIGEST,
     "digest_occurrences": _with_events("SELECT DISTINCT instance_id, query_hash, ts FROM valid"),
     "digest_documents": _with_events(_PAGES.format(order="ts", page=PAGE)),

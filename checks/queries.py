@@ -288,27 +288,45 @@ def q_compress_oversized(spark, sf):
 
 
 def q_digest(spark, sf):
-    return _digest_columns(digest(_fingerprinted(spark, sf), index_prefix=PREFIX))
+    return _digest_columns(digest(_fingerprinted(spark, sf), index_prefix=PREFIX, passes=1))
+
+
+def q_digest_stored(spark, sf):
+    """Two passes over stored records: numbers first, then the bodies of the winners."""
+    return _digest_columns(digest(_stored(spark, _fingerprinted(spark, sf)), index_prefix=PREFIX))
+
+
+def q_digest_stored_arrival(spark, sf):
+    logs = _written_logs(spark, sf, sort=True)
+    parsed = parse_blocks(read_slow_log(spark, logs, INSTANCE))
+    return _digest_columns(digest(_stored(spark, with_fingerprint(validate(parsed))), order="arrival"))
 
 
 def q_digest_arrival(spark, sf):
     logs = _written_logs(spark, sf, sort=True)
     parsed = parse_blocks(read_slow_log(spark, logs, INSTANCE))
-    return _digest_columns(digest(with_fingerprint(validate(parsed)), order="arrival"))
+    return _digest_columns(digest(with_fingerprint(validate(parsed)), order="arrival", passes=1))
 
 
 def q_digest_single_file(spark, sf):
     records = slow_query_records(_text_blocks(spark, sf, "single_file"), profile="single_file")
-    return _digest_columns(digest(records.filter(~F.col("rejected"))))
+    return _digest_columns(digest(records.filter(~F.col("rejected")), passes=1))
 
 
 def q_merge_digest(spark, sf):
     """Two loads, by day of month, merged into the digest of both."""
     records = _fingerprinted(spark, sf)
     early = F.dayofmonth("ts") <= 15
-    return _digest_columns(
-        merge_digest(digest(records.filter(early)), digest(records.filter(~early)))
-    )
+    parts = (digest(records.filter(part), passes=1) for part in (early, ~early))
+    return _digest_columns(merge_digest(*parts, passes=1))
+
+
+def q_merge_digest_stored(spark, sf):
+    """Two stored digests, merged in two passes."""
+    records = _stored(spark, _fingerprinted(spark, sf))
+    early = F.dayofmonth("ts") <= 15
+    parts = (_stored(spark, digest(records.filter(part))) for part in (early, ~early))
+    return _digest_columns(merge_digest(*parts))
 
 
 def q_run_batch(spark, sf):
@@ -362,18 +380,18 @@ def q_digest_documents_arrival(spark, sf):
 
 def q_expire_digest(spark, sf):
     records = _fingerprinted(spark, sf)
-    return _digest_columns(expire_digest(digest(records), EXPIRE_DAYS, as_of=AS_OF))
+    return _digest_columns(expire_digest(digest(records, passes=1), EXPIRE_DAYS, as_of=AS_OF))
 
 
 def q_expired_digest(spark, sf):
     records = _fingerprinted(spark, sf)
-    gone = expired_digest(digest(records), EXPIRE_DAYS, as_of=AS_OF)
+    gone = expired_digest(digest(records, passes=1), EXPIRE_DAYS, as_of=AS_OF)
     return gone.agg(F.count(F.lit(1)).alias("expired"))
 
 
 def _stored_digest(spark, sf) -> str:
     path = f"{scratch(spark)}/digest"
-    write_digest(digest(_fingerprinted(spark, sf)), path)
+    write_digest(digest(_fingerprinted(spark, sf), passes=1), path)
     return path
 
 
@@ -565,8 +583,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compress_oversized": q_compress_oversized,
     "digest": q_digest,
     "digest_arrival": q_digest_arrival,
+    "digest_stored": q_digest_stored,
+    "digest_stored_arrival": q_digest_stored_arrival,
     "digest_single_file": q_digest_single_file,
     "merge_digest": q_merge_digest,
+    "merge_digest_stored": q_merge_digest_stored,
     "run_batch": q_run_batch,
     "digest_occurrences": q_occurrences,
     "digest_documents": q_digest_documents,

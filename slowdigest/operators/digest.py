@@ -21,6 +21,8 @@ from slowdigest.schema import DIGEST_SCHEMA, DOCUMENT_SCHEMA, OCCURRENCE_SCHEMA
 ORDERS = ("time", "arrival")
 DEFAULT_INDEX_PREFIX = "mysql-slowlog"
 KEYS = ("query_hash", "instance_id")
+#: Bits of the set that tells candidates for a body; its words take 16 bytes each, 4 MB in all.
+FILTER_BITS = 1 << 24
 _BODY = ("timestamp", "user", "query_time", "lock_time", "rows_examined", "rows_sent", "query")
 
 
@@ -45,24 +47,107 @@ def with_fingerprint(df: DataFrame, *, rehash: bool = False) -> DataFrame:
     )
 
 
+def _check_passes(passes: int, bits: int) -> None:
+    if passes not in (1, 2):
+        raise ValueError("passes must be 1 or 2")
+    if bits < 64 or bits & (bits - 1):
+        raise ValueError("filter_bits must be a power of two, 64 at least")
+
+
+def _bit(key: Column, first: Column, bits: int) -> tuple[Column, Column]:
+    """Where a key and a rank stand in a bit set: number of the 64-bit word, and place in it."""
+    at = F.xxhash64(key, first).bitwiseAND(F.lit(bits - 1).cast("bigint"))
+    return F.shiftright(at, 6), at.bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+
+
+def _candidates(df: DataFrame, winners: DataFrame, first: Column, bits: int) -> DataFrame:
+    """Rows of ``df`` that may give a body: those with the rank of their key's winner, and chance hits.
+
+    The winners become a bit set of ``bits`` bits, of which at most ``bits / 64`` words of 16 bytes are broadcast
+    however many keys there are.  Beyond as many keys as bits it keeps most rows, which costs time only.
+    """
+    word, place = _bit(F.col("_key"), F.col("_first"), bits)
+    one = F.lit(1).cast("bigint")
+    words = winners.groupBy(word.alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", one, place)).alias("_bits")
+    )
+    word, place = _bit(F.col("_key"), first, bits)
+    marked = df.withColumn("_at", word).withColumn("_place", place)
+    return marked.join(F.broadcast(words), F.col("_at") == F.col("_word")).filter(
+        F.bit_get("_bits", "_place") == 1
+    )
+
+
+def _rolled(
+    df: DataFrame, keys: tuple[str, ...], totals: DataFrame, first: Column, body: Column, rank: Column, bits: int
+) -> DataFrame:
+    """``totals`` with the fields of ``body`` from each key's row of lowest ``rank``.
+
+    ``totals`` has ``_key`` and ``_first``, the lowest ``first`` of the key; ``rank`` must start with it.  Only
+    candidates are read for bodies, so no task sorts or sends bodies that cannot win.
+    """
+    # Behind a generator both uses ask for all columns, so one exchange serves the two.
+    fields = F.struct(*(c for c in totals.columns if c != "_key"))
+    totals = totals.select("_key", F.inline(F.array(fields)))
+    found = (
+        _candidates(df, totals, first, bits).groupBy("_key").agg(F.min_by(body, rank).alias("body"))
+    )
+    # A struct of the keys is never null, so keys with a null part join like others.
+    return totals.join(found, "_key", "left").select("*", *(F.col(f"_key.{k}").alias(k) for k in keys))
+
+
 def digest(
-    df: DataFrame, *, index_prefix: str = DEFAULT_INDEX_PREFIX, order: str = "time"
+    df: DataFrame,
+    *,
+    index_prefix: str = DEFAULT_INDEX_PREFIX,
+    order: str = "time",
+    passes: int = 2,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Roll fingerprinted records up to ``DIGEST_SCHEMA``.
 
     With ``order="time"`` the body is the earliest record's and ``last_seen`` the
     latest time.  ``order="arrival"`` takes both by ``seq`` instead.
+
+    Two passes: the first adds up numbers and times per fingerprint, which a hash
+    aggregate does without sorting and which shuffles no text; the second fetches the
+    bodies of the winners.  ``df`` is thus evaluated twice: give it stored records.
+    ``passes=1`` takes the bodies along in one aggregate instead, which sorts the
+    records in every task but reads them once: for small logs parsed on the fly.
     """
     check_order(order)
+    _check_passes(passes, filter_bits)
     by_time = order == "time"
     body = F.struct(F.col("ts").alias("timestamp"), *_BODY[1:])
-    # The hash leads the key: its first bytes decide nearly every comparison.
-    rolled = df.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("execution_count"),
-        F.max("query_time").alias("max_query_time"),
-        (F.max("ts") if by_time else F.max_by("ts", "seq")).alias("last_seen"),
-        F.min_by(body, F.struct(F.col("ts").isNull(), "ts", "seq") if by_time else F.col("seq")).alias("body"),
-    )
+    rank = F.struct(F.col("ts").isNull(), "ts", "seq") if by_time else F.col("seq")
+    if passes == 1:
+        rolled = df.groupBy(*KEYS).agg(
+            F.count(F.lit(1)).alias("execution_count"),
+            F.max("query_time").alias("max_query_time"),
+            (F.max("ts") if by_time else F.max_by("ts", "seq")).alias("last_seen"),
+            F.min_by(body, rank).alias("body"),
+        )
+    else:
+        keyed = df.withColumn("_key", F.struct(*KEYS))
+        counts = (F.count(F.lit(1)).alias("execution_count"), F.max("query_time").alias("max_query_time"))
+        if by_time:
+            first = F.col("ts")
+            totals = keyed.groupBy("_key").agg(
+                *counts, F.max("ts").alias("last_seen"), F.min("ts").alias("_first")
+            )
+        else:
+            # Rows of one split stand in order of a number; only splits are ranked by name.
+            first = F.struct("seq.file", "seq.start")
+            per_split = keyed.groupBy("_key", first.alias("_split")).agg(
+                *counts, F.max_by("ts", "seq.row").alias("ts")
+            )
+            totals = per_split.groupBy("_key").agg(
+                F.sum("execution_count").alias("execution_count"),
+                F.max("max_query_time").alias("max_query_time"),
+                F.max_by("ts", "_split").alias("last_seen"),
+                F.min("_split").alias("_first"),
+            )
+        rolled = _rolled(keyed, KEYS, totals, first, body, rank, filter_bits)
     # The normalised text follows from the body's query, so it is not shuffled.
     return rolled.select(
         index_name(index_prefix).alias("index_name"),
@@ -75,28 +160,51 @@ def digest(
     ).to(DIGEST_SCHEMA)
 
 
-def merge_digests(df: DataFrame, *, generation: str, order: str = "time") -> DataFrame:
-    """Re-aggregate digest rows; lower ``generation`` values arrived earlier."""
+def merge_digests(
+    df: DataFrame,
+    *,
+    generation: str,
+    order: str = "time",
+    passes: int = 2,
+    filter_bits: int = FILTER_BITS,
+) -> DataFrame:
+    """Re-aggregate digest rows; lower ``generation`` values arrived earlier.
+
+    ``passes`` as in ``digest``: with two, bodies that do not win are neither sorted nor sent.
+    """
     check_order(order)
+    _check_passes(passes, filter_bits)
     by_time = order == "time"
+    keys = (*KEYS, "index_name")
+    keyed = df.withColumn("_key", F.struct(*keys))
+    if by_time:
+        first, last = F.col("timestamp"), F.max("last_seen")
+        rank = F.struct(F.col("timestamp").isNull(), "timestamp", generation)
+    else:
+        first, last = F.col(generation), F.max_by("last_seen", generation)
+        rank = F.col(generation)
     body = F.struct(*_BODY, "normalized_query")
-    untimed = F.col("timestamp").isNull()
-    rank = F.struct(untimed, "timestamp", generation) if by_time else F.col(generation)
-    rolled = df.groupBy(*KEYS, "index_name").agg(
+    counts = (
         F.sum("execution_count").alias("execution_count"),
         F.max("max_query_time").alias("max_query_time"),
-        (F.max("last_seen") if by_time else F.max_by("last_seen", generation)).alias("last_seen"),
-        F.min_by(body, rank).alias("body"),
+        last.alias("last_seen"),
     )
+    if passes == 1:
+        rolled = df.groupBy(*keys).agg(*counts, F.min_by(body, rank).alias("body"))
+    else:
+        totals = keyed.groupBy("_key").agg(*counts, F.min(first).alias("_first"))
+        rolled = _rolled(keyed, keys, totals, first, body, rank, filter_bits)
     return rolled.select(
         "index_name", *KEYS, "execution_count", "max_query_time", "last_seen", "body.*"
     ).to(DIGEST_SCHEMA)
 
 
-def merge_digest(state: DataFrame, new: DataFrame, *, order: str = "time") -> DataFrame:
+def merge_digest(
+    state: DataFrame, new: DataFrame, *, order: str = "time", passes: int = 2
+) -> DataFrame:
     """Upsert ``new`` digests into ``state``: insert unseen keys, merge the others."""
     both = state.withColumn("_gen", F.lit(0)).unionByName(new.withColumn("_gen", F.lit(1)))
-    return merge_digests(both, generation="_gen", order=order)
+    return merge_digests(both, generation="_gen", order=order, passes=passes)
 
 
 def occurrences(df: DataFrame) -> DataFrame:

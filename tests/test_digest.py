@@ -14,6 +14,7 @@ from slowdigest.operators.digest import (
     expired_digest,
     first_arrivals,
     merge_digest,
+    merge_digests,
     occurrences,
     paged_timestamps,
     with_fingerprint,
@@ -60,6 +61,36 @@ def test_digest_by_time_and_by_arrival(spark):
         digest(records(spark, SMALL), order="random")
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 16])
+@pytest.mark.parametrize("order", ["time", "arrival"])
+def test_two_passes_equal_one(spark, order, bits):
+    """Ties, missing times, missing instances, rows of several files and splits, and a saturated filter."""
+    rng = random.Random(bits)
+    rows = []
+    for i in range(300):
+        minute = None if rng.random() < 0.2 else rng.randrange(12)
+        row = list(record(i, minute, f"SELECT {rng.choice('abcdef')} FROM t", rng.random(), rng.choice("xyz")))
+        row[0] = rng.choice(["db", "other", None])
+        row[2] = (rng.choice(["x", "y", None]), rng.choice([0, 64, None]), i)
+        rows.append(tuple(row))
+    df = records(spark, rows).repartition(5)
+    one, two = digest(df, order=order, passes=1), digest(df, order=order, filter_bits=bits)
+    assert sorted(map(repr, two.collect())) == sorted(map(repr, one.collect())) and one.count() > 10
+    parts = [digest(df.filter(F.col("seq.row") % 3 == n), order=order, passes=1).withColumn("g", F.lit(n)) for n in range(3)]
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    one = merge_digests(whole, generation="g", order=order, passes=1).collect()
+    two = merge_digests(whole, generation="g", order=order, filter_bits=bits).collect()
+    assert sorted(map(repr, two)) == sorted(map(repr, one))
+
+
+def test_digest_refuses_odd_settings(spark):
+    df = records(spark, SMALL)
+    for wrong in ({"passes": 3}, {"filter_bits": 100}, {"filter_bits": 32}):
+        with pytest.raises(ValueError):
+            digest(df, **wrong)
+    assert digest(df.limit(0)).collect() == []
+
+
 def test_digest_schema(spark):
     df = digest(records(spark, SMALL))
     assert df.schema.simpleString() == DIGEST_SCHEMA.simpleString()

@@ -13,7 +13,7 @@ from checks.oracles import ORACLES
 from checks.queries import QUERIES, _batch_records, _text_blocks, scratch
 from slowdigest.operators.batches import batch_running_totals
 from slowdigest.operators.blocks import parse_blocks
-from slowdigest.operators.digest import digest, occurrences, with_fingerprint
+from slowdigest.operators.digest import digest, merge_digest, occurrences, with_fingerprint
 from slowdigest.operators.series import trailing_trend
 from slowdigest.operators.validate import validate
 
@@ -50,7 +50,7 @@ def plan(df):
 
 
 def test_digest_plan_has_one_shuffle_and_one_normalisation_per_row(spark):
-    df = digest(with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF)))))
+    df = digest(with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF)))), passes=1)
     text = plan(df)
     assert len(re.findall("Exchange hashpartitioning", text)) == 1
     assert "partial_min_by" in text and "CartesianProduct" not in text
@@ -58,6 +58,47 @@ def test_digest_plan_has_one_shuffle_and_one_normalisation_per_row(spark):
     assert text.count("GROUP BY|ORDER BY") == 2
 
 
+def _below_first_exchange(text):
+    """For each exchange whose input is a scan: the operators between the two."""
+    lines = [(len(re.match(r"[\s:+\-|*()\d]*", line)[0]), line) for line in text.splitlines()]
+    found = []
+    for n, (depth, line) in enumerate(lines):
+        if "Exchange" not in line:
+            continue
+        below = []
+        for deeper, inner in lines[n + 1 :]:
+            if deeper <= depth:
+                break
+            below.append(inner)
+        if below and not any("Exchange" in b for b in below):
+            found.append(" ".join(below))
+    return found
+
+
+@pytest.mark.parametrize("order", ["time", "arrival"])
+def test_stored_records_are_not_sorted_for_a_digest(spark, tmp_path, order):
+    """Numbers come from a hash aggregate without text; only bodies that may win are sorted and sent."""
+    with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF)))).write.parquet(f"{tmp_path}/r")
+    df = digest(spark.read.parquet(f"{tmp_path}/r"), order=order)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    first = _below_first_exchange(text)
+    assert first and not any("Sort" in below for below in first)
+    assert all("HashAggregate" in below and "query#" not in below for below in first)
+    # Bodies are read behind the filter of the winners, which is broadcast whatever the number of keys.
+    assert re.search(r"BroadcastHashJoin \[_at#\w+\], \[_word#\w+\], Inner", text)
+
+
+def test_merge_of_stored_digests_is_not_sorted(spark, tmp_path):
+    digest(with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF)))), passes=1).write.parquet(f"{tmp_path}/d")
+    stored = spark.read.parquet(f"{tmp_path}/d")
+    first = _below_first_exchange(plan(merge_digest(stored, stored)))
+    assert first and not any("Sort" in below for below in first)
+
+
 def test_occurrence_plan_hashes_by_time_and_parses_once(spark):
     text = plan(occurrences(with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF))))))
     assert len(re.findall("Exchange hashpartitioning", text)) == 1
@@ -69,7 +110,7 @@ def test_generated_code_can_be_compiled(spark):
     """Above 8,000 bytes of a method the JVM interprets it for good."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        df = digest(with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF)))))
+        df = digest(with_fingerprint(validate(parse_blocks(_text_blocks(spark, SF)))), passes=1)
         stages = df._jdf.queryExecution().debug().codegenToSeq()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
