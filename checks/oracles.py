@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from checks.queries import COMPRESS_ABOVE, EXPIRE_DAYS, PAGE, TOTAL_BYTES, TREND_MINUTES
 from checks.render import INSTANCE, PREFIX
+from checks.variants import expected_digest, expected_fields, expected_rejects
 
 # Blanks as an RE2 class body, for the steps that are compared on raw text.
 _BLANK = (
@@ -169,6 +170,13 @@ ORACLES: dict[str, str] = {
         "SELECT reject_reason, count(*) AS blocks FROM ev"
         " WHERE reject_reason IS NOT NULL GROUP BY reject_reason"
     ),
+    "parse_variants": expected_fields(),
+    "parse_variants_single": expected_fields(single=True),
+    "read_variants": expected_fields(key=False),
+    "read_variants_single": expected_fields(single=True, key=False),
+    "variant_rejects": expected_rejects(),
+    "variant_digest": expected_digest(f"{PREFIX}-{INSTANCE}"),
+    "variant_digest_single": expected_digest(f"{PREFIX}-{INSTANCE}", single=True),
     "collapse_blanks": f"SELECT doc_id, {_steps('text', (f'[{_BLANK}]+', ' '))} AS text"
     " FROM documents",
     # A match takes the character behind a number too, so a second pass finds its neighbours.
@@ -180,8 +188,7 @@ ORACLES: dict[str, str] = {
     "normalize_in": "SELECT doc_id, "
     + _steps("sql", *_IN_STEPS)
     + """ AS text FROM (SELECT doc_id, 'SELECT max(a), Min(b) FROM t WHERE a in  ('
-        || replace(replace(text, '(', ''), ')', '')
-        || CASE WHEN doc_id % 2 = 0 THEN ') AND b = 2' ELSE '' END AS sql FROM documents)""",
+        || text || CASE WHEN doc_id % 2 = 0 THEN ') AND b = 2' ELSE '' END AS sql FROM documents)""",
     "strip_meta": _with_events(
         """SELECT event_id, '  -- note' || chr(10) || CASE kind
           WHEN 1 THEN replace(replace(query, ' FROM', chr(10) || 'FROM'), ' WHERE ',
@@ -204,22 +211,24 @@ ORACLES: dict[str, str] = {
     "query_fingerprint_rehash": _with_events(
         "SELECT event_id, md5(normalized_query) AS query_hash FROM ev"
     ),
-    "compress_oversized": f"""WITH d AS (
-        SELECT doc_id, doc_id::VARCHAR AS k,
-          replace(replace(replace(text, '''', ' '), chr(10), ' '), '#', '') AS t FROM documents),
-      s AS (SELECT doc_id, '# Query_time: 1.0  Lock_time: 0.0' AS head,
-          'SELECT case when a then ''' || t || ''' end, 1, 2,3 , 4,5,6,' || k
-          || ' FROM t WHERE a in (1, ' || k || ') GROUP BY a,b,c,d,e,f,g ORDER BY a,b; '
-          || 'INSERT INTO t VALUES (' || t || ');' AS body FROM d),
-      r AS (SELECT *, strlen(head) + 1 + strlen(body) > {COMPRESS_ABOVE} AS big,
-          {_SHORT} AS short FROM s)
+    # Lines that start with # are header lines; the others are the statement.
+    "compress_oversized": f"""WITH s AS (SELECT doc_id,
+          '# Query_time: 1.0  Lock_time: 0.0' || chr(10) || 'SELECT case when a then ''' || text
+          || ''' end, 1, 2,3 , 4,5,6,' || doc_id || ' FROM t WHERE a in (1, ' || doc_id
+          || ') GROUP BY a,b,c,d,e,f,g ORDER BY a,b;' || chr(10) || 'INSERT INTO t VALUES (' || text || ');' AS whole
+        FROM documents),
+      l AS (SELECT *, string_split(whole, chr(10)) AS ls FROM s),
+      p AS (SELECT *,
+          array_to_string(list_filter(ls, lambda x: NOT starts_with(x, '#')), ' ') AS body,
+          array_to_string(list_transform(list_filter(ls, lambda x: starts_with(x, '#')),
+            lambda x: chr(10) || x), '') AS head FROM l),
+      r AS (SELECT *, strlen(whole) > {COMPRESS_ABOVE} AS big, {_SHORT} AS short FROM p)
       SELECT doc_id,
         CASE WHEN NOT big THEN NULL WHEN strlen(short) <= strlen(body) * 0.5 THEN 'compressed'
           ELSE 'dropped' END AS oversize,
-        CASE WHEN NOT big THEN head || chr(10)
-            || replace(body, '; INSERT INTO t VALUES', ';' || chr(10) || 'INSERT INTO t VALUES')
-          WHEN strlen(short) <= strlen(body) * 0.5 THEN chr(10) || head || chr(10) || short
-          ELSE chr(10) || head END AS block
+        CASE WHEN NOT big THEN whole
+          WHEN strlen(short) <= strlen(body) * 0.5 THEN head || chr(10) || short
+          ELSE head END AS block
       FROM r""",
     "digest": _DIGEST,
     "digest_arrival": _DIGEST_ARRIVAL,

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.render import INSTANCE, PREFIX, events, log_blocks, statement, table, write_logs
+from checks.variants import BOUND, variant_blocks, write_variants
 from slowdigest.functions import normalize as N
 from slowdigest.operators import batches, chunks, series
 from slowdigest.operators.blocks import compress_blocks, parse_blocks, split_blocks
@@ -210,6 +211,66 @@ def q_reject_summary(spark, sf):
     return reject_summary(with_reject_reason(parse_blocks(_text_blocks(spark, sf))))
 
 
+# ---------------------------------------------------------------- blocks of every shape
+
+
+def _variants(spark: SparkSession, sf: str, profile: str = "modular") -> DataFrame:
+    return split_blocks(variant_blocks(events(spark, sf)), "text", profile=profile)
+
+
+def _counts_as_text(df: DataFrame) -> DataFrame:
+    """Unreadable counts are null; as text they compare alike whatever holds the numbers."""
+    return df.withColumns({c: F.col(c).cast("string") for c in ("rows_examined", "rows_sent")})
+
+
+def q_parse_variants(spark, sf):
+    return _counts_as_text(_parsed_columns(parse_blocks(_variants(spark, sf)), "event_id"))
+
+
+def q_parse_variants_single(spark, sf):
+    parsed = parse_blocks(_variants(spark, sf, "single_file"), profile="single_file")
+    return _counts_as_text(_parsed_columns(parsed, "event_id"))
+
+
+def _read_variants(spark, sf, profile):
+    folder = f"{scratch(spark)}/logs"
+    write_variants(events(spark, sf), folder, 5)
+    blocks = read_slow_log(spark, folder, INSTANCE, profile=profile)
+    return _counts_as_text(_parsed_columns(parse_blocks(blocks, profile=profile)))
+
+
+def q_read_variants(spark, sf):
+    return _read_variants(spark, sf, "modular")
+
+
+def q_read_variants_single(spark, sf):
+    return _read_variants(spark, sf, "single_file")
+
+
+def q_variant_rejects(spark, sf):
+    """Reasons of both profiles; blocks beyond the bound that cannot be shortened are among them."""
+    found = [
+        reject_summary(
+            slow_query_records(_variants(spark, sf, profile), profile=profile, max_block_bytes=BOUND)
+        ).select(F.lit(profile).alias("profile"), "reject_reason", "blocks")
+        for profile in ("modular", "single_file")
+    ]
+    return found[0].unionByName(found[1])
+
+
+def _variant_digest(spark, sf, profile):
+    records = slow_query_records(_variants(spark, sf, profile), profile=profile)
+    return _counts_as_text(_digest_columns(digest(_stored(spark, records.filter(~F.col("rejected"))))))
+
+
+def q_variant_digest(spark, sf):
+    return _variant_digest(spark, sf, "modular")
+
+
+def q_variant_digest_single(spark, sf):
+    return _variant_digest(spark, sf, "single_file")
+
+
 # ---------------------------------------------------------------- normalisation
 
 
@@ -225,7 +286,7 @@ def q_normalize_in(spark, sf):
     end = F.when(F.col("doc_id") % 2 == 0, ") AND b = 2").otherwise("")
     sql = F.concat(
         F.lit("SELECT max(a), Min(b) FROM t WHERE a in  ("),
-        F.translate("text", "()", ""),
+        F.col("text"),
         end,
     )
     return _documents(spark, sf).select("doc_id", N.fold_in_lists(sql).alias("text"))
@@ -267,7 +328,7 @@ def q_query_fingerprint_rehash(spark, sf):
 
 def q_compress_oversized(spark, sf):
     """Every document as a statement with literals, lists, CASE, ORDER BY and GROUP BY."""
-    text = F.translate("text", "'\n#", "  ")
+    text = F.col("text")
     key = F.col("doc_id").cast("string")
     sql = F.concat(
         F.lit("# Query_time: 1.0  Lock_time: 0.0\nSELECT case when a then '"),
@@ -572,6 +633,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_single_file": q_valid_single_file,
     "rejects": q_rejects,
     "reject_summary": q_reject_summary,
+    "parse_variants": q_parse_variants,
+    "parse_variants_single": q_parse_variants_single,
+    "read_variants": q_read_variants,
+    "read_variants_single": q_read_variants_single,
+    "variant_rejects": q_variant_rejects,
+    "variant_digest": q_variant_digest,
+    "variant_digest_single": q_variant_digest_single,
     "collapse_blanks": _over_documents(N.collapse_blanks),
     "normalize_numbers": _over_documents(N.mask_numbers),
     "normalize_strings": _over_documents(N.mask_strings),

@@ -38,10 +38,10 @@ SERVER_LINE_MARKS = (
 # A text without any of these has no such line.
 _SERVER_LINE_HINTS = ("Version: 8.0.28", "started with:", "Tcp port:", "Id Command")
 
-# Shapes of a marker line's timestamp: ISO, the older "yymmdd hh:mm:ss", epoch millis.
-_TIMESTAMP_SHAPE = (
-    rf"\A[{BLANK_IN_LINE}]*+"
-    r"(?:\d{4}-\d{2}-\d{2}|\d{6} +\d{1,2}:\d{2}:\d{2}|\d{10,}(?:\s|\z))"
+# What may follow a marker on its line: a blank, nothing, or a time without a blank before it
+# (ISO, the older "yymmdd hh:mm:ss", epoch millis).
+_MARKER_REST = (
+    r"\A(?:[\s\x1c-\x1f]|\d{4}-\d{2}-\d{2}|\d{6} +\d{1,2}:\d{2}:\d{2}|\d{10,}(?:\s|\z))"
 )
 
 _HB = f"[{BLANK_IN_LINE}]"
@@ -54,20 +54,28 @@ _USER_LOOSE = rf"# User@Host: ([{WORD}]+)(?:\[[^\]\n]+\])*{_HB}*@{_HB}*([^{BLANK
 _USER_STRICT = rf"# User@Host:{_HB}*([{WORD}]+)\[[{WORD}]+\]{_HB}*@{_HB}*([{WORD}.\-]+)"
 
 
-def _common_head(keep_set_timestamp: bool) -> str:
+def _common_head(single: bool) -> str:
     """The head that nearly every block has, for one anchored pass.
 
-    Groups: time, name, host, query time, lock time, rows sent, rows examined, and
-    a ``use`` line.  It admits only what the line rules would read the same way.
+    Groups: time, name, host, bare address, query time, lock time, rows sent, rows examined,
+    and a ``use`` line.  It admits only what the line rules would read the same way: in the
+    modular profile also names without brackets and a bare address for a host.
     """
     number = r"[0-9]++(?:\.[0-9]*+)?"
-    skipped = "" if keep_set_timestamp else r"(?:\nSET timestamp=[^\n]*+)?"
+    address = r"\[[0-9a-fA-F.:]*+\]"
+    login = rf"\[[{WORD}]++\]" if single else rf"(?:\[[{WORD}\-]++\])?+"
+    host = rf"([{WORD}.\-]++)(?:\x20*+{address})?+"
+    # Group 4 is there in both profiles, so that the fields have the same numbers.
+    host = rf"{host}((?!))?+" if single else rf"(?:{host}|\x20*+({address}))"
+    skipped = r"(?:\nSET timestamp=[^\n]*+)?" if not single else ""
     return (
         r"\A\x20?([!-~]++(?:\x20++[!-~]++)?)\n"
-        rf"# User@Host: ([{WORD}]++)\[[{WORD}]++\] @ ([{WORD}.\-]++)"
-        r"\x20*+(?:\[[0-9a-fA-F.:]*+\])?\x20*+(?:Id:\x20*+[0-9]++)?\x20*+\n"
+        rf"# User@Host: ([{WORD}]++){login} @ {host}"
+        r"\x20*+(?:Id:\x20*+[0-9]++)?\x20*+\n"
         rf"# Query_time: ({number})\x20++Lock_time: ({number})"
-        r"\x20++Rows_sent: ([0-9]++)\x20++Rows_examined: ([0-9]++)(?=\n)"
+        r"\x20++Rows_sent: ([0-9]++)\x20++Rows_examined: ([0-9]++)"
+        # Further fields, as servers write them on request.
+        r"(?:\x20++[A-Za-z_]++:\x20*+[!-~]++)*+\x20*+(?=\n)"
         # A "use" line may stand in front of the skipped one and is kept.
         rf"((?:\nuse [^\n]*+)?){skipped}"
     )
@@ -89,8 +97,11 @@ def split_blocks(
 
     Other columns are kept.  Adds ``block`` (see the module docstring) and
     ``has_time``: false for text in front of the first marker.  With
-    ``marker_consumed`` the text was already cut at markers by the reader, so a
-    leading piece is a block if it starts with a timestamp.
+    ``marker_consumed`` the text was already cut at markers by the reader, and
+    ``split_start`` says where its piece of the file begins.  Behind the start of a
+    file every text follows a marker, whatever it looks like.  In a file's first piece
+    one text may stand before any marker; it is told by its first character, because a
+    marker is followed by a blank, by the line's end or by a time.
     """
     check_profile(profile)
     # Lines are stripped before the marker test, except in the single_file profile.
@@ -100,7 +111,9 @@ def split_blocks(
     if marker_consumed:
         # Only indented markers and one that starts a file are left to cut at.
         pieces = F.when(F.contains(text, F.lit("# Time:")), pieces).otherwise(F.array(text))
-        leads = like(F.col("block"), _TIMESTAMP_SHAPE)
+        leads = like(F.col("block"), _MARKER_REST)
+        if "split_start" in df.columns:
+            leads = (F.col("split_start") > 0) | leads
     else:
         leads = F.lit(False)
     others = [c for c in df.columns if c != text_col]
@@ -221,7 +234,7 @@ def parse_blocks(
 
     ``compat_rows`` reads the row counts only where ``Rows_examined`` stands
     before ``Rows_sent`` on a line without ``Query_time``; the default reads each
-    on its own.  ``drop_preamble`` removes lines that a server writes on
+    on its own.  A count beyond the range of longs is null, a missing one 0.  ``drop_preamble`` removes lines that a server writes on
     start; a statement line with the same words goes with them, so it is off unless asked for.
     """
     check_profile(profile)
@@ -237,8 +250,8 @@ def parse_blocks(
     # rows sent, rows examined, and for the common head also time and statement.
     # The common head has its row counts on the Query_time line, where the
     # single_file profile and compat_rows do not look.
-    counts = "0\t0" if single or compat_rows else "$6\t$7"
-    common_fields = f"$2\t$3\t$4\t$5\t{counts}\t$1\t$8"
+    counts = "0\t0" if single or compat_rows else "$7\t$8"
+    common_fields = f"$2\t$3$4\t$5\t$6\t{counts}\t$1\t$9"
     base = df.select(
         given("instance_id", "string"),
         given("source_file", "string"),
@@ -276,6 +289,11 @@ def parse_blocks(
     def number(position: int, kind: str) -> Column:
         return F.coalesce(F.element_at("_field", position).try_cast(kind), F.lit(0).cast(kind))
 
+    def counted(position: int) -> Column:
+        # A line without the field gives 0; a count too large for a long gives null.
+        text = F.element_at("_field", position)
+        return F.when(text != "", text.try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+
     parsed = F.struct(
         F.col("_at").alias("timestamp_raw"),
         _to_timestamp(F.col("_at")).alias("ts"),
@@ -283,8 +301,8 @@ def parse_blocks(
         F.element_at("_field", 2).alias("_host"),
         number(3, "double").alias("query_time"),
         number(4, "double").alias("lock_time"),
-        number(5, "bigint").alias("rows_sent"),
-        number(6, "bigint").alias("rows_examined"),
+        counted(5).alias("rows_sent"),
+        counted(6).alias("rows_examined"),
         join_lines(F.col("_statement")).alias("query"),
     )
     read = (
