@@ -81,6 +81,9 @@ def _digest(by: str = "ts", last: str = "max(ts)", source: str = "valid", body:
     FROM {source} GROUP BY instance_id, query_hash, normalized_query"""
 
 
+_CUTOFF = f"TIMESTAMP '2024-01-31' - to_days({EXPIRE_DAYS})"
+_GONE = f"""gone AS (SELECT query_hash FROM valid GROUP BY query_hash HAVING max(ts) <= {_CUTOFF})"""
+
 _DIGEST = _with_events(_digest())
 _DIGEST_ARRIVAL = _with_events(_digest("event_id", "arg_max(ts, event_id)"))
 _DIGEST_SINGLE = f"""WITH {_EVENTS},
@@ -261,6 +264,21 @@ ORACLES: dict[str, str] = {
         FROM valid"""
     ),
     "stream_digest": _DIGEST,
+    "expire_table": f"""WITH {_EVENTS}, {_GONE},
+      held AS (SELECT * FROM valid WHERE query_hash NOT IN (SELECT query_hash FROM gone)
+        UNION ALL SELECT * FROM valid WHERE event_id % 7 = 0 AND day(ts) <= 15)
+      {_digest(source="held")}""",
+    "expire_table_counts": f"""WITH {_EVENTS}, {_GONE},
+      old AS (SELECT * FROM valid WHERE query_hash IN (SELECT query_hash FROM gone)),
+      refused AS (SELECT * FROM ev WHERE reject_reason IS NOT NULL AND ts <= {_CUTOFF})
+      SELECT (SELECT count(*) FROM gone) AS digests,
+        (SELECT count(*) FROM (SELECT DISTINCT query_hash, ts FROM old)) AS occurrences,
+        (SELECT count(*) FROM old) + (SELECT count(*) FROM refused) AS records,
+        (SELECT count(*) FROM ev) - (SELECT count(*) FROM old) - (SELECT count(*) FROM refused)
+          AS records_left""",
+    "table_occurrences": _with_events("SELECT DISTINCT instance_id, query_hash, ts FROM valid"),
+    "two_writers": _with_events(f"SELECT *, CAST(1 AS BIGINT) AS refused FROM ({_digest()})"),
+    "stream_replay": _DIGEST,
     "run_summary": f"""WITH {_BATCHES} SELECT job, CAST(sum(size) AS BIGINT) AS processed_queries,
         CAST(sum(CASE WHEN success THEN size ELSE 0 END) AS BIGINT) AS indexed_documents,
         CAST(sum(CASE WHEN success THEN 0 ELSE size END) AS BIGINT) AS error_count,

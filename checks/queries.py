@@ -10,6 +10,7 @@ import datetime as dt
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,7 @@ from slowdigest.sources.slowlog import (
     to_upsert_actions,
     write_digest,
 )
+from slowdigest.sources.storage import forget_commit
 from slowdigest.streaming.digest_stream import digest_stream
 
 AS_OF = dt.datetime(2024, 1, 31)
@@ -504,6 +506,92 @@ def q_stream_digest(spark, sf):
     return _digest_columns(DigestTable(spark, f"{root}/table").digests())
 
 
+# ---------------------------------------------------------------- a table over many loads
+
+
+def _loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Judged records with ``event_id``, written once; a load takes some of them."""
+    text = log_blocks(events(spark, sf)).select(F.lit(INSTANCE).alias("instance_id"), "event_id", "text")
+    return _stored(spark, slow_query_records(split_blocks(text, "text")))
+
+
+def _loaded(spark: SparkSession, parts: list[DataFrame]) -> DigestTable:
+    table = DigestTable(spark, f"{scratch(spark)}/table")
+    for version, part in enumerate(parts):
+        table.write(version, part, index_prefix=PREFIX)
+    return table
+
+
+def _expired_table(spark, sf):
+    records = _loads(spark, sf)
+    early = F.dayofmonth("ts") <= 15
+    table = _loaded(spark, [records.filter(early), records.filter(~early)])
+    return records, table, table.expire(EXPIRE_DAYS, as_of=AS_OF)
+
+
+def q_expire_table(spark, sf):
+    """Two loads, retention, and a load in which some of the removed fingerprints come back."""
+    records, table, _ = _expired_table(spark, sf)
+    back = (F.col("event_id") % 7 == 0) & (F.dayofmonth("ts") <= 15)
+    table.write(2, records.filter(back), index_prefix=PREFIX)
+    return _digest_columns(table.digests())
+
+
+def q_expire_table_counts(spark, sf):
+    _, table, gone = _expired_table(spark, sf)
+    left = table.records().agg(F.count(F.lit(1)).alias("records_left"))
+    return left.select(
+        F.lit(gone.digests).cast("bigint").alias("digests"),
+        F.lit(gone.occurrences).cast("bigint").alias("occurrences"),
+        F.lit(gone.records).cast("bigint").alias("records"),
+        "records_left",
+    )
+
+
+def q_table_occurrences(spark, sf):
+    """Nine loads, the first eight of them folded into one run."""
+    records = _loads(spark, sf)
+    table = _loaded(spark, [records.filter(F.col("event_id") % 9 == n) for n in range(9)])
+    table.compact(8)
+    return table.occurrences().select("instance_id", "query_hash", _naive("ts").alias("ts"))
+
+
+def q_two_writers(spark, sf):
+    """Two writers claim one table at once; the one that gets it loads, the other is refused."""
+    table = DigestTable(spark, f"{scratch(spark)}/table")
+
+    def claimed(writer: str) -> bool:
+        try:
+            table.claim(writer)
+        except RuntimeError:
+            return False
+        return True
+
+    with ThreadPoolExecutor(2) as pool:
+        won = list(pool.map(claimed, ("a", "b")))
+    if sum(won) == 1:
+        table.write(0, _loads(spark, sf), index_prefix=PREFIX)
+    return _digest_columns(table.digests(), F.lit(won.count(False)).cast("bigint").alias("refused"))
+
+
+def q_stream_replay(spark, sf):
+    """The last batch of a stream loses its commit and runs again."""
+    logs = _written_logs(spark, sf)
+    root = scratch(spark)
+
+    def drain():
+        source = stream_slow_log(spark, logs, INSTANCE, max_files_per_trigger=2)
+        digest_stream(
+            source, f"{root}/table", f"{root}/checkpoint", compact_every=2, available_now=True
+        ).awaitTermination()
+
+    drain()
+    table = DigestTable(spark, f"{root}/table")
+    forget_commit(spark, f"{root}/checkpoint", table.newest())
+    drain()
+    return _digest_columns(table.digests())
+
+
 # ---------------------------------------------------------------- run statistics
 
 
@@ -666,6 +754,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "digest_stats": q_digest_stats,
     "upsert_actions": q_upsert_actions,
     "stream_digest": q_stream_digest,
+    "expire_table": q_expire_table,
+    "expire_table_counts": q_expire_table_counts,
+    "table_occurrences": q_table_occurrences,
+    "two_writers": q_two_writers,
+    "stream_replay": q_stream_replay,
     "run_summary": q_run_summary,
     "batch_summary": q_batch_summary,
     "error_distribution": q_error_distribution,

@@ -291,12 +291,16 @@ def digest_documents(
     )
 
 
-def _expired(days: int, as_of: datetime | Column) -> Column:
+def retention_cutoff(days: int, as_of: datetime | Column) -> Column:
+    """The latest ``last_seen`` that is too old."""
     if days < 0:
         raise ValueError("days must not be negative")
     now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    cutoff = now - F.make_interval(days=F.lit(days))
-    return F.coalesce(F.col("last_seen") <= cutoff, F.lit(False))
+    return now - F.make_interval(days=F.lit(days))
+
+
+def _expired(days: int, as_of: datetime | Column) -> Column:
+    return F.coalesce(F.col("last_seen") <= retention_cutoff(days, as_of), F.lit(False))
 
 
 def expire_digest(

@@ -53,17 +53,23 @@ def run_batch(
     order: str = "time",
     profile: str = "modular",
     job: str = "slow-log",
+    compact_every: int | None = 20,
     **options,
 ) -> DigestTable:
     """Load all slow logs under ``path`` as the next version of a digest table.
 
     A batch load has no memory of files: loading the same ones again counts them
-    again.  ``digest_stream`` with ``available_now`` takes only new files.  ``options`` go to ``slow_query_records``.
+    again.  ``digest_stream`` with ``available_now`` takes only new files.  Every ``compact_every`` loads the table
+    is compacted.  ``options`` go to ``slow_query_records``.
     """
+    if compact_every is not None and compact_every <= 0:
+        raise ValueError("compact_every must be positive")
     table = DigestTable(spark, table_root, order=order)
     blocks = read_slow_log(spark, path, instance_id, profile=profile)
     records = slow_query_records(blocks, profile=profile, **options)
     table.claim("run_batch")
-    version = max(table.versions_kept(), default=-1) + 1
+    version = table.newest() + 1
     table.load(version, records, index_prefix=index_prefix, job=job)
+    if compact_every is not None and (version + 1) % compact_every == 0:
+        table.compact(version)
     return table

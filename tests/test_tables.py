@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import shutil
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +15,8 @@ from slowdigest.operators.blocks import parse_blocks
 from slowdigest.operators.digest import digest, occurrences, with_fingerprint
 from slowdigest.operators.validate import validate
 from slowdigest.plans.batch import run_batch, slow_query_records
-from slowdigest.sources.digest_table import DigestTable
+from slowdigest.sources import digest_table
+from slowdigest.sources.digest_table import DigestTable, Expired
 from slowdigest.schema import DIGEST_SCHEMA
 from slowdigest.sources.slowlog import (
     WriteCounts,
@@ -24,7 +27,7 @@ from slowdigest.sources.slowlog import (
     to_upsert_actions,
     write_digest,
 )
-from slowdigest.sources.storage import committed_versions
+from slowdigest.sources.storage import Run, committed_versions, cover, create_once
 from slowdigest.streaming.digest_stream import digest_stream
 
 SF = "/root/testdata/sf0.001"
@@ -238,6 +241,116 @@ def test_stream_options(spark, logs, tmp_path):
         digest_stream(source, str(tmp_path), str(tmp_path / "c"), compact_every=0)
 
 
+@pytest.mark.parametrize("order", ["time", "arrival"])
+def test_large_loads_take_two_passes(spark, logs, tmp_path, order):
+    """The bound is one of cost: both ways give the same table."""
+    found = []
+    for bound in (0, 1 << 60):
+        table = DigestTable(spark, str(tmp_path / str(bound)), order=order, two_pass_bytes=bound)
+        for v in range(3):
+            part = slow_query_records(read_slow_log(spark, logs, "db-1")).filter(F.second("ts") % 3 == v)
+            table.write(v, part, index_prefix="p")
+        table.compact(1)
+        found.append(sorted(table.digests().collect()))
+    assert found[0] == found[1] and found[0]
+
+
+def test_cover_takes_the_widest_and_latest():
+    runs = [Run(0, 0, 0), Run(0, 1, 0), Run(0, 1, 1), Run(2, 2, 0), Run(2, 2, 1), Run(1, 1, 3), Run(3, 3, 0)]
+    assert [r.name for r in cover(runs)] == ["r=0-1-1", "r=2-2-1", "v=3"]
+    assert cover([]) == []
+
+
+def test_folds_are_few_and_keep_every_row(spark, logs, tmp_path, monkeypatch):
+    monkeypatch.setattr(digest_table, "FAN", 2)
+    root = str(tmp_path / "t")
+    table = DigestTable(spark, root)
+    records = slow_query_records(read_slow_log(spark, logs, "db-1")).withColumn("_part", F.second("ts") % 6)
+    records.write.parquet(str(tmp_path / "r"))
+    records = spark.read.parquet(str(tmp_path / "r"))
+
+    def load(v):
+        table.write(v, records.filter(F.col("_part") == v).drop("_part"), index_prefix="p")
+
+    def state():
+        return sorted(table.occurrences().collect()), sorted(map(repr, table.records().drop("v").collect()))
+
+    for v in range(6):
+        load(v)
+        for part in ("occurrences", "records"):
+            table.fold(part, v)
+    whole = state()
+    assert whole[0] == sorted(occurrences(records.filter("not rejected")).collect())
+    assert len(whole[1]) == records.count()
+    assert [r.name for r in table.runs("occurrences")] == ["r=0-3-0", "r=4-5-0"]
+    # A fold that is repeated, and a load that runs again after it was folded, change nothing.
+    load(4)
+    table.fold("occurrences", 5)
+    table.fold("records", 5)
+    assert state() == whole
+    assert len(list((tmp_path / "t" / "occurrences").iterdir())) <= 3
+    assert sorted({r.v for r in table.records().select("v").collect()}) == list(range(6))
+
+
+def test_retention_in_a_table(spark, tmp_path, monkeypatch):
+    block = (
+        "# Time: 2024-01-{0:02d}T00:00:00Z\n# User@Host: a[a] @ h []\n"
+        "# Query_time: {2}  Lock_time: 0.0 Rows_sent: 1  Rows_examined: 1\nSELECT {1};\n"
+    )
+
+    def load(name, *rows):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "slowquery.log").write_text("".join(block.format(*r) for r in rows))
+        return run_batch(spark, str(folder), "db", str(tmp_path / "t"))
+
+    load("a", (1, "x", 9.0), (2, "x", 1.0), (3, "y", 1.0), (2, "late", 0.01), (20, "quick", 0.01))
+    table = load("b", (4, "x", 1.0), (9, "y", 1.0))
+    assert table.expire(5, as_of=dt.datetime(2024, 1, 8)) == Expired(0, 0, 1)
+    assert table.expire(5, as_of=dt.datetime(2024, 1, 9)) == Expired(1, 3, 3)
+    assert {r.normalized_query for r in table.digests().collect()} == {"SELECT y"}
+    assert table.occurrences().count() == 2
+    assert sorted(r.query for r in table.records().collect()) == ["SELECT quick;", "SELECT y;", "SELECT y;"]
+    # Compacting the same version again does not bring anything back.
+    table.compact(1)
+    assert table.digests().count() == 1
+    table = load("c", (10, "x", 2.0))
+    back = {r.normalized_query: r for r in table.digests().collect()}
+    assert (back["SELECT x"].execution_count, back["SELECT x"].max_query_time) == (1, 2.0)
+    assert back["SELECT y"].execution_count == 2
+    # A call that is interrupted is finished by the next one, with the keys it had stored.
+    monkeypatch.setattr(DigestTable, "_expire_part", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        table.expire(1, as_of=dt.datetime(2024, 1, 10))
+    monkeypatch.undo()
+    assert table.expire(30, as_of=dt.datetime(2024, 1, 10)) == Expired(1, 2, 2)
+    assert {r.normalized_query for r in table.digests().collect()} == {"SELECT x"}
+    with pytest.raises(ValueError):
+        table.expire(-1, as_of=dt.datetime(2024, 1, 10))
+    assert DigestTable(spark, str(tmp_path / "none")).expire(as_of=dt.datetime(2024, 1, 1)) == Expired(0, 0, 0)
+
+
+def test_one_of_many_creates(spark, tmp_path):
+    def create(n):
+        path = str(tmp_path / "x" / "one")
+        return create_once(spark, path, lambda p: spark.range(n, n + 1).coalesce(1).write.parquet(p))
+
+    with ThreadPoolExecutor(6) as pool:
+        made = list(pool.map(create, range(6)))
+    assert sum(made) == 1
+    assert spark.read.parquet(str(tmp_path / "x" / "one" / "part-*")).first()[0] == made.index(True)
+    assert [p.name for p in (tmp_path / "x").iterdir()] == ["one"]
+
+
+def test_run_batch_compacts(spark, logs, tmp_path):
+    for _ in range(2):
+        table = run_batch(spark, logs, "db-1", str(tmp_path / "t"), compact_every=2)
+    assert committed_versions(spark, f"{tmp_path}/t/base") == [1]
+    with pytest.raises(ValueError):
+        run_batch(spark, logs, "db-1", str(tmp_path / "t"), compact_every=0)
+    assert table.newest() == 1
+
+
 def test_second_writer_is_refused(spark, logs, tmp_path):
     root = str(tmp_path / "t")
     source = lambda: stream_slow_log(spark, logs, "db-1")
