@@ -6,7 +6,15 @@ come out as.
 
 from __future__ import annotations
 
-from checks.queries import COMPRESS_ABOVE, EXPIRE_DAYS, PAGE, TOTAL_BYTES, TREND_MINUTES
+from checks.queries import (
+    COMPRESS_ABOVE,
+    EXPIRE_DAYS,
+    PAGE,
+    ROTATED,
+    SPARSE,
+    TOTAL_BYTES,
+    TREND_MINUTES,
+)
 from checks.render import INSTANCE, PREFIX
 from checks.variants import expected_digest, expected_fields, expected_rejects
 
@@ -86,13 +94,17 @@ _GONE = f"""gone AS (SELECT query_hash FROM valid GROUP BY query_hash HAVING max
 
 _DIGEST = _with_events(_digest())
 _DIGEST_ARRIVAL = _with_events(_digest("event_id", "arg_max(ts, event_id)"))
+_ROTATED_AT = f"(event_id % {len(ROTATED)} * 1000000000000 + event_id)"
+_DIGEST_ROTATED = _with_events(_digest(_ROTATED_AT, f"arg_max(ts, {_ROTATED_AT})"))
 _DIGEST_SINGLE = f"""WITH {_EVENTS},
   single AS (SELECT * REPLACE (
       CAST(0 AS BIGINT) AS rows_examined, CAST(0 AS BIGINT) AS rows_sent,
       'SET timestamp=' || epoch_us(ts) // 1000000 || '; ' || query AS query) FROM valid)
   {_digest(source="single")}"""
 
-_PAGES = """SELECT query_hash, count(*) OVER (PARTITION BY query_hash) AS execution_count,
+_PAGES = """SELECT query_hash,
+    CASE WHEN row_number() OVER (PARTITION BY query_hash ORDER BY {order}) <= {page}
+      THEN count(*) OVER (PARTITION BY query_hash) ELSE 0 END AS execution_count,
     (row_number() OVER (PARTITION BY query_hash ORDER BY {order}) - 1) // {page} AS page,
     CAST((row_number() OVER (PARTITION BY query_hash ORDER BY {order}) - 1) % {page} AS INTEGER)
       AS pos, ts
@@ -237,6 +249,7 @@ ORACLES: dict[str, str] = {
     "digest_arrival": _DIGEST_ARRIVAL,
     "digest_stored": _DIGEST,
     "digest_stored_arrival": _DIGEST_ARRIVAL,
+    "digest_arrival_rotated": _DIGEST_ROTATED,
     "digest_single_file": _DIGEST_SINGLE,
     "merge_digest": _DIGEST,
     "merge_digest_stored": _DIGEST,
@@ -303,6 +316,16 @@ ORACLES: dict[str, str] = {
         CASE WHEN row_number() OVER w >= 10 THEN round(avg(duration) OVER l, 4) END AS rolling_mean
       FROM b WINDOW w AS (PARTITION BY job ORDER BY batch_id),
         l AS (PARTITION BY job ORDER BY batch_id ROWS 9 PRECEDING)""",
+    "batch_running_totals_sparse": f"""WITH {_BATCHES} SELECT job,
+        batch_id * {SPARSE} - 1000000000000000 AS batch_id,
+        CAST(sum(CASE WHEN success THEN size ELSE 0 END) OVER w AS BIGINT) AS success_count,
+        CAST(sum(CASE WHEN success THEN 0 ELSE size END) OVER w AS BIGINT) AS error_count
+      FROM b WINDOW w AS (PARTITION BY job ORDER BY batch_id)""",
+    "batch_rolling_mean_sparse": f"""WITH {_BATCHES} SELECT job,
+        batch_id * {SPARSE} - 1000000000000000 AS batch_id,
+        CASE WHEN row_number() OVER w >= 10 THEN round(avg(duration) OVER l, 4) END AS rolling_mean
+      FROM b WINDOW w AS (PARTITION BY job ORDER BY batch_id),
+        l AS (PARTITION BY job ORDER BY batch_id ROWS 9 PRECEDING)""",
     "batch_rolling_mean_short": f"""WITH {_BATCHES} SELECT job, batch_id,
         round(avg(size) OVER l, 4) AS rolling_mean
       FROM b WINDOW l AS (PARTITION BY job ORDER BY batch_id ROWS 4 PRECEDING)""",

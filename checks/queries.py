@@ -50,6 +50,8 @@ TREND_MINUTES = 10 * 24 * 60
 PAGE = 4
 COMPRESS_ABOVE = 400
 TOTAL_BYTES = 10**14
+ROTATED = ("c-oldest", "b-older", "a-newest")
+SPARSE = 4_000_000_007
 
 
 def scratch(spark: SparkSession) -> str:
@@ -371,6 +373,16 @@ def q_digest_arrival(spark, sf):
     return _digest_columns(digest(with_fingerprint(validate(parsed)), order="arrival", passes=1))
 
 
+def q_digest_arrival_rotated(spark, sf):
+    """Three files written one after the other, the oldest with the highest name."""
+    root = f"{scratch(spark)}/logs"
+    for n, name in enumerate(ROTATED):
+        part = events(spark, sf).filter(F.col("event_id") % len(ROTATED) == n)
+        write_logs(part.coalesce(1).sortWithinPartitions("event_id"), f"{root}/{name}")
+    parsed = parse_blocks(read_slow_log(spark, root, INSTANCE, file_order="modified"))
+    return _digest_columns(digest(with_fingerprint(validate(parsed)), order="arrival", passes=1))
+
+
 def q_digest_single_file(spark, sf):
     records = slow_query_records(_text_blocks(spark, sf, "single_file"), profile="single_file")
     return _digest_columns(digest(records.filter(~F.col("rejected")), passes=1))
@@ -409,8 +421,12 @@ def q_occurrences(spark, sf):
 
 
 def _exploded_pages(documents: DataFrame) -> DataFrame:
+    """One row per time; the digest's fields stand on page 0 and come back by their key."""
     return documents.select(
-        "query_hash", "execution_count", "page", F.posexplode("timestamps").alias("pos", "ts")
+        "query_hash",
+        F.coalesce("execution_count", F.lit(0)).alias("execution_count"),
+        "page",
+        F.posexplode("timestamps").alias("pos", "ts"),
     ).select("query_hash", "execution_count", "page", "pos", _naive("ts").alias("ts"))
 
 
@@ -630,6 +646,22 @@ def q_batch_rolling_mean(spark, sf):
     return _rounded(df.select("job", "batch_id", "rolling_mean"), "rolling_mean")
 
 
+def _sparse_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batch numbers so far apart that every slot holds one row at most."""
+    return _batch_records(spark, sf).withColumn("batch_id", F.col("batch_id") * SPARSE - 10**15)
+
+
+def q_batch_running_totals_sparse(spark, sf):
+    return batches.batch_running_totals(_sparse_batches(spark, sf)).select(
+        "job", "batch_id", "success_count", "error_count"
+    )
+
+
+def q_batch_rolling_mean_sparse(spark, sf):
+    df = batches.batch_rolling_mean(_sparse_batches(spark, sf))
+    return _rounded(df.select("job", "batch_id", "rolling_mean"), "rolling_mean")
+
+
 def q_batch_rolling_mean_short(spark, sf):
     df = batches.batch_rolling_mean(_batch_records(spark, sf), "size", size=5, full_only=False)
     return _rounded(df.select("job", "batch_id", "rolling_mean"), "rolling_mean")
@@ -741,6 +773,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "digest_arrival": q_digest_arrival,
     "digest_stored": q_digest_stored,
     "digest_stored_arrival": q_digest_stored_arrival,
+    "digest_arrival_rotated": q_digest_arrival_rotated,
     "digest_single_file": q_digest_single_file,
     "merge_digest": q_merge_digest,
     "merge_digest_stored": q_merge_digest_stored,
@@ -765,6 +798,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "error_list": q_error_list,
     "batch_running_totals": q_batch_running_totals,
     "batch_rolling_mean": q_batch_rolling_mean,
+    "batch_running_totals_sparse": q_batch_running_totals_sparse,
+    "batch_rolling_mean_sparse": q_batch_rolling_mean_sparse,
     "batch_rolling_mean_short": q_batch_rolling_mean_short,
     "chunk_status": q_chunk_status,
     "failed_chunks": q_failed_chunks,

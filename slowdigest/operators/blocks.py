@@ -229,8 +229,8 @@ def parse_blocks(
 ) -> DataFrame:
     """Parse ``block`` rows into the columns of ``PARSED_SCHEMA``.
 
-    Needs ``block`` and ``has_time``; ``instance_id``, ``source_file`` and
-    ``split_start`` are used where present.  Further columns are kept at the end.
+    Needs ``block`` and ``has_time``; ``instance_id``, ``source_file``,
+    ``source_modified`` and ``split_start`` are used where present.  Further columns are kept at the end.
 
     ``compat_rows`` reads the row counts only where ``Rows_examined`` stands
     before ``Rows_sent`` on a line without ``Query_time``; the default reads each
@@ -239,7 +239,7 @@ def parse_blocks(
     """
     check_profile(profile)
     single = profile == "single_file"
-    known = ("block", "has_time", "instance_id", "source_file", "split_start")
+    known = ("block", "has_time", "instance_id", "source_file", "source_modified", "split_start")
     others = [c for c in df.columns if c not in known]
 
     def given(name: str, kind: str) -> Column:
@@ -255,6 +255,7 @@ def parse_blocks(
     base = df.select(
         given("instance_id", "string"),
         given("source_file", "string"),
+        given("source_modified", "timestamp"),
         given("split_start", "bigint"),
         "has_time",
         "block",
@@ -317,13 +318,19 @@ def parse_blocks(
     # A generator, unlike a projection, is not evaluated again for a filter on its
     # results: the fields are computed once per block whatever comes after.
     once = read.select(
-        "instance_id", "source_file", "split_start", *others, F.inline(F.array(parsed))
+        "instance_id",
+        "source_file",
+        "source_modified",
+        "split_start",
+        *others,
+        F.inline(F.array(parsed)),
     )
     return once.select(
         "instance_id",
         "source_file",
         # The row number is taken after the split, so it orders blocks of one row too.
         F.struct(
+            F.col("source_modified").alias("modified"),
             F.col("source_file").alias("file"),
             F.col("split_start").alias("start"),
             F.monotonically_increasing_id().alias("row"),

@@ -137,7 +137,7 @@ def digest(
             )
         else:
             # Rows of one split stand in order of a number; only splits are ranked by name.
-            first = F.struct("seq.file", "seq.start")
+            first = F.struct("seq.modified", "seq.file", "seq.start")
             per_split = keyed.groupBy("_key", first.alias("_split")).agg(
                 *counts, F.max_by("ts", "seq.row").alias("ts")
             )
@@ -229,6 +229,37 @@ def first_arrivals(df: DataFrame) -> DataFrame:
     )
 
 
+def _positions(times: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """Times with their row number in a slot, and the size of each slot; both from one exchange.
+
+    A slot is a minute, or an input split for ``order="arrival"``: no task ever sorts one
+    fingerprint's whole list.
+    """
+    if order == "time":
+        # As a struct it is never null, which leaves no filter in only one use of the exchange.
+        slot, rank = F.struct(F.date_trunc("minute", F.col("ts"))), "ts"
+    else:
+        slot, rank = F.struct("seq.modified", "seq.file", "seq.start"), "seq"
+    # A struct of the keys is never null, so keys with a null part join like others.
+    slotted = times.select(F.struct(*KEYS).alias("_key"), slot.alias("_slot"), *dict.fromkeys([rank, "ts"]))
+    inside = W.partitionBy("_key", "_slot").orderBy(rank)
+    numbered = slotted.withColumn("_at", F.row_number().over(inside))
+    # Both numbers are the size; asking for either column keeps the two uses of the exchange alike.
+    size = F.greatest(F.max("_at"), F.count("ts"))
+    return numbered, numbered.groupBy("_key", "_slot").agg(size.alias("_size"))
+
+
+def _earlier(sizes: DataFrame) -> DataFrame:
+    before = W.partitionBy("_key").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    return sizes.select("_key", "_slot", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+
+
+def _check_pages(page_size: int, order: str) -> None:
+    check_order(order)
+    if page_size <= 0:
+        raise ValueError("page_size must be positive")
+
+
 def paged_timestamps(
     times: DataFrame, *, page_size: int = 10_000, order: str = "time"
 ) -> DataFrame:
@@ -236,59 +267,56 @@ def paged_timestamps(
 
     Pages 0, 1, 2… of a fingerprint in sequence are the full list, ascending by
     time, or by arrival for a ``first_arrivals`` input with ``order="arrival"``.
-    Positions come from counts per slot (a minute, or an input split) plus a row
-    number inside the slot: no task ever sorts one fingerprint's whole list.
+    Positions come from counts per slot plus a row number inside the slot.
     """
-    check_order(order)
-    if page_size <= 0:
-        raise ValueError("page_size must be positive")
-    if order == "time":
-        slot, rank = F.date_trunc("minute", F.col("ts")), "ts"
-    else:
-        slot, rank = F.struct("seq.file", "seq.start"), "seq"
-    slotted = times.withColumn("slot", slot)
-    sizes = slotted.groupBy(*KEYS, "slot").agg(F.count(F.lit(1)).alias("n"))
-    earlier = W.partitionBy(*KEYS).orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
-    before = sizes.select(
-        *KEYS, "slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
-    )
-    inside = W.partitionBy(*KEYS, "slot").orderBy(rank)
-    placed = (
-        slotted.withColumn("at", F.row_number().over(inside))
-        .join(before, [*KEYS, "slot"])
-        .withColumn("at", F.col("before") + F.col("at") - 1)
+    _check_pages(page_size, order)
+    numbered, sizes = _positions(times, order)
+    placed = numbered.join(_earlier(sizes), ["_key", "_slot"]).withColumn(
+        "_at", F.col("_before") + F.col("_at") - 1
     )
-    listed = F.array_sort(F.collect_list(F.struct("at", "ts")))
     return (
-        placed.withColumn("page", F.floor(F.col("at") / page_size))
-        .groupBy(*KEYS, "page")
-        .agg(F.transform(listed, lambda x: x["ts"]).alias("timestamps"))
+        placed.groupBy("_key", F.floor(F.col("_at") / page_size).alias("page"))
+        .agg(_in_order(F.collect_list(F.struct("_at", "ts"))).alias("timestamps"))
+        .select(*(F.col(f"_key.{k}").alias(k) for k in KEYS), "page", "timestamps")
     )
 
 
+def _in_order(listed: Column) -> Column:
+    return F.transform(F.array_sort(listed), lambda x: x["ts"])
+
+
 def digest_documents(
     digests: DataFrame, times: DataFrame, *, page_size: int = 10_000, order: str = "time"
 ) -> DataFrame:
     """Digests with their occurrence times attached (``DOCUMENT_SCHEMA``).
 
     Most fingerprints give one row (page 0); one with more than ``page_size``
-    times gives one row per page, each with the full digest beside it.
+    times gives one row per page.  Page 0 holds the digest; later pages hold its key
+    and their times only, so a long statement is not stored once a page.
+
+    Each input is read once: the digest rides with the first slot of its times to
+    page 0.  Times without a digest give no row.
     """
-    pages = paged_timestamps(times, page_size=page_size, order=order)
-    counts = times.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    # One digest row per page before the join: the key then includes the page, so
-    # a fingerprint with very many pages spreads over the join's tasks.
-    last_page = F.floor(F.greatest(F.coalesce("_n", F.lit(1)) - 1, F.lit(0)) / page_size)
-    wanted = digests.join(counts, list(KEYS), "left").select(
-        *DIGEST_SCHEMA.names, F.explode(F.sequence(F.lit(0).cast("bigint"), last_page)).alias("page")
+    _check_pages(page_size, order)
+    numbered, sizes = _positions(times, order)
+    fields = [n for n in DIGEST_SCHEMA.names if n not in KEYS]
+    own = digests.select(F.struct(*KEYS).alias("_key"), F.struct(*fields).alias("_body"))
+    # One row per slot of a digest, or one without a slot; the first carries the body.
+    slots = own.join(_earlier(sizes), "_key", "left").withColumn(
+        "_body", F.when(F.coalesce("_before", F.lit(0)) == 0, F.col("_body"))
     )
-    return (
-        wanted.join(pages, [*KEYS, "page"], "left")
-        .withColumn(
-            "timestamps", F.coalesce("timestamps", F.array().cast("array<timestamp>"))
-        )
-        .to(DOCUMENT_SCHEMA)
+    placed = slots.join(numbered, ["_key", "_slot"], "left").withColumn(
+        "_at", F.coalesce(F.col("_before") + F.col("_at") - 1, F.lit(0))
+    )
+    time = F.when(F.col("ts").isNotNull(), F.struct("_at", "ts"))
+    carried = F.when(F.col("_at") == 0, F.col("_body"))
+    pages = placed.groupBy("_key", F.floor(F.col("_at") / page_size).alias("page")).agg(
+        F.any_value(carried, F.lit(True)).alias("_body"),
+        _in_order(F.collect_list(time)).alias("timestamps"),
     )
+    return pages.select(
+        *(F.col(f"_key.{k}").alias(k) for k in KEYS), "_body.*", "page", "timestamps"
+    ).to(DOCUMENT_SCHEMA)
 
 
 def retention_cutoff(days: int, as_of: datetime | Column) -> Column:

@@ -54,6 +54,7 @@ def run_batch(
     profile: str = "modular",
     job: str = "slow-log",
     compact_every: int | None = 20,
+    file_order: str = "name",
     **options,
 ) -> DigestTable:
     """Load all slow logs under ``path`` as the next version of a digest table.
@@ -65,7 +66,7 @@ def run_batch(
     if compact_every is not None and compact_every <= 0:
         raise ValueError("compact_every must be positive")
     table = DigestTable(spark, table_root, order=order)
-    blocks = read_slow_log(spark, path, instance_id, profile=profile)
+    blocks = read_slow_log(spark, path, instance_id, profile=profile, file_order=file_order)
     records = slow_query_records(blocks, profile=profile, **options)
     table.claim("run_batch")
     version = table.newest() + 1

@@ -11,9 +11,11 @@ USER = T.StructType(
     ]
 )
 
-# Where a record stood in its input: orders records of one run by arrival.
+# Where a record stood in its input: orders records of one run by arrival.  Files go by
+# their time of change where the reader was asked for it, then by name.
 SEQ = T.StructType(
     [
+        T.StructField("modified", T.TimestampType()),
         T.StructField("file", T.StringType()),
         T.StructField("start", T.LongType()),
         T.StructField("row", T.LongType()),

@@ -235,11 +235,13 @@ class DigestTable:
         """Digests with their occurrence times, in pages (``digest_documents``)."""
         if self.order == "time":
             return digest_documents(self.digests(), self.occurrences(), page_size=page_size)
-        # Earlier loads arrived earlier, whatever their files are called.
+        # Earlier loads arrived earlier, whatever their files are called and when they changed.
         load = F.lpad(F.col("v").cast("string"), 12, "0")
+        changed = F.coalesce(F.date_format("seq.modified", "yyyyMMddHHmmss.SSSSSS"), F.lit(""))
+        file = F.concat_ws(":", load, changed, F.coalesce("seq.file", F.lit("")))
         valid = self.records().filter(~F.col("rejected"))
         placed = valid.withColumn(
-            "seq", F.col("seq").withField("file", F.concat(load, F.lit(":"), F.col("seq.file")))
+            "seq", F.col("seq").withField("modified", F.lit(None).cast("timestamp")).withField("file", file)
         )
         return digest_documents(
             self.digests(), first_arrivals(placed), page_size=page_size, order="arrival"

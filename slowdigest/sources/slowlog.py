@@ -25,10 +25,21 @@ def _as_column(value: str | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def _blocks(lines: DataFrame, instance_id: str | Column, profile: str) -> DataFrame:
+FILE_ORDERS = ("name", "modified")
+
+
+def _blocks(
+    lines: DataFrame, instance_id: str | Column, profile: str, file_order: str
+) -> DataFrame:
+    if file_order not in FILE_ORDERS:
+        raise ValueError(f"file_order must be one of {FILE_ORDERS}, not {file_order!r}")
+    changed = F.col("_metadata.file_modification_time")
     placed = lines.select(
         _as_column(instance_id).alias("instance_id"),
         F.col("_metadata.file_path").alias("source_file"),
+        (changed if file_order == "modified" else F.lit(None).cast("timestamp")).alias(
+            "source_modified"
+        ),
         F.col("_metadata.file_block_start").alias("split_start"),
         "value",
     )
@@ -42,12 +53,15 @@ def read_slow_log(
     *,
     name_glob: str = NAME_GLOB,
     profile: str = "modular",
+    file_order: str = "name",
 ) -> DataFrame:
     """Blocks of every slow-log file under ``path``.
 
     The block marker is the record delimiter, so large files are split over many
     tasks and no block is ever cut.  ``instance_id`` may be a Column, for
-    instance one taken from ``_metadata.file_path``.
+    instance one taken from ``_metadata.file_path``.  Where the order of arrival counts,
+    files go by name, or with ``file_order="modified"`` by their time of change, as rotated
+    files need whose names run backwards.
     """
     lines = (
         spark.read.option("lineSep", BLOCK_MARKER)
@@ -55,7 +69,7 @@ def read_slow_log(
         .option("recursiveFileLookup", "true")
         .text(path)
     )
-    return _blocks(lines, instance_id, profile)
+    return _blocks(lines, instance_id, profile, file_order)
 
 
 def stream_slow_log(
@@ -67,6 +81,7 @@ def stream_slow_log(
     profile: str = "modular",
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: str | None = None,
+    file_order: str = "name",
 ) -> DataFrame:
     """Streaming twin of ``read_slow_log``: each arriving file is read once.
 
@@ -83,7 +98,7 @@ def stream_slow_log(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return _blocks(reader.text(path), instance_id, profile)
+    return _blocks(reader.text(path), instance_id, profile, file_order)
 
 
 @dataclass(frozen=True)

@@ -27,7 +27,7 @@ DAY = dt.datetime(2024, 1, 1)
 def record(i, minute, query, query_time=1.0, file="f"):
     ts = None if minute is None else DAY + dt.timedelta(minutes=minute)
     raw = None if ts is None else ts.isoformat()
-    return ("db", file, (file, 0, i), raw, ts, (f"u{i}", "h"), query_time, 0.5, i, i, query)
+    return ("db", file, (None, file, 0, i), raw, ts, (f"u{i}", "h"), query_time, 0.5, i, i, query)
 
 
 def records(spark, rows):
@@ -71,7 +71,7 @@ def test_two_passes_equal_one(spark, order, bits):
         minute = None if rng.random() < 0.2 else rng.randrange(12)
         row = list(record(i, minute, f"SELECT {rng.choice('abcdef')} FROM t", rng.random(), rng.choice("xyz")))
         row[0] = rng.choice(["db", "other", None])
-        row[2] = (rng.choice(["x", "y", None]), rng.choice([0, 64, None]), i)
+        row[2] = (rng.choice([None, DAY]), rng.choice(["x", "y", None]), rng.choice([0, 64, None]), i)
         rows.append(tuple(row))
     df = records(spark, rows).repartition(5)
     one, two = digest(df, order=order, passes=1), digest(df, order=order, filter_bits=bits)
@@ -151,15 +151,56 @@ def test_pages_hold_every_time_once_and_in_order(spark, page_size):
             assert got == (sorted(set(seen)) if order == "time" else list(dict.fromkeys(seen)))
 
 
-def test_documents_repeat_the_digest_per_page(spark):
+def test_documents_hold_the_digest_on_page_0(spark):
     df = records(spark, [record(i, i, "SELECT hot") for i in range(10)] + [record(99, 3, "SELECT y")])
     docs = digest_documents(digest(df), occurrences(df), page_size=4).collect()
-    hot = sorted((d for d in docs if d.normalized_query == "SELECT hot"), key=lambda d: d.page)
+    key = next(d.query_hash for d in docs if d.normalized_query == "SELECT hot")
+    hot = sorted((d for d in docs if d.query_hash == key), key=lambda d: d.page)
     assert [len(d.timestamps) for d in hot] == [4, 4, 2]
-    assert {d.execution_count for d in hot} == {10}
+    assert [d.execution_count for d in hot] == [10, None, None]
+    assert [d.query for d in hot] == ["SELECT hot", None, None]
     assert len(docs) == 4
 
 
+@pytest.mark.parametrize("order", ["time", "arrival"])
+def test_documents_of_odd_keys(spark, order):
+    """Keys without an instance, digests without times, and times without a digest."""
+    rows = [list(record(i, i % 7 if i % 5 else None, f"SELECT {'abc'[i % 3]}")) for i in range(60)]
+    for i, row in enumerate(rows):
+        row[0] = "db" if i % 2 else None
+    df = records(spark, [tuple(r) for r in rows] + [record(90, None, "SELECT none")])
+    times = occurrences(df) if order == "time" else first_arrivals(df)
+    known = digest(df, order=order).filter("normalized_query <> 'SELECT b'")
+    docs = digest_documents(known, times, page_size=2, order=order).collect()
+    bodies = {(d.instance_id, d.normalized_query): d.execution_count for d in docs if d.page == 0}
+    assert bodies == {(r.instance_id, r.normalized_query): r.execution_count for r in known.collect()}
+    assert bodies["db", "SELECT none"] == 1 and (None, "SELECT a") in bodies
+    assert {d.page for d in docs} > {0} and all(len(d.timestamps) <= 2 for d in docs)
+    assert [d.timestamps for d in docs if d.normalized_query == "SELECT none"] == [[]]
+
+
+@pytest.mark.parametrize("order", ["time", "arrival"])
+def test_documents_read_each_input_once(spark, tmp_path, order):
+    df = records(spark, SMALL)
+    times = occurrences(df) if order == "time" else first_arrivals(df)
+    digest(df).write.parquet(f"{tmp_path}/d")
+    times.write.parquet(f"{tmp_path}/t")
+    docs = digest_documents(
+        spark.read.parquet(f"{tmp_path}/d"), spark.read.parquet(f"{tmp_path}/t"), page_size=3, order=order
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = docs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("FileScan parquet") == 2
+    # A reused exchange is printed with its input.
+    reused = text.count("ReusedExchange")
+    assert reused == 1 and text.count("Exchange hashpartitioning") - reused <= 5
+
+
 def test_retention(spark):
     df = digest(records(spark, SMALL)).withColumn(
         "last_seen", F.when(F.col("normalized_query") != "SELECT b FROM t", F.col("last_seen"))
@@ -181,7 +222,7 @@ def test_one_fingerprint_with_most_rows(spark):
     rows = spark.range(60_000).select(
         F.lit("db").alias("instance_id"),
         F.lit("f").alias("source_file"),
-        F.struct(F.lit("f").alias("file"), F.lit(0).cast("bigint").alias("start"), F.col("id").alias("row")).alias("seq"),
+        F.struct(F.lit(None).cast("timestamp").alias("modified"), F.lit("f").alias("file"), F.lit(0).cast("bigint").alias("start"), F.col("id").alias("row")).alias("seq"),
         F.lit("x").alias("timestamp_raw"),
         F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts"),
         F.struct(F.lit("u").alias("name"), F.lit("h").alias("host")).alias("user"),

@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from slowdigest.operators import batches, chunks, series
+from slowdigest.operators import batches, chunks, running, series
 from slowdigest.schema import BATCH_SCHEMA, CHUNK_SCHEMA
 
 NOW = dt.datetime(2024, 1, 1, 12)
@@ -47,6 +48,32 @@ def test_running_totals(spark, slot_rows):
     assert got == want
 
 
+@pytest.mark.parametrize("slot_rows, fan", [(1, 3), (4, 1 << 8), (65_536, 1 << 21)])
+def test_running_totals_of_sparse_numbers(spark, monkeypatch, slot_rows, fan):
+    """Numbers over the whole range of longs, in slots of their own."""
+    monkeypatch.setattr(running, "FAN", fan)
+    rng = random.Random(fan)
+    at = sorted({rng.randrange(-(2**63), 2**63) for _ in range(150)} | {-(2**63), 2**63 - 1, -1, 0, 1})
+    rows = [("hot" if n % 3 else None, k, n + 1, 1.0, n % 4 > 0, None) for n, k in enumerate(at)]
+    df = spark.createDataFrame(rows, BATCH_SCHEMA).repartition(5)
+    got = batches.batch_running_totals(df, slot_rows=slot_rows).collect()
+    sums, want = {}, {}
+    for job, k, size, _, ok, _ in rows:
+        good, bad = sums.get(job, (0, 0))
+        sums[job] = want[job, k] = (good + size, bad) if ok else (good, bad + size)
+    assert {(r.job, r.batch_id): (r.success_count, r.error_count) for r in got} == want
+
+
+def test_no_window_is_keyed_by_the_job_over_all_slots(spark):
+    """Totals of slots are added up per group of slots; only totals of the widest groups meet per job."""
+    text = batches.batch_running_totals(spark.createDataFrame([], BATCH_SCHEMA).union(
+        spark.createDataFrame(batch_rows(), BATCH_SCHEMA)
+    ))._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", text)
+    assert len(windows) == 4
+    assert sum("_above" in w or "_slot" in w for w in windows) == 3
+
+
 @pytest.mark.parametrize("slot_rows", [10, 16, 100_000])
 @pytest.mark.parametrize("size, full_only", [(10, True), (5, False), (1, True)])
 def test_rolling_mean(spark, slot_rows, size, full_only):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 import shutil
 from concurrent.futures import ThreadPoolExecutor
 
@@ -172,6 +173,28 @@ def test_documents_of_a_table(spark, tmp_path, order):
         assert (first.day, first.second, last.day, last.second) == (1, 1, 2, 3)
 
 
+def test_rotated_files_arrive_by_their_time(spark, tmp_path):
+    block = (
+        "# Time: 2024-01-01T00:00:0{0}Z\n# User@Host: a{0}[a{0}] @ h []\n"
+        "# Query_time: 1.0  Lock_time: 0.0 Rows_sent: 1  Rows_examined: 1\nSELECT 1;\n"
+    )
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    for n, name in enumerate(("slowquery.log.2", "slowquery.log.1", "slowquery.log")):
+        (logs / name).write_text(block.format(n))
+        os.utime(logs / name, (1_700_000_000 + n, 1_700_000_000 + n))
+    first = {}
+    for how in ("name", "modified"):
+        table = run_batch(spark, str(logs), "db", str(tmp_path / how), order="arrival", file_order=how)
+        row = table.digests().first()
+        first[how] = (row.user.name, row.last_seen.second)
+        listed = [t.second for d in table.documents().collect() for t in d.timestamps]
+        assert listed == ([0, 1, 2] if how == "modified" else [2, 1, 0])
+    assert first == {"modified": ("a0", 2), "name": ("a2", 0)}
+    with pytest.raises(ValueError):
+        read_slow_log(spark, str(logs), "db", file_order="size")
+
+
 def test_failed_loads_are_noted(spark, logs, tmp_path):
     table = DigestTable(spark, str(tmp_path / "table"))
     records = slow_query_records(read_slow_log(spark, logs, "db-1"))
