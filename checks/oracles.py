@@ -276,6 +276,25 @@ ORACLES: dict[str, str] = {
           timestamp_raw AS timestamps, timestamp_raw AS last_seen, CAST(3 AS BIGINT) AS retries
         FROM valid"""
     ),
+    "upsert_fields": _with_events(
+        f"""SELECT 'update' AS op_type, '{PREFIX}-{INSTANCE}' AS index_name, query_hash AS id,
+          CAST(3 AS BIGINT) AS retries, true AS has_source, 'painless' AS lang, timestamp_raw AS param_timestamp,
+          query_time AS param_query_time, timestamp_raw AS timestamps, user_name, user_host,
+          timestamp_raw AS first_seen, query, normalized_query, query_hash, query_time, lock_time, rows_examined,
+          rows_sent, CAST(1 AS BIGINT) AS execution_count, query_time AS max_query_time,
+          timestamp_raw AS last_seen, instance_id FROM valid"""
+    ),
+    "upsert_applied": _with_events(
+        f"""SELECT '{PREFIX}-{INSTANCE}' AS index_name, query_hash AS id, arg_min(query, ts) AS query,
+          any_value(normalized_query) AS normalized_query, arg_min(user_name, ts) AS user_name,
+          arg_min(query_time, ts) AS query_time, arg_min(rows_examined, ts) AS rows_examined,
+          count(*) AS execution_count, count(DISTINCT timestamp_raw) AS n_timestamps,
+          max(query_time) AS max_query_time, max(timestamp_raw) AS last_seen
+        FROM valid GROUP BY query_hash"""
+    ),
+    "load_rejects": _with_events(
+        "SELECT coalesce(reject_reason, 'valid') AS reject_reason, count(*) AS blocks FROM ev GROUP BY 1"
+    ),
     "stream_digest": _DIGEST,
     "expire_table": f"""WITH {_EVENTS}, {_GONE},
       held AS (SELECT * FROM valid WHERE query_hash NOT IN (SELECT query_hash FROM gone)

@@ -511,6 +511,94 @@ def q_upsert_actions(spark, sf):
     )
 
 
+def q_upsert_fields(spark, sf):
+    """Every field of the actions with their script inline."""
+    actions = to_upsert_actions(_fingerprinted(spark, sf), inline=True)
+    shape = (
+        "_op_type string, _index string, _id string, retry_on_conflict bigint, script struct<source: string,"
+        " lang: string, params: struct<timestamp: string, query_time: double>>, upsert struct<query: string,"
+        " normalized_query: string, query_hash: string, timestamp: string, user: struct<name: string,"
+        " host: string>, query_time: double, lock_time: double, rows_examined: bigint, rows_sent: bigint,"
+        " execution_count: bigint, timestamps: array<string>, max_query_time: double, last_seen: string,"
+        " instance_id: string>"
+    )
+    a = actions.select(F.from_json("value", shape).alias("a"))
+    return a.select(
+        F.col("a._op_type").alias("op_type"),
+        F.col("a._index").alias("index_name"),
+        F.col("a._id").alias("id"),
+        F.col("a.retry_on_conflict").alias("retries"),
+        (F.length("a.script.source") > 0).alias("has_source"),
+        F.col("a.script.lang").alias("lang"),
+        F.col("a.script.params.timestamp").alias("param_timestamp"),
+        F.col("a.script.params.query_time").alias("param_query_time"),
+        F.array_join("a.upsert.timestamps", ",").alias("timestamps"),
+        F.col("a.upsert.user.name").alias("user_name"),
+        F.col("a.upsert.user.host").alias("user_host"),
+        F.col("a.upsert.timestamp").alias("first_seen"),
+        *(
+            F.col(f"a.upsert.{c}")
+            for c in (
+                "query",
+                "normalized_query",
+                "query_hash",
+                "query_time",
+                "lock_time",
+                "rows_examined",
+                "rows_sent",
+                "execution_count",
+                "max_query_time",
+                "last_seen",
+                "instance_id",
+            )
+        ),
+    )
+
+
+def q_upsert_applied(spark, sf):
+    """What an index holds after all actions in order of time, by one aggregate over their JSON."""
+    shape = (
+        "_index string, _id string, script struct<params: struct<timestamp: string, query_time: double>>,"
+        " upsert struct<query: string, normalized_query: string, user: struct<name: string>,"
+        " query_time: double, rows_examined: bigint, execution_count: bigint, timestamps: array<string>>"
+    )
+    actions = to_upsert_actions(_fingerprinted(spark, sf)).select(F.from_json("value", shape).alias("a"))
+    a = actions.select("a._index", "a._id", "a.upsert", "a.script.params.timestamp", "a.script.params.query_time")
+    # The first action stores its document; each later one adds what the script does.
+    done = a.groupBy("_index", "_id").agg(
+        F.min_by("upsert", "timestamp").alias("first"),
+        (F.count(F.lit(1)) - 1).alias("later"),
+        F.count_distinct("timestamp").alias("n_timestamps"),
+        F.max("query_time").alias("max_query_time"),
+        F.max("timestamp").alias("last_seen"),
+    )
+    return done.select(
+        F.col("_index").alias("index_name"),
+        F.col("_id").alias("id"),
+        "first.query",
+        "first.normalized_query",
+        F.col("first.user.name").alias("user_name"),
+        "first.query_time",
+        "first.rows_examined",
+        (F.col("first.execution_count") + F.col("later")).alias("execution_count"),
+        "n_timestamps",
+        "max_query_time",
+        "last_seen",
+    )
+
+
+def q_load_rejects(spark, sf):
+    """Rejected blocks per reason as two loads have counted them, and what their BATCH rows say."""
+    root = scratch(spark)
+    table = DigestTable(spark, f"{root}/table")
+    records = _loads(spark, sf)
+    for version in range(2):
+        table.load(version, records.filter(F.col("event_id") % 2 == version), index_prefix=PREFIX)
+    sizes = table.batches().select(F.lit("valid").alias("reject_reason"), F.col("size").alias("blocks"))
+    valid = sizes.groupBy("reject_reason").agg(F.sum("blocks").alias("blocks"))
+    return table.rejects().unionByName(valid)
+
+
 def q_stream_digest(spark, sf):
     """Five files in five micro-batches with compactions in between."""
     logs = _written_logs(spark, sf)
@@ -786,6 +874,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_digest": q_write_digest,
     "digest_stats": q_digest_stats,
     "upsert_actions": q_upsert_actions,
+    "upsert_fields": q_upsert_fields,
+    "upsert_applied": q_upsert_applied,
+    "load_rejects": q_load_rejects,
     "stream_digest": q_stream_digest,
     "expire_table": q_expire_table,
     "expire_table_counts": q_expire_table_counts,

@@ -15,6 +15,15 @@ BELOW_MIN_TIME = "below_min_time"
 NO_USER = "no_user"
 NOT_SELECT = "not_select"
 BAD_TIMESTAMP = "bad_timestamp"
+REASONS = (
+    OVERSIZED,
+    EMPTY_QUERY,
+    NO_TIMESTAMP,
+    BELOW_MIN_TIME,
+    NO_USER,
+    NOT_SELECT,
+    BAD_TIMESTAMP,
+)
 
 
 def reject_reason(

@@ -5,6 +5,7 @@
 ``occurrences/v=n``  distinct times of load ``n``
 ``base/v=n``         merge of all loads up to ``n``
 ``batches/v=n``      one BATCH row for load ``n``; ``failures`` has one per failed try
+``rejects/v=n``      rejected blocks of load ``n`` per reason
 ``expiring``, ``expired``  what each retention run removes, and what it has removed
 
 A load writes in proportion to its own input.  Readers merge the latest base with
@@ -24,8 +25,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,7 @@ from slowdigest.operators.digest import (
     occurrences,
     retention_cutoff,
 )
+from slowdigest.operators.validate import REASONS
 from slowdigest.schema import BATCH_SCHEMA, DIGEST_SCHEMA, OCCURRENCE_SCHEMA, PARSED_SCHEMA
 from slowdigest.sources.storage import (
     Run,
@@ -48,6 +49,8 @@ from slowdigest.sources.storage import (
     cover,
     create_once,
     drop_run,
+    exists,
+    observed,
     stored_bytes,
     version_path,
 )
@@ -65,6 +68,9 @@ RECORD_SCHEMA = T.StructType(
     ]
 )
 _VERSION = T.StructField("v", T.LongType())
+_REJECTS = T.StructType(
+    [T.StructField("reject_reason", T.StringType()), T.StructField("blocks", T.LongType())]
+)
 _GONE = "query_hash string, instance_id string, up_to long, cutoff timestamp"
 _COUNTS = "digests long, occurrences long, records long"
 
@@ -110,13 +116,10 @@ class DigestTable:
             self.spark.createDataFrame([(writer,)], "writer string").coalesce(1).write.parquet(path)
 
         def known() -> str | None:
-            try:
-                row = self.spark.read.schema("writer string").parquet(f"{folder}/part-*").first()
-            except AnalysisException as e:
-                if e.getCondition() != "PATH_NOT_FOUND":
-                    raise
+            files = f"{folder}/part-*"
+            if not exists(self.spark, files):
                 return None
-            return row and row["writer"]
+            return self.spark.read.schema("writer string").parquet(files).first()["writer"]
 
         owner = known()
         if owner is None:
@@ -145,12 +148,22 @@ class DigestTable:
             found.append(read(folder, *single))
         return reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], whole)
 
-    def write(self, version: int, records: DataFrame, *, index_prefix: str) -> None:
-        """Store load ``version``; ``records`` has the columns of ``RECORD_SCHEMA``."""
+    def write(self, version: int, records: DataFrame, *, index_prefix: str) -> dict[str, int]:
+        """Store load ``version``; ``records`` has the columns of ``RECORD_SCHEMA``.
+
+        Returns how many are ``valid``, and how many rejected by each reason: counted while the
+        records are written, so nothing is read back for it.
+        """
         stored = version_path(self._folder("records"), version)
-        records.select(*RECORD_SCHEMA.names).write.mode("overwrite").partitionBy(
-            "rejected"
-        ).parquet(stored)
+        seen = Observation()
+        reason = F.col("reject_reason")
+        counted = records.select(*RECORD_SCHEMA.names).observe(
+            seen,
+            F.count_if(reason.isNull()).alias("valid"),
+            *(F.count_if(reason == r).alias(r) for r in REASONS),
+        )
+        counted.write.mode("overwrite").partitionBy("rejected").parquet(stored)
+        counts = observed(seen)
         # Both rollups read the written records: parsing and hashing happen once,
         # and a lost executor does not send them back to the log text.
         valid = self.spark.read.schema(RECORD_SCHEMA).parquet(stored).filter(~F.col("rejected"))
@@ -161,11 +174,12 @@ class DigestTable:
         digest(valid, index_prefix=index_prefix, order=self.order, passes=passes).write.mode(
             "overwrite"
         ).parquet(version_path(self._folder("delta"), version))
+        return {name: counts.get(name, 0) for name in ("valid", *REASONS)}
 
     def load(
         self, version: int, records: DataFrame, *, index_prefix: str, job: str = "slow-log"
     ) -> None:
-        """``write``, with a BATCH row about it: for a failed try too, before it is raised."""
+        """``write``, with a BATCH row and its rejects: a BATCH row for a failed try too, before it is raised."""
         started = time.monotonic()
 
         def note(size: int, error: str | None) -> DataFrame:
@@ -173,25 +187,31 @@ class DigestTable:
             return self.spark.createDataFrame([row], BATCH_SCHEMA).coalesce(1)
 
         try:
-            self.write(version, records, index_prefix=index_prefix)
-            size = self.size_of(version)
+            counts = self.write(version, records, index_prefix=index_prefix)
         except Exception as e:
             note(0, type(e).__name__).write.mode("append").parquet(self._folder("failures"))
             raise
-        note(size, None).write.mode("overwrite").parquet(
+        refused = [(r, counts[r]) for r in REASONS if counts[r]]
+        self.spark.createDataFrame(refused, _REJECTS).coalesce(1).write.mode("overwrite").parquet(
+            version_path(self._folder("rejects"), version)
+        )
+        note(counts["valid"], None).write.mode("overwrite").parquet(
             version_path(self._folder("batches"), version)
         )
 
+    def rejects(self) -> DataFrame:
+        """Rejected blocks per reason over all loads that ``load`` made; no record is read for it."""
+        folder = self._folder("rejects")
+        rows = self._read("rejects", _REJECTS, committed_runs(self.spark, folder))
+        return rows.groupBy("reject_reason").agg(F.sum("blocks").alias("blocks"))
+
     def batches(self) -> DataFrame:
         """BATCH rows of all loads, failed tries included."""
         folder = self._folder("batches")
         done = self._read("batches", BATCH_SCHEMA, committed_runs(self.spark, folder))
-        try:
-            failed = self.spark.read.schema(BATCH_SCHEMA).parquet(self._folder("failures"))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, self._folder("failures")):
             return done.drop("v")
+        failed = self.spark.read.schema(BATCH_SCHEMA).parquet(self._folder("failures"))
         return done.drop("v").unionByName(failed)
 
     def _merged(self, up_to: int | None, base_up_to: int | None) -> DataFrame:
@@ -251,11 +271,6 @@ class DigestTable:
         """Stored records, rejected ones included (``rejected``, ``reject_reason``)."""
         return self._read("records", RECORD_SCHEMA, self.runs("records"))
 
-    def size_of(self, version: int) -> int:
-        """Valid records of one load, from its digests (a few rows, not the log)."""
-        delta = self._read("delta", DIGEST_SCHEMA, [Run(version, version, 0)])
-        return delta.agg(F.coalesce(F.sum("execution_count"), F.lit(0))).first()[0]
-
     def compact(self, version: int, *, keep: int = 2) -> None:
         """Write base ``version``, fold older loads, and drop what the last ``keep`` bases replace.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 from slowdigest.operators.blocks import split_blocks
 from slowdigest.operators.digest import DEFAULT_INDEX_PREFIX, index_name
 from slowdigest.schema import DIGEST_SCHEMA
+from slowdigest.sources.storage import observed
 
 # The marker that starts a block and the part of a name that marks a slow log.
 BLOCK_MARKER = "\n# Time:"
@@ -128,11 +128,7 @@ def write_digest(df: DataFrame, path: str, *, mode: str = "overwrite") -> WriteC
         .partitionBy("index_name")
         .parquet(path)
     )
-    try:
-        seen = counts.get
-    except Py4JJavaError:
-        # A plan that is known to be empty is optimised away, its counts included.
-        seen = {}
+    seen = observed(counts)
     return WriteCounts(seen.get("ok", 0), seen.get("failed", 0))
 
 
@@ -169,13 +165,32 @@ def digest_stats(spark: SparkSession, path: str) -> DataFrame:
     ).to(schema)
 
 
+#: What an index does with an action for a fingerprint it knows: note a new time, count, keep the
+#: longest time and the latest sighting.  Register it under ``script_id``, or send it inline.
+MERGE_SCRIPT = (
+    "def d = ctx._source; "
+    "if (d.timestamps == null) { d.timestamps = [] } "
+    "if (d.timestamps.indexOf(params.timestamp) < 0) { d.timestamps.add(params.timestamp) } "
+    "d.execution_count = d.execution_count == null ? 1 : d.execution_count + 1; "
+    "if (d.max_query_time == null || d.max_query_time < params.query_time) "
+    "{ d.max_query_time = params.query_time } "
+    "d.last_seen = params.timestamp"
+)
+SCRIPT_LANG = "painless"
+
+
 def to_upsert_actions(
-    df: DataFrame, *, index_prefix: str = DEFAULT_INDEX_PREFIX, script_id: str = "merge-digest"
+    df: DataFrame,
+    *,
+    index_prefix: str = DEFAULT_INDEX_PREFIX,
+    script_id: str = "merge-digest",
+    inline: bool = False,
 ) -> DataFrame:
     """One JSON update action per fingerprinted record, as a ``value`` column.
 
-    ``script`` names a stored merge script and its parameters; ``upsert`` is the
-    document for a first sighting.  Write with ``df.write.text(path)``.
+    ``script`` names a stored merge script (its text is ``MERGE_SCRIPT``) or, with
+    ``inline``, carries it, and holds its parameters; ``upsert`` is the document for a
+    first sighting.  Write with ``df.write.text(path)``.
     """
     at = F.col("timestamp_raw")
     upsert = F.struct(
@@ -194,13 +209,15 @@ def to_upsert_actions(
         at.alias("last_seen"),
         "instance_id",
     )
+    merge = [F.lit(script_id).alias("id")]
+    if inline:
+        merge = [F.lit(MERGE_SCRIPT).alias("source"), F.lit(SCRIPT_LANG).alias("lang")]
     action = F.struct(
         F.lit("update").alias("_op_type"),
         index_name(index_prefix).alias("_index"),
         F.col("query_hash").alias("_id"),
         F.struct(
-            F.lit(script_id).alias("id"),
-            F.struct(at.alias("timestamp"), "query_time").alias("params"),
+            *merge, F.struct(at.alias("timestamp"), "query_time").alias("params")
         ).alias("script"),
         upsert.alias("upsert"),
         F.lit(3).alias("retry_on_conflict"),

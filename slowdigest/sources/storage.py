@@ -12,7 +12,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from py4j.java_gateway import JavaObject
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 _NAME = re.compile(r"v=(\d+)|r=(\d+)-(\d+)-(\d+)")
 
@@ -43,6 +44,11 @@ def _open(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def exists(spark: SparkSession, pattern: str) -> bool:
+    files, path = _open(spark, pattern)
+    return bool(files.globStatus(path))
+
+
 def version_path(root: str, version: int) -> str:
     return f"{root}/v={version}"
 
@@ -68,6 +74,15 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     return [r.first for r in committed_runs(spark, root) if r.name.startswith("v=")]
 
 
+def observed(counts: Observation) -> dict[str, int]:
+    """What an observation saw of a finished write; nothing if the plan was known to be empty."""
+    try:
+        return counts.get
+    except Py4JJavaError:
+        # Such a plan is optimised away, its counts included.
+        return {}
+
+
 def stored_bytes(spark: SparkSession, root: str, runs: list[Run]) -> int:
     total = 0
     for run in runs:

@@ -20,6 +20,7 @@ from slowdigest.sources import digest_table
 from slowdigest.sources.digest_table import DigestTable, Expired
 from slowdigest.schema import DIGEST_SCHEMA
 from slowdigest.sources.slowlog import (
+    MERGE_SCRIPT,
     WriteCounts,
     digest_stats,
     read_digest,
@@ -173,6 +174,23 @@ def test_documents_of_a_table(spark, tmp_path, order):
         assert (first.day, first.second, last.day, last.second) == (1, 1, 2, 3)
 
 
+def test_inline_script_says_what_the_stored_one_does(spark, logs):
+    action = json.loads(to_upsert_actions(records(spark, logs), inline=True).first().value)
+    assert action["script"]["source"] == MERGE_SCRIPT and action["script"]["lang"] == "painless"
+    assert "id" not in action["script"]
+    assert set(action["script"]["params"]) == {"timestamp", "query_time"}
+
+
+def test_a_load_counts_while_it_writes(spark, logs, tmp_path):
+    table = run_batch(spark, logs, "db-1", str(tmp_path / "t"))
+    run_batch(spark, logs, "db-1", str(tmp_path / "t"))
+    by_reason = table.records().groupBy("reject_reason").count().collect()
+    want = {r.reject_reason: r["count"] for r in by_reason}
+    valid = want.pop(None)
+    assert {r.reject_reason: r.blocks for r in table.rejects().collect()} == want and want
+    assert sum(b.size for b in table.batches().collect()) == valid
+
+
 def test_rotated_files_arrive_by_their_time(spark, tmp_path):
     block = (
         "# Time: 2024-01-01T00:00:0{0}Z\n# User@Host: a{0}[a{0}] @ h []\n"
