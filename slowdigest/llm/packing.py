@@ -25,30 +25,50 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slowdigest.llm.bpe import Bpe
+from slowdigest.llm.bpe import PATTERN, Bpe
 from slowdigest.llm.common import staged
 
 CAPACITY = 1024
 END = 2
 
 
+#: Texts with a longer stretch without a space, or more spaces in a row, go word by word.
+UNBROKEN = 100_000
+
+
 class PublicWords(Bpe):
-    """Ids by the public tokenizer library, asked once per kept word."""
+    """Ids by public tokenizer libraries.
+
+    Where the merges of the vocabulary stand in the order of their tokens' ids, as in the public files, whole texts
+    are encoded by rank in one call.  Other vocabularies, texts with strings of special tokens and
+    very long unbroken stretches are encoded per word, each kept word once.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__(path)
         self.library = Tokenizer.from_file(path)
+        made = [self.ids.get(a + b, -1) for a, b in self.ranks]
+        self.ranked = None
+        if made == sorted(set(made)) and max((self.ids[bytes([n])] for n in range(256)), default=0) < made[0]:
+            self.ranked = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=self.ids, special_tokens={})
 
     def _word(self, piece: str) -> bytes:
         return array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
 
+    def encode(self, text: str) -> bytes:
+        alike = self.ranked is not None and not any(s in text for s in self.special)
+        if not text or not alike or " " * UNBROKEN in text or max(map(len, text.split(" "))) > UNBROKEN:
+            return super().encode(text)
+        return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+
 
 @lru_cache(maxsize=1)
 def load(path: str) -> PublicWords:
