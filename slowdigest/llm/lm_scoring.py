@@ -8,7 +8,9 @@ start mark for a text's first word):
     p(w) = (c(w) + 1) / (N + V)
     p(w | v) = MIX * p(w) + (1 - MIX) * (c(v, w) + p(w)) / (c(v before any word) + 1)
 
-which sums to 1 over the vocabulary for every v. A token's loss is -log p(w | v), and a document's losses are the means
+which sums to 1 over the vocabulary for every v. No document is scored by its own tokens: its counts are taken
+out of a model that was counted over it (of the background always, of the target if it is trusted), so trusted
+and other documents are measured alike, and what a score tells of a repeated text comes from its copies. A token's loss is -log p(w | v), and a document's losses are the means
 over its tokens: cross-entropies. Its score is target loss minus background loss: low is like the target.
 
 Counts have a row for every word and pair, so what is gathered grows with the corpus; nothing is sampled or capped,
@@ -86,7 +88,7 @@ def word_batches(rows: DataFrame, size: int = BATCH) -> DataFrame:
                 "n_tokens": pa.array([len(at)], pa.int64()),
                 "ids": pa.array([ids], pa.list_(pa.int64())),
                 "lengths": pa.array([_small(lengths)], pa.binary()),
-                "words": pa.array([words.tobytes()], pa.binary()),
+                "words": pa.array([_gaps(words)], pa.binary()),
                 "places": pa.array([_small(at.astype(np.uint32))], pa.binary()),
             }
         )
@@ -121,13 +123,28 @@ def grams(lengths: np.ndarray, words: np.ndarray, places: np.ndarray):
 
 
 def _unpacked(row: dict):
-    return _plain(row["lengths"], "u4"), np.frombuffer(row["words"], "u8"), _plain(row["places"], "u4")
+    return _plain(row["lengths"], "u4"), _keys(row["words"]), _plain(row["places"], "u4")
 
 
-def _blobs(values: np.ndarray, bounds: np.ndarray, small: bool = True) -> pa.Array:
+def _trusted(row: dict, n: int) -> np.ndarray:
+    marks = np.zeros(n, dtype=bool)
+    marks[row["trusted"] or []] = True
+    return marks
+
+
+def _gaps(keys: np.ndarray) -> bytes:
+    """Ascending hashes as their compressed differences."""
+    return _small(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(_plain(blob, "u8"), dtype=np.uint64)
+
+
+def _blobs(values: np.ndarray, bounds: np.ndarray, sorted_: bool = False) -> pa.Array:
     """The rows of ``values`` between neighbouring bounds as binary values."""
     parts = (values[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
-    return pa.array([_small(x) if small else x.tobytes() for x in parts], pa.binary())
+    return pa.array([_gaps(x) if sorted_ else _small(x) for x in parts], pa.binary())
 
 
 def _joined(blobs, kind: str, width: int) -> np.ndarray:
@@ -145,9 +162,7 @@ def requests(batches: DataFrame, bits: int) -> DataFrame:
             for row in rows.to_pylist():
                 lengths, words, places = _unpacked(row)
                 keys, pairs, word, before, pair = grams(lengths, words, places)
-                trusted = np.zeros(len(lengths), dtype=bool)
-                trusted[row["trusted"] or []] = True
-                own = np.repeat(trusted, lengths)
+                own = np.repeat(_trusted(row, len(lengths)), lengths)
                 count = lambda *found, n: np.stack([np.bincount(x, minlength=n) for x in found], axis=1)
                 counts = count(word, word[own], before, before[own], n=len(keys))
                 pair_counts = count(pair, pair[own], n=len(pairs))
@@ -159,9 +174,9 @@ def requests(batches: DataFrame, bits: int) -> DataFrame:
                     {
                         "part": pa.array(part[:-1].astype(np.int32)),
                         "batch": pa.array([row["batch"]] * len(part[:-1]), pa.int64()),
-                        "words": _blobs(keys, at, small=False),
+                        "words": _blobs(keys, at, sorted_=True),
                         "counts": _blobs(counts.astype(np.uint32), at),
-                        "pairs": _blobs(pairs, pair_at, small=False),
+                        "pairs": _blobs(pairs, pair_at, sorted_=True),
                         "pair_counts": _blobs(pair_counts.astype(np.uint32), pair_at),
                     }
                 )
@@ -182,13 +197,13 @@ def answers(sent: DataFrame) -> DataFrame:
         out = {"part": group.column("part"), "batch": group.column("batch")}
         sums = {}
         for names, counts, width in (("words", "counts", 4), ("pairs", "pair_counts", 2)):
-            blobs = group.column(names).to_pylist()
-            keys, at = np.unique(np.frombuffer(b"".join(blobs), "u8"), return_inverse=True)
+            blobs = [_keys(x) for x in group.column(names).to_pylist()]
+            keys, at = np.unique(np.concatenate(blobs), return_inverse=True)
             found = _joined(group.column(counts), "u4", width)
             total = np.stack(
                 [np.bincount(at, weights=found[:, n], minlength=len(keys)) for n in range(width)], axis=1
             ).astype(np.int64)
-            ends = np.cumsum([0, *(len(x) // 8 for x in blobs)])
+            ends = np.cumsum([0, *(len(x) for x in blobs)])
             out[counts], sums[names] = _blobs(total[at], ends), total
         one = lambda n: pa.array([int(n)] * len(group), pa.int64())
         n_tokens, n_trusted = sums["words"][:, 0].sum(), sums["words"][:, 1].sum()
@@ -198,12 +213,22 @@ def answers(sent: DataFrame) -> DataFrame:
     return sent.groupBy("part").applyInArrow(run, _ANSWER)
 
 
-def losses(word, before, pair, counts, pair_counts, n_words: int, totals) -> list[np.ndarray]:
-    """Each token's loss by the background and by the target model."""
+def _in_own_text(doc: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """How often each token's entry occurs in the token's own document."""
+    _, at, n = np.unique(doc * (int(found.max(initial=0)) + 1) + found, return_inverse=True, return_counts=True)
+    return n[at]
+
+
+def losses(lengths, trusted, word, before, pair, counts, pair_counts, n_words: int, totals) -> list[np.ndarray]:
+    """Each token's loss by the background and by the target model, the document's own counts taken out."""
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    own_word, own_before, own_pair = (_in_own_text(doc, x) for x in (word, before, pair))
     out = []
-    for k, total in enumerate(totals):
-        unigram = ((counts[:, k] + 1) / (total + n_words))[word]
-        bigram = (pair_counts[pair, k] + unigram) / (counts[before, 2 + k] + 1)
+    for k, (total, counted) in enumerate(zip(totals, (np.ones(len(lengths), bool), trusted))):
+        own = counted[doc]
+        n = total - (lengths * counted)[doc].astype(np.int64)
+        unigram = (counts[word, k] - own * own_word + 1) / (n + n_words)
+        bigram = (pair_counts[pair, k] - own * own_pair + unigram) / (counts[before, 2 + k] - own * own_before + 1)
         out.append(-np.log(MIX * unigram + (1 - MIX) * bigram))
     return out
 
@@ -228,7 +253,8 @@ def score_documents(
         .groupBy("batch")
         .agg(F.collect_list("pos").alias("trusted"))
     )
-    got = answers(requests(batches.join(marks, "batch", "left"), bits))
+    marked = batches.join(marks, "batch", "left")
+    got = answers(requests(marked, bits))
 
     def run(own: pa.Table, found: pa.Table) -> pa.Table:
         found = found.sort_by("part")
@@ -240,8 +266,10 @@ def score_documents(
             counts, pair_counts = (
                 _joined(found.column(c), "i8", n) for c, n in (("counts", 4), ("pair_counts", 2))
             )
+            totals = whole("n_tokens"), whole("n_trusted")
+            trusted = _trusted(row, len(lengths))
             by_token = losses(
-                word, before, pair, counts, pair_counts, whole("n_words"), (whole("n_tokens"), whole("n_trusted"))
+                lengths, trusted, word, before, pair, counts, pair_counts, whole("n_words"), totals
             )
             full = lengths > 0
             starts = (np.cumsum(lengths, dtype=np.int64) - lengths)[full]
@@ -254,4 +282,4 @@ def score_documents(
         return pa.table({"doc_id": pa.array(ids, pa.int64())} | {c: pa.chunked_array(x) for c, x in score.items()})
 
     schema = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
-    return batches.groupBy("batch").cogroup(got.groupBy("batch")).applyInArrow(run, schema)
+    return marked.groupBy("batch").cogroup(got.groupBy("batch")).applyInArrow(run, schema)

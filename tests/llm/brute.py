@@ -81,7 +81,10 @@ def line_dedup(docs, run=3):
 
 
 def lm_losses(docs, trusted, mix=0.5):
-    """(id, tokens, target loss, background loss, score) by plain bigram models of the trusted and of all rows."""
+    """(id, tokens, target loss, background loss, score) by plain bigram models of the trusted and of all rows.
+
+    A row's own counts are left out of the models that were counted over it.
+    """
     tokens = [(k, words("".join(c.lower() if c.isascii() else c for c in t or ""))) for k, t in docs]
     models = []
     for rows in ([w for k, w in tokens if k in trusted], [w for _, w in tokens]):
@@ -100,8 +103,14 @@ def lm_losses(docs, trusted, mix=0.5):
     for model in models:
         for v in (None, *list(models[1][0])[:3]):
             assert abs(sum(p(model, v, w) for w in models[1][0]) - 1) < 1e-9
+    def without(model, w):
+        pairs = Counter(zip([None, *w], w))
+        before = Counter([None, *w[:-1]])
+        return model[0] - Counter(w), model[1] - before, model[2] - pairs, model[3] - len(w)
+
     for k, w in tokens:
-        means = [-sum(math.log(p(m, *x)) for x in zip([None, *w], w)) / len(w) if w else None for m in models]
+        own = [without(models[0], w) if k in trusted else models[0], without(models[1], w)]
+        means = [-sum(math.log(p(m, *x)) for x in zip([None, *w], w)) / len(w) if w else None for m in own]
         out.append((k, len(w), *means, means[0] - means[1] if w else None))
     return out
 
