@@ -364,4 +364,4 @@ def test_queries_are_registered_over_whole_tables(spark):
     from __spark_entry__ import queries
 
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
