@@ -88,27 +88,6 @@ def batches(columns: dict, step: int = 65536) -> Iterator[pa.RecordBatch]:
     yield from whole.to_batches(max_chunksize=step)
 
 
-def bucket_counts(df: DataFrame, count, bits: int) -> np.ndarray:
-    """Sums per bucket over all rows.
-
-    ``count(iterator of batches)`` yields arrays of bucket numbers below ``2**bits``; every task adds
-    them up, Spark adds up the tasks, and the driver receives the ``2**bits`` sums at most.
-    """
-
-    def local(rows):
-        total = np.zeros(1 << bits, dtype=np.int64)
-        for found in count(rows):
-            total += np.bincount(found.astype(np.int64), minlength=1 << bits)
-        at = np.flatnonzero(total)
-        yield from batches({"bucket": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
-
-    sums = df.mapInArrow(local, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    out = np.zeros(1 << bits, dtype=np.int64)
-    got = sums.toArrow()
-    out[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
-    return out
-
-
 def components(links: DataFrame) -> DataFrame:
     """Connected components of the links (a, b): one row (node, component) per linked node.
 

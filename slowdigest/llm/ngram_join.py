@@ -5,11 +5,12 @@ which takes part once. Two sets that reach the similarity share a shingle among
 those enter the inverted lists: the short lists. Every other list is long and is never built; in place of it a
 candidate's sorted set is probed by binary search.
 
-1. Shingles are counted in hashed buckets over all documents, which gives one global order, rare first.
+1. Shingles are counted in hashed buckets over all documents, which gives one global order, rare first. The table grows
+   with the text up to 2^22 buckets; beyond, counts stand out by what they exceed the usual bucket by.
 2. The short lists are the sorted runs of one shuffle by shingle. A very frequent shingle is dealt over
    several tasks by class. Each list links neighbours (by size), its first class and, among frequent shingles, the class with
    the most of them (an original beside its copies) to all others as candidates: lines, not all
-   pairs. Candidates are probed, and links make components.
+   pairs. Bitmaps of the sets rule out most candidates exactly; sets of the others are read and probed, and links make components.
 3. Lists whose classes all lie in one component are done: a large group of near copies ends here. In the
    others, merging the lists counts the occurrences of every pair from different components; pairs whose count
    plus the most that the rest can add misses the required overlap T are dropped; the others are probed
@@ -23,12 +24,14 @@ candidate's sorted set is probed by binary search.
 Components therefore equal those of all links, though links inside a component need not all be tested.
 
 Defined cases: null, empty and blank texts have no shingles and stay alone; texts with fewer words than
-``width`` have one shingle. Ids must not be null for a component (such rows are returned alone with a null component). Repeated rows fall into
-one class. Input columns other than id and text do not matter.
+``width`` have one shingle. Rows with a null id link like others: the component is the smallest id in it, null where it
+has none. Repeated rows fall into one class. Ids are cast to long; those that are no numbers are refused by the cast. An empty table gives
+an empty result. Very long texts are hashed whole, a chunk of about 1 MB or one text at a time. Input columns other than id and text do not matter.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,11 +41,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slowdigest.llm.common import batches, bucket_counts, components, mixed, staged
+from slowdigest.llm.common import batches, components, mixed, staged
 
 WIDTH = 5
 PERCENT = 75
-BUCKET_BITS = 20
 #: Shingles whose bucket is counted more often are dealt over several tasks, so many classes each.
 SPLIT = 20_000
 BLOCK = 2048
@@ -50,30 +52,65 @@ BLOCK = 2048
 FREQUENT = 64
 #: Entries of one list that a task holds at once.
 STRETCH = 500_000
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
-def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct hashes of the lower-cased text's shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = len(words)
-    h = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=n)
-    if n < width:
-        return np.array([xxhash.xxh64_intdigest(b"\x00".join(words))], dtype=np.uint64) if n else h
-    out = np.zeros(n - width + 1, dtype=np.uint64)
-    for k in range(width):
-        out = mixed(out + h[k : n - width + 1 + k])
-    return np.unique(out)
+#: Bytes of text hashed together.
+CHUNK = 1 << 20
+#: The table of counts has one bucket for 64 bytes of text, within these bounds; only the order depends on it.
+LEAST_BITS, MOST_BITS = 16, 22
+SLICE = 1 << 12
+#: Bits of a class's bitmap.
+SIGNATURE = 1024
+#: The filter of wanted texts takes 16 bits a text, at most 32 MB.
+MOST_FILTER_BITS = 28
+_BASE = 0xD1342543DE82EF95
+_UNBASE = pow(_BASE, -1, 1 << 64)
+_up, _down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+_is_gap = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_byte_values = mixed(np.arange(1, 257, dtype=np.uint64))
+_byte_values[0x41:0x5B] = _byte_values[0x61:0x7B]
+
+
+def _rolling(table: np.ndarray, n: int, base: int) -> np.ndarray:
+    """``table`` of powers of ``base`` modulo 2^64, with at least ``n`` entries."""
+    while len(table) < n:
+        table = np.concatenate([table, table * np.uint64(pow(base, len(table), 1 << 64))])
+    return table
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first bytes, hashes) of the words of a text in bytes, A-Z lower-cased."""
+    global _up, _down
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _is_gap[data], [True]])))
+    starts, ends = edges[0::2], edges[1::2]
+    _up, _down = _rolling(_up, len(data), _BASE), _rolling(_down, len(data), _UNBASE)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_byte_values[data] * _up[: len(data)], out=sums[1:])
+    return starts, mixed((sums[ends] - sums[starts]) * _down[starts])
+
+
+def shingle_sets(texts: list[bytes | None], width: int = WIDTH) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of every text's shingles; texts are hashed together in chunks of about 1 MB."""
+    begin = 0
+    while begin < len(texts):
+        end, size = begin, 0
+        while end < len(texts) and (end == begin or size < CHUNK):
+            size += len(texts[end] or b"") + 1
+            end += 1
+        chunk = [t or b"" for t in texts[begin:end]]
+        starts, h = _word_hashes(np.frombuffer(b" ".join(chunk), dtype=np.uint8))
+        firsts = np.cumsum([0, *(len(t) + 1 for t in chunk)])
+        at = np.searchsorted(starts, firsts)
+        out = np.zeros(max(len(h) - width + 1, 0), dtype=np.uint64)
+        for k in range(width if len(out) else 0):
+            out = mixed(out + h[k : len(h) - width + 1 + k])
+        for a, b in zip(at[:-1], at[1:]):
+            if b - a >= width:
+                yield np.unique(out[a : b - width + 1])
+                continue
+            whole = np.full(min(b - a, 1), b - a, dtype=np.uint64)
+            for k in range(a, b):
+                whole = mixed(whole + h[k : k + 1])
+            yield whole
+        begin = end
 
 
 def class_of(found: np.ndarray) -> int:
@@ -89,14 +126,62 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _texts(rows) -> Iterator[tuple[int | None, np.ndarray]]:
-    for batch in rows:
-        for k, t in zip(batch.column("k").to_pylist(), batch.column("t").to_pylist()):
-            yield k, shingles(t)
+def _sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    return shingle_sets(batch.column("t").cast(pa.binary()).to_pylist())
+
+
+def shingle_counts(rows: DataFrame, bits: int) -> np.ndarray:
+    """Occurrences of shingles in documents per bucket, the leading ``bits`` bits of the hash.
+
+    A task sends its counts in compressed slices, which are added up as they arrive.
+    """
+    size = min(SLICE, 1 << bits)
+
+    def local(parts):
+        total = np.zeros(1 << bits, dtype=np.uint32)
+        held, n = [], 0
+        for batch in parts:
+            for found in _sets(batch):
+                held.append(found >> np.uint64(64 - bits))
+                n += len(found)
+                if n >= 1 << 20:
+                    total += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+                    held, n = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+        for k, x in enumerate(total.reshape(-1, size)):
+            if x.any():
+                packed = zlib.compress(x.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([k], pa.int32()), "c": pa.array([packed])})
+
+    def add(parts):
+        total: dict[int, np.ndarray] = {}
+        for batch in parts:
+            for k, c in zip(batch.column("slice").to_pylist(), batch.column("c").to_pylist()):
+                planes = np.frombuffer(zlib.decompress(c), dtype=np.uint8).reshape(4, -1)
+                x = np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.uint64)
+                total[k] = total[k] + x if k in total else x
+        for k, x in total.items():
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([k], pa.int32()), "c": pa.array([x.tobytes()])})
+
+    schema = "slice int, c binary"
+    got = rows.select("t").mapInArrow(local, schema).repartition("slice").mapInArrow(add, schema).toArrow()
+    out = np.zeros((1 << bits) // size * size, dtype=np.uint64).reshape(-1, size)
+    for k, c in zip(got.column("slice").to_pylist(), got.column("c").to_pylist()):
+        out[k] = np.frombuffer(c, dtype=np.uint64)
+    return np.minimum(out.ravel(), np.iinfo(np.uint32).max).astype(np.uint32)
 
 
 def often_of(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return counts[(found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+    bits = len(counts).bit_length() - 1
+    return counts[(found >> np.uint64(64 - bits)).astype(np.int64)]
+
+
+def signature(found: np.ndarray) -> bytes:
+    """A bitmap with the places of all shingles, by their last bits."""
+    bits = np.zeros(SIGNATURE, dtype=bool)
+    bits[(found % np.uint64(SIGNATURE)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
 
 
 def frequent_from(counts: np.ndarray, frequent: int = FREQUENT) -> float:
@@ -106,32 +191,33 @@ def frequent_from(counts: np.ndarray, frequent: int = FREQUENT) -> float:
 
 
 def profiles(rows: DataFrame, shared, limit: float) -> DataFrame:
-    """(k, n, cls, nf, part) of every row (k, t); cls is null for empty sets.
+    """(k, th, n, cls, nf, part, sig) of every row (k, th, t); cls is null for empty sets.
 
     ``nf`` counts the frequent shingles; ``part`` is their hash where they alone can reach the similarity.
     """
 
     def run(parts):
         for batch in parts:
-            sets = [shingles(t) for t in batch.column("t").to_pylist()]
-            common = [s[often_of(s, shared.value) > limit] for s in sets]
-            alone = [len(s) > 0 and 100 * len(f) >= PERCENT * len(s) for s, f in zip(sets, common)]
+            n, cls, nf, part, sig = [], [], [], [], []
+            for s in _sets(batch):
+                f = s[often_of(s, shared.value) > limit]
+                alone = len(s) > 0 and 100 * len(f) >= PERCENT * len(s)
+                n.append(len(s))
+                cls.append(class_of(s) if len(s) else None)
+                nf.append(len(f))
+                part.append(class_of(f) if alone else None)
+                sig.append(signature(s) if len(s) else None)
+            longs = {x: pa.array(y, pa.int64()) for x, y in (("n", n), ("cls", cls), ("nf", nf), ("part", part))}
             yield pa.RecordBatch.from_pydict(
-                {
-                    "k": batch.column("k"),
-                    "n": pa.array([len(s) for s in sets], pa.int64()),
-                    "cls": pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
-                    "nf": pa.array([len(f) for f in common], pa.int64()),
-                    "part": pa.array([class_of(f) if x else None for f, x in zip(common, alone)], pa.int64()),
-                }
+                {"k": batch.column("k"), "th": batch.column("th"), **longs, "sig": pa.array(sig, pa.binary())}
             )
 
-    return rows.mapInArrow(run, "k long, n long, cls long, nf long, part long")
+    return rows.mapInArrow(run, "k long, th long, n long, cls long, nf long, part long, sig binary")
 
 
 def group_members(classes: DataFrame) -> DataFrame:
     """(cls, n, rep, rep_n, near): classes by equal frequent parts; ``near`` ones link with the representative."""
-    able = classes.filter("part is not null and id is not null")
+    able = classes.filter("part is not null")
     reps = able.groupBy("part").agg(F.min(F.struct("n", "cls")).alias("least"))
     reach = F.expr(f"{100 + PERCENT} * nf >= {PERCENT} * (n + rep_n)")
     return (
@@ -152,13 +238,13 @@ def further_links(found: DataFrame, members: DataFrame) -> DataFrame:
     return far.join(best, "rep").filter(f"{PERCENT} * n <= best.room").select("cls", "best.other")
 
 
-def short_lists(rows: DataFrame, shared, split: int = SPLIT) -> DataFrame:
+def short_lists(rows: DataFrame, shared, limit: float, split: int = SPLIT) -> DataFrame:
     """Entries (s, salt, cls, n, pos, prev, prev_n, lead, lead_n) of all lists with two classes or more."""
 
     def emit(parts):
         table, seen = shared.value, set()
         held, size = [], 0
-        for _, found in _texts(parts):
+        for found in (s for batch in parts for s in _sets(batch)):
             n = len(found)
             if not n:
                 continue
@@ -168,7 +254,7 @@ def short_lists(rows: DataFrame, shared, split: int = SPLIT) -> DataFrame:
             seen.add(cls)
             often = often_of(found, table)
             order = np.lexsort((found, often))[: prefix_length(n)]
-            parts_of = (often[order] // split).astype(np.int64) + 1
+            parts_of = (np.maximum(often[order] - limit, 0) // split).astype(np.int64) + 1
             salt = np.where(parts_of > 1, (cls % (1 << 31)) % parts_of + 1, 0).astype(np.int32)
             held.append((found[order].view(np.int64), salt, cls, n, np.arange(len(order), dtype=np.int32)))
             size += len(order)
@@ -177,7 +263,7 @@ def short_lists(rows: DataFrame, shared, split: int = SPLIT) -> DataFrame:
                 held, size = [], 0
         yield from _entries(held)
 
-    entries = rows.mapInArrow(emit, "s long, salt int, cls long, n int, pos int")
+    entries = rows.select("t").mapInArrow(emit, "s long, salt int, cls long, n int, pos int")
     ordered = entries.repartition("s", "salt").sortWithinPartitions("s", "salt", "n", "cls")
 
     def lists(parts):
@@ -382,6 +468,69 @@ def _cross(key: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the bitmaps of their sets let reach the overlap.
+
+    A place that only one bitmap has stands for a shingle or more that the other set lacks.
+    """
+    sigs = classes.select("cls", "n", "sig")
+    both = pairs.select("a", "b").distinct()
+    for x in ("a", "b"):
+        both = both.join(sigs.select(*(F.col(c).alias(y) for c, y in (("cls", x), ("n", f"n{x}"), ("sig", f"s{x}")))), x)
+
+    def run(parts):
+        for batch in parts:
+            if not len(batch):
+                continue
+            na, nb = (batch.column(x).to_numpy() for x in ("na", "nb"))
+            sa, sb = (
+                np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint8).reshape(len(batch), -1)
+                for x in ("sa", "sb")
+            )
+            most = np.minimum(na - np.bitwise_count(sa & ~sb).sum(1, dtype=np.int64), nb - np.bitwise_count(sb & ~sa).sum(1, dtype=np.int64))
+            mask = pa.array((100 + PERCENT) * most >= PERCENT * (na + nb))
+            yield pa.RecordBatch.from_pydict({x: batch.column(x).filter(mask) for x in ("a", "b")})
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(cls, found) of all classes in the pairs (a, b), and few others; one text of a class is read.
+
+    A broadcast bitmap of the wanted texts' hashes keeps the other texts out of the pass.
+    """
+    wanted = staged(
+        classes.select("cls", "th").join(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls")
+    )
+    bits = min(max((16 * wanted.count()).bit_length(), 16), MOST_FILTER_BITS)
+    place = F.shiftrightunsigned("th", 64 - bits)
+    words = wanted.groupBy(F.shiftright(place, 5).alias("w")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(th, {64 - bits}) & 31 as int))")).alias("x")
+    )
+    got = words.toArrow()
+    table = np.zeros(1 << (bits - 5), dtype=np.uint32)
+    table[got.column("w").to_numpy()] = got.column("x").to_numpy().astype(np.uint32)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def fetch(parts):
+        seen = set()
+        for batch in parts:
+            at = batch.column("th").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            hit = (shared.value[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & 1
+            batch = batch.filter(pa.array(hit.astype(bool)))
+            cls, found = [], []
+            for s in _sets(batch):
+                own = class_of(s) if len(s) else None
+                if own is not None and own not in seen:
+                    seen.add(own)
+                    cls.append(own)
+                    found.append(s.tobytes())
+            yield pa.RecordBatch.from_pydict({"cls": pa.array(cls, pa.int64()), "found": pa.array(found, pa.binary())})
+
+    fetched = rows.select("th", "t").mapInArrow(fetch, "cls long, found binary")
+    return staged(fetched.groupBy("cls").agg(F.first("found").alias("found")))
+
+
 def probe(pairs: DataFrame, sets: DataFrame, shared, limit: float) -> DataFrame:
     """The pairs (a, b) whose sets reach the overlap, and how many frequent shingles they share; sets are (cls, found)."""
     left = sets.select(F.col("cls").alias("a"), F.col("found").alias("fa"))
@@ -422,51 +571,22 @@ def jaccard_components(
     frequent: int = FREQUENT,
 ) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest id with an equal set) and component_id of every row."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("k"), F.col(text).alias("t"))
-
-    def numbers(parts):
-        for _, found in _texts(parts):
-            yield found >> np.uint64(64 - BUCKET_BITS)
-
-    def grouped(parts):
-        held, n = [], 0
-        for x in numbers(parts):
-            held.append(x)
-            n += len(x)
-            if n > 1 << 20:
-                yield np.concatenate(held)
-                held, n = [], 0
-        if held:
-            yield np.concatenate(held)
-
-    counts = bucket_counts(rows, grouped, BUCKET_BITS)
+    rows = docs.select(F.col(doc_id).cast("long").alias("k"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
+    size = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
+    bits = min(max((size // 64).bit_length(), LEAST_BITS), MOST_BITS)
+    counts = shingle_counts(rows, bits)
     shared, limit = docs.sparkSession.sparkContext.broadcast(counts), frequent_from(counts, frequent)
     known = staged(profiles(rows, shared, limit))
-    lists = staged(short_lists(rows, shared, split))
+    lists = staged(short_lists(rows, shared, limit, split))
     # Rows of one class agree in the rest.
-    classes = known.filter("cls is not null").groupBy("cls").agg(
-        F.min("k").alias("id"), *(F.max(c).alias(c) for c in ("n", "nf", "part"))
-    )
-    listed = classes.join(lists.select("cls").distinct(), "cls").filter("id is not null")
-
-    def fetch(parts):
-        seen = set()
-        for batch in parts:
-            sets = [shingles(t) for t in batch.column("t").to_pylist()]
-            own = [class_of(s) if len(s) else None for s in sets]
-            new = [n for n, c in enumerate(own) if c is not None and not (c in seen or seen.add(c))]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "cls": pa.array([own[n] for n in new], pa.int64()),
-                    "found": pa.array([sets[n].tobytes() for n in new], pa.binary()),
-                }
-            )
-
-    wanted = rows.join(listed.select(F.col("id").alias("k")), "k", "left_semi")
-    sets = staged(wanted.mapInArrow(fetch, "cls long, found binary"))
+    agreed = (F.max(c).alias(c) for c in ("n", "nf", "part", "sig"))
+    classes = known.filter("cls is not null").groupBy("cls").agg(F.min("k").alias("id"), F.min("th").alias("th"), *agreed)
+    classes = staged(classes)
     members = staged(group_members(classes))
     stars = members.filter("near and cls <> rep").select("cls", "rep")
     candidates = line_candidates(lists).union(centre_candidates(lists, members)).distinct()
+    candidates = staged(plausible(candidates, classes))
+    sets = sets_of(candidates, classes, rows)
     first = staged(probe(candidates, sets, shared, limit).select("a", "b").union(stars))
     labels = components(first)
     opened = members.filter("not near").select(F.col("rep").alias("cls")).distinct().withColumn("open", F.lit(True))
@@ -484,7 +604,9 @@ def jaccard_components(
             F.coalesce("open", F.lit(False)).alias("open"),
         )
     )
-    second = staged(probe(occurrences(lists, attributes, block), sets, shared, limit))
+    counted = staged(plausible(occurrences(lists, attributes, block), classes))
+    sets = sets_of(counted, classes, rows)
+    second = staged(probe(counted, sets, shared, limit))
     second = second.select("a", "b").union(further_links(second, members))
     final = components(first.union(second)) if second.limit(1).count() else labels
     named = (

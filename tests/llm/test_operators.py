@@ -147,6 +147,18 @@ def test_ngram_join(spark, frame, docs, empty, split, block, frequent):
         assert ngram_join.jaccard_components(empty).count() == 0
 
 
+def test_ngram_join_links_through_rows_without_id(spark):
+    w = [f"w{n}" for n in range(60)]
+    rows = [
+        (7, " ".join(w[:-6])), (None, " ".join(w)), (None, " ".join(w)), (3, " ".join(w[6:])),  # 7 and 3 link by it only
+        (None, " ".join(w[::-1])), (None, None), (4, ""), (5, " ".join(w[::2]) + " long " * 300_000), (5, "one two"),
+    ]
+    df = spark.createDataFrame([(k, t, 1) for k, t in rows], "doc_id long, text string, cls int").repartition(4)
+    got = ngram_join.jaccard_components(df).collect()
+    want = [(7, 50, 3), (None, 56, 3), (None, 56, 3), (3, 50, 3), (None, 56, None), (None, 0, None), (4, 0, 4), (5, 31, 5), (5, 1, 5)]
+    assert sorted(map(repr, (tuple(r)[:3] for r in got))) == sorted(map(repr, want))
+
+
 def check_shards(rows, docs, shards, slack):
     seen, sizes = defaultdict(list), Counter()
     text = dict(docs)
