@@ -10,7 +10,8 @@ candidate's sorted set is probed by binary search.
 2. The short lists are the sorted runs of one shuffle by shingle. A very frequent shingle is dealt over
    several tasks by class. Each list links neighbours (by size), its first class and, among frequent shingles, the class with
    the most of them (an original beside its copies) to all others as candidates: lines, not all
-   pairs. Bitmaps of the sets rule out most candidates exactly; sets of the others are read and probed, and links make components.
+   pairs. Bitmaps of the sets rule out most candidates exactly; sets of the others are read and probed, each class's smallest
+   candidate first and the rest where that leaves two components. Links make components.
 3. Lists whose classes all lie in one component are done: a large group of near copies ends here. In the
    others, merging the lists counts the occurrences of every pair from different components; pairs whose count
    plus the most that the rest can add misses the required overlap T are dropped; the others are probed
@@ -408,22 +409,21 @@ def occurrences(lists: DataFrame, known: DataFrame, block: int = BLOCK) -> DataF
     names = ("s", "i", "j", "own", "cls", "n", "pos", "r", "c", "open", "q")
 
     def merge(parts):
-        held: list[tuple] = []
-        key = None
+        rest = None
         for batch in parts:
-            columns = [batch.column(x).to_numpy(zero_copy_only=False) for x in names]
-            k = np.stack(columns[:3], axis=1)
-            cuts = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(k)]):
-                if hi == lo:
-                    continue
-                if key is not None and key != tuple(k[lo]):
-                    yield from _cross(key, held)
-                    held = []
-                key = tuple(k[lo])
-                held.append(tuple(x[lo:hi] for x in columns[3:]))
-        if held:
-            yield from _cross(key, held)
+            now = pa.Table.from_batches([batch])
+            if not len(now):
+                continue
+            if rest is not None:
+                now = pa.concat_tables([rest, now])
+            key = [now.column(x).to_numpy() for x in names[:3]]
+            other = np.flatnonzero(np.logical_or.reduce([x != x[-1] for x in key]))
+            begin = int(other[-1]) + 1 if len(other) else 0
+            if begin:
+                yield from _cross(now.slice(0, begin))
+            rest = now.slice(begin)  # at most two blocks
+        if rest is not None:
+            yield from _cross(rest)
 
     # Lists of rare and of frequent shingles bound the overlap each on its own.
     found = dealt.mapInArrow(merge, "a long, an int, b long, bn int, pa int, pb int, often boolean")
@@ -436,36 +436,44 @@ def occurrences(lists: DataFrame, known: DataFrame, block: int = BLOCK) -> DataF
     return pairs.filter(F.coalesce(enough[0], F.lit(False)) | F.coalesce(enough[1], F.lit(False))).select("a", F.col("an").cast("long"), "b", F.col("bn").cast("long"))
 
 
-def _cross(key: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes to be counted in one cell; both blocks' own pairs go to cell (i, i)."""
-    own, cls, n, pos, r, c, has, q = (np.concatenate([x[k] for x in held]) for k in range(8))
-    _, first = np.unique(cls, return_index=True)
-    own, cls, n, pos, r, c, has, q = (x[first] for x in (own, cls, n.astype(np.int64), pos, r, c, has, q))
+def _cross(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pairs of classes to be counted in whole cells, sorted by cell and class; both blocks' own pairs go to cell (i, i).
+
+    Entries meet those one place on in their cell, then two, and so on, in all cells at once.
+    """
+    c = {x: rows.column(x).to_numpy(zero_copy_only=False) for x in rows.column_names}
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = (c["s"][1:] != c["s"][:-1]) | (c["i"][1:] != c["i"][:-1]) | (c["j"][1:] != c["j"][:-1])
+    again = np.zeros(len(rows), dtype=bool)
+    again[1:] = ~new[1:] & (c["cls"][1:] == c["cls"][:-1])
+    c, new = {k: v[~again] for k, v in c.items()}, new[~again]
+    begins = np.flatnonzero(new)
+    sizes = np.diff(np.append(begins, len(new)))
+    ends = np.repeat(begins + sizes, sizes)
+    cls, own, has, q, comp = c["cls"], c["own"], c["open"], c["q"], c["c"]
+    n, pos = c["n"].astype(np.int64), c["pos"].astype(np.int64)
     # Of a frequent shingle, pairs that the frequent parts alone let link: q of them stand before it.
-    r = np.where(q >= 0, np.minimum(q, r), r)
-    for x in range(len(cls) - 1):
-        right = np.arange(x + 1, len(cls))
-        ok = (c[right] != c[x]) | (has[x] & (n[right] < n[x])) | (has[right] & (n[right] > n[x]))
-        if key[1] != key[2]:
-            ok &= own[right] != own[x]
-        small, large = np.minimum(n[right], n[x]), np.maximum(n[right], n[x])
-        ok &= 100 * small >= PERCENT * large
-        most = np.minimum(r[right], r[x]) + np.minimum(n[right] - pos[right], n[x] - pos[x])
-        ok &= (100 + PERCENT) * most >= PERCENT * (n[right] + n[x])
-        right = right[ok]
-        if not len(right):
-            continue
-        yield from batches(
-            {
-                "a": np.full(len(right), cls[x]),
-                "an": np.full(len(right), n[x], dtype=np.int32),
-                "b": cls[right],
-                "bn": n[right].astype(np.int32),
-                "pa": np.full(len(right), pos[x], dtype=np.int32),
-                "pb": pos[right].astype(np.int32),
-                "often": q[right] >= 0,
-            }
-        )
+    r = np.where(q >= 0, np.minimum(q, c["r"]), c["r"])
+    across = c["i"] != c["j"]
+    x, step = np.arange(len(cls)), 0
+    while True:
+        step += 1
+        x = x[x + step < ends[x]]
+        if not len(x):
+            return
+        y = x + step
+        ok = (comp[y] != comp[x]) | (has[x] & (n[y] < n[x])) | (has[y] & (n[y] > n[x]))
+        ok &= ~across[x] | (own[y] != own[x])
+        ok &= 100 * np.minimum(n[y], n[x]) >= PERCENT * np.maximum(n[y], n[x])
+        most = np.minimum(r[y], r[x]) + np.minimum(n[y] - pos[y], n[x] - pos[x])
+        ok &= (100 + PERCENT) * most >= PERCENT * (n[y] + n[x])
+        a, b = x[ok], y[ok]
+        if len(a):
+            ints = {"an": n[a], "bn": n[b], "pa": pos[a], "pb": pos[b]}
+            ints = {k: v.astype(np.int32) for k, v in ints.items()}
+            yield from batches(
+                {"a": cls[a], "an": ints["an"], "b": cls[b], "bn": ints["bn"], "pa": ints["pa"], "pb": ints["pb"], "often": q[b] >= 0}
+            )
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -587,7 +595,17 @@ def jaccard_components(
     candidates = line_candidates(lists).union(centre_candidates(lists, members)).distinct()
     candidates = staged(plausible(candidates, classes))
     sets = sets_of(candidates, classes, rows)
-    first = staged(probe(candidates, sets, shared, limit).select("a", "b").union(stars))
+    # Each class meets its smallest candidate first; the others only where that leaves two components.
+    nearest = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = staged(probe(nearest, sets, shared, limit).select("a", "b").union(stars))
+    apart = candidates
+    known_parts = components(first)
+    for x in ("a", "b"):
+        part = known_parts.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+        apart = apart.join(part, x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+    apart = apart.filter("ca <> cb").select("a", "b").join(nearest, ["a", "b"], "left_anti")
+    more = staged(probe(apart, sets, shared, limit).select("a", "b"))
+    first = first.union(more)
     labels = components(first)
     opened = members.filter("not near").select(F.col("rep").alias("cls")).distinct().withColumn("open", F.lit(True))
     reps = members.filter("cls = rep").select("cls", F.lit(True).alias("rep"))
