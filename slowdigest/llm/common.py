@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +47,11 @@ def fresh(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names as Spark reads them, whatever characters they hold."""
+    return [f"`{c.replace('`', '``')}`" for c in names]
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

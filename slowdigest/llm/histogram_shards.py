@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slowdigest.llm.common import fresh, staged, whole_text
+from slowdigest.llm.common import fresh, quoted, staged, whole_text
 
 SHARDS = 40
 PARTS = 256
@@ -146,6 +146,7 @@ def shard(
     made = {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}
     carried = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
     h, i, cell, part = (fresh(docs, x) for x in ("h", "i", "cell", "cell_start"))
+    in_shard, in_cell = (fresh(docs, x) for x in ("in_shard", "in_cell"))
     whole = whole_text(F.col(text))
     rows = docs.withColumns(
         {
@@ -155,7 +156,7 @@ def shard(
             i: F.coalesce(F.col(doc_id).cast("long"), F.lit(_ID_LOW)),
         }
     )
-    rows = staged(rows.select(*carried, "size", "text_crc32", h, i))
+    rows = staged(rows.select(*quoted(carried), "size", "text_crc32", h, i))
     keys = splitters(rows.select(F.col(h).alias("h"), F.col(i).alias("i"), "size"), shards)
     cells = max(1, -(-rows.count() // (shards * CELL_ROWS)))
     rows = rows.withColumns(
@@ -167,12 +168,12 @@ def shard(
     counts = rows.groupBy("shard", cell).agg(F.count("*").alias("n"))
     before = W.partitionBy("shard").orderBy(cell).rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select(
-        F.col("shard").alias("__s"), F.col(cell).alias("__c"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(part)
+        F.col("shard").alias(in_shard), F.col(cell).alias(in_cell), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(part)
     )
     place = F.row_number().over(W.partitionBy("shard", cell).orderBy(h, i)) - 1
     out = rows.withColumn("slot", place.cast("long")).join(
         F.broadcast(starts) if cells == 1 else starts,
-        (F.col("shard") == F.col("__s")) & (F.col(cell) == F.col("__c")),
+        (F.col("shard") == F.col(in_shard)) & (F.col(cell) == F.col(in_cell)),
     )
     return out.withColumns(
         {
@@ -180,4 +181,4 @@ def shard(
             "law": F.lit("bytes"),
             "grown_shard": F.lit(None).cast("int"),
         }
-    ).drop(h, i, cell, part, "__s", "__c")
+    ).drop(h, i, cell, part, in_shard, in_cell)

@@ -3,19 +3,20 @@
 Lines with a word are hashed; every window of ``run`` consecutive ones gives its smallest hash as a
 fingerprint, so any two equal runs of that length share one. Positions whose fingerprint occurs more
 than once are joined, each window around them is compared by the hash of all its lines, and
-windows that occurred earlier (by id, then line) are repeated. Overlapping repeated windows extend to
-maximal runs both ways, and their lines are deleted. Given ``words``, shorter runs with at least so many words are
-windows too: every later repeat of a passage of whole lines goes if it has ``run`` lines or ``words`` words. The first occurrence stays. Lines without a word neither
-count nor break a run and stay.
+windows that occurred earlier (by id, text hash, line) are repeated. Overlapping repeated windows extend to
+maximal runs both ways, and their lines are deleted. Shorter runs with at least ``words`` words are windows too: every
+later repeat of a passage of whole lines goes if it has ``run`` lines or ``words`` words, and the first
+occurrence stays. Lines without a word neither count nor break a run and stay.
 
 Column functions only. One narrow table of line hashes is staged; fingerprints and windows meet by
 aggregates (one row per hash), so a line that a third of the documents hold yields no pairs. The text
 is shuffled once, to meet the deletions.
 
-Defined cases: null text has no lines and stays null; an empty text stays empty. A null id ranks first.
-Rows equal in id and text are one document: both are returned with the same deletions. Rows equal in id
-only are separate documents of the same rank. Input columns stay; one that has the name of a result
-column is replaced.
+Defined cases: null text has no lines and stays null; an empty text stays empty; an empty table gives an empty
+result. Null ids rank first. Rows equal in id and text are one document: both are returned with the same deletions. Rows
+equal in id only, or without one, are separate documents in the order of their text hashes. Very long texts are
+one row with an array of their line hashes. Ids are whole numbers. Input columns of any name stay; one that
+has the name of a result column is replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from slowdigest.llm.common import GAP, NOT_GAP, fresh, staged
 
 RUN = 3
-_LINES_MAX = 1 << 31
+#: Words that make a run of fewer lines long enough.
+WORDS = 50
 
 
 def _real(lines: Column) -> Column:
@@ -43,7 +45,7 @@ def word_counts(text: Column) -> Column:
     return F.transform(_real(F.split(text, "\n")), count)
 
 
-def repeated_windows(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
+def repeated_windows(docs: DataFrame, run: int = RUN, words: int | None = WORDS) -> DataFrame:
     """Starts and lines of the repeated windows: (k, th, start, size), for documents (k, th, hs, ws)."""
     n = F.size("hs")
 
@@ -67,27 +69,24 @@ def repeated_windows(docs: DataFrame, run: int = RUN, words: int | None = None)
     # A fingerprint stands for the windows that select it; those in it twice are worth a comparison.
     twice = windows.groupBy("f").agg(F.count("*").alias("n")).filter("n > 1").select("f")
     joined = windows.join(twice, "f")
-    rank = F.coalesce(F.col("k"), F.lit(-(1 << 63))).cast("decimal(20,0)") * F.lit(_LINES_MAX).cast(
-        "decimal(11,0)"
-    ) + F.col("s")
-    joined = joined.withColumn("rank", rank.cast("decimal(38,0)"))
+    rank = F.struct("k", "th", "s")
     firsts = (
         joined.groupBy("c")
-        .agg(F.min("rank").alias("first"), F.count("*").alias("n"))
+        .agg(F.min(rank).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
         .select("c", "first")
     )
-    return joined.join(firsts, "c").filter("rank > first").select("k", "th", F.col("s").alias("start"), "size")
+    return joined.join(firsts, "c").filter(rank > F.col("first")).select("k", "th", F.col("s").alias("start"), "size")
 
 
 def dedup_lines(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run: int = RUN, words: int | None = None
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run: int = RUN, words: int | None = WORDS
 ) -> DataFrame:
-    """``docs`` with repeated runs of at least ``run`` lines, or of ``words`` words if given, deleted from the text.
+    """``docs`` with repeated runs of at least ``run`` lines, or ``words`` words, deleted from the text.
 
     Adds n_lines (with a word), n_removed and n_runs.
     """
-    k, th, starts = (fresh(docs, x) for x in ("k", "th", "starts"))
+    k, th, found_k, found_th, starts = (fresh(docs, x) for x in ("k", "th", "found_k", "found_th", "starts"))
     keyed = docs.withColumns({k: F.col(doc_id), th: F.xxhash64(text)})
     narrow = staged(
         docs.filter(F.col(text).isNotNull())
@@ -104,11 +103,11 @@ def dedup_lines(
         repeated_windows(narrow, run, words)
         .groupBy("k", "th")
         .agg(F.collect_set(F.struct("start", "size")).alias(starts))
-        .select(F.col("k").alias("__k"), F.col("th").alias("__th"), starts)
+        .select(F.col("k").alias(found_k), F.col("th").alias(found_th), starts)
     )
-    out = keyed.join(found, F.col(k).eqNullSafe(F.col("__k")) & (F.col(th) == F.col("__th")), "left")
+    out = keyed.join(found, F.col(k).eqNullSafe(F.col(found_k)) & (F.col(th) == F.col(found_th)), "left")
     lines, at = fresh(docs, "lines"), fresh(docs, "at")
-    out = out.drop(k, th, "__k", "__th").withColumn(lines, F.split(text, "\n"))
+    out = out.drop(k, th, found_k, found_th).withColumn(lines, F.split(text, "\n"))
     out = out.withColumn(
         at,
         F.filter(

@@ -35,16 +35,22 @@ WITH lines AS (
   FROM documents WHERE text IS NOT NULL),
 marked AS (SELECT *, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS has_word FROM lines),
 words AS (
-  SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS j
+  SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS j,
+    len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS w
   FROM marked WHERE has_word),
+following AS (
+  SELECT doc_id, j, line, w, lead(line, 1) OVER o AS line2, lead(w, 1) OVER o AS w2, lead(line, 2) OVER o AS line3
+  FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY j)),
 windows AS (
-  SELECT doc_id, j, lead(line, 2) OVER w AS last,
-    md5(line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w) AS c
-  FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY j)),
+  SELECT doc_id, j, 1 AS size, md5(line) AS c FROM following WHERE w >= 50
+  UNION ALL
+  SELECT doc_id, j, 2, md5(line || chr(10) || line2) FROM following WHERE line2 IS NOT NULL AND w + w2 >= 50
+  UNION ALL
+  SELECT doc_id, j, 3, md5(line || chr(10) || line2 || chr(10) || line3) FROM following WHERE line3 IS NOT NULL),
 ranked AS (
-  SELECT doc_id, j, row_number() OVER (PARTITION BY c ORDER BY doc_id, j) AS n FROM windows WHERE last IS NOT NULL),
+  SELECT doc_id, j, size, row_number() OVER (PARTITION BY size, c ORDER BY doc_id, j) AS n FROM windows),
 gone AS (
-  SELECT DISTINCT doc_id, j + d AS j FROM ranked, (VALUES (0), (1), (2)) AS v(d) WHERE n > 1),
+  SELECT DISTINCT doc_id, j + d AS j FROM ranked JOIN (VALUES (0), (1), (2)) AS v(d) ON d < size WHERE n > 1),
 runs AS (
   SELECT doc_id, j, CASE WHEN lag(j) OVER (PARTITION BY doc_id ORDER BY j) = j - 1 THEN 0 ELSE 1 END AS first
   FROM gone),

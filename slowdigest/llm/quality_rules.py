@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slowdigest.llm.common import NOT_GAP, fresh, trusted_sample, whole_text, words
+from slowdigest.llm.common import NOT_GAP, fresh, quoted, trusted_sample, whole_text, words
 
 BUCKETS = 1 << 14
 SCALE = 1 << 16
@@ -190,4 +190,5 @@ def apply_rules(
     found = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     rest = [c for c in docs.columns if c.lower() not in found]
     one = fresh(docs, "rules")
+    rest = quoted(rest)
     return out.select(*rest, F.explode(F.array(F.struct(*found))).alias(one)).select(*rest, f"{one}.*")

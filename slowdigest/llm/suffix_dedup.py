@@ -12,9 +12,15 @@ places), and the suffix carries the windows that chose it.
    aggregate instead.
 3. Repeated windows go back to all members of their class, join into runs, and are cut from the text.
 
+By default every occurrence goes. With ``keep_first`` a window is repeated only where an equal one starts earlier, by
+(id, text hash, place): members of a class but its first lose all windows, and the first ones of classes are compared in
+that order.
+
 Defined cases: null and empty texts stay as they are, with no removed bytes; shorter texts than ``length``
 have no window. Matches never cross documents. A null id is an id like others. Rows equal in id and text
-are two documents, so each repeats the other. Very long texts are hashed in chunks. Bytes may be cut inside a character; the text is then read without the
+are two documents, so each repeats the other (with ``keep_first`` both are treated as the first). An empty table gives an
+empty result. Ids are whole numbers. Input columns of any name stay; one with the name of a result column is
+replaced. Very long texts are hashed in chunks. Bytes may be cut inside a character; the text is then read without the
 broken ones.
 """
 
@@ -27,8 +33,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from slowdigest.llm.common import batches, fresh, mixed, staged
+from slowdigest.llm.common import batches, fresh, mixed, quoted, staged
 
 LENGTH = 400
 GRAM = 100
@@ -133,17 +140,23 @@ def _windows(context: bytes, before: int, length: int) -> tuple[np.ndarray, np.n
     return a, mixed(h + a.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
-def repeated(rows: DataFrame, length: int = LENGTH, heavy: int = HEAVY) -> DataFrame:
+def repeated(rows: DataFrame, length: int = LENGTH, heavy: int = HEAVY, keep_first: bool = False) -> DataFrame:
     """(k, th, spans): the removed byte ranges [begin, end) of each text that has any."""
     found = staged(suffixes(rows, length))
-    classes = found.groupBy("h", "ctx").agg(
-        F.count("*").alias("n"),
-        *(F.first(x).alias(x) for x in ("k", "th", "p", "lo", "hi")),
-    )
+    place = ("k", "th", "p", "lo", "hi")
+    classes = found.groupBy("h", "ctx")
+    if keep_first:
+        least = F.min(F.struct(*place)).alias("least")
+        classes = classes.agg(F.count("*").alias("n"), least).select("h", "ctx", "n", "least.*")
+    else:
+        classes = classes.agg(F.count("*").alias("n"), *(F.first(x).alias(x) for x in place))
     shared = classes.groupBy("h").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).filter("total > 1")
     listed = staged(classes.join(shared, "h"))
+    first = F.struct("k", "th", "p")
+    # The member of a class that keeps the windows of this row, if any.
+    spared = F.when(F.lit(keep_first), first).alias("spared")
     whole = listed.filter("n > 1").select(
-        "h", "ctx", (F.col("p") - F.col("hi")).alias("a0"), (F.col("p") - F.col("lo")).alias("a1")
+        "h", "ctx", (F.col("p") - F.col("hi")).alias("a0"), (F.col("p") - F.col("lo")).alias("a1"), spared
     )
     wanted = (
         listed.filter("kinds > 1")
@@ -154,43 +167,43 @@ def repeated(rows: DataFrame, length: int = LENGTH, heavy: int = HEAVY) -> DataF
     def fetch(parts):
         for batch in parts:
             out = []
-            for t, places in zip(batch.column("t").to_pylist(), batch.column("places").to_pylist()):
+            owners = []
+            for k, th, t, places in zip(*(batch.column(x).to_pylist() for x in ("k", "th", "t", "places"))):
                 raw = t.encode()
+                owners += [(k, th)] * len(places)
                 for x in places:
                     out.append(
-                        (x["h"], x["ctx"], x["p"] - x["lo"], x["n"], x["kinds"], raw[x["lo"] : x["hi"] + length])
+                        (x["h"], x["ctx"], x["p"] - x["lo"], x["n"], x["kinds"], raw[x["lo"] : x["hi"] + length], x["p"])
                     )
             if out:
-                columns = list(zip(*out))
-                kinds = [pa.int64()] * 5 + [pa.binary()]
-                yield from batches(
-                    {
-                        c: pa.array(v, kind)
-                        for c, v, kind in zip(("h", "ctx", "before", "n", "kinds", "bytes"), columns, kinds)
-                    },
-                    4096,
-                )
+                columns = [*zip(*out), *zip(*owners)]
+                kinds = [pa.int64()] * 5 + [pa.binary()] + [pa.int64()] * 3
+                made = dict(zip(("h", "ctx", "before", "n", "kinds", "bytes", "p", "k", "th"), zip(columns, kinds)))
+                yield from batches({c: pa.array(*made[c]) for c in names}, 4096)
 
+    names = ["h", "ctx", "before", "n", "kinds", "bytes", *(("k", "th", "p") if keep_first else ())]
     contexts = staged(
         rows.join(
             wanted.select(F.col("k").alias("__k"), F.col("th").alias("__th"), "places"),
             F.col("k").eqNullSafe(F.col("__k")) & (F.col("th") == F.col("__th")),
         )
-        .select("t", "places")
-        .mapInArrow(fetch, "h long, ctx long, before long, n long, kinds long, bytes binary")
+        .select("k", "th", "t", "places")
+        .mapInArrow(fetch, ", ".join(f"{c} {'binary' if c == 'bytes' else 'long'}" for c in names))
     )
 
     def compare(parts):
         key, held = None, {}
         for batch in parts:
-            for h, ctx, before, n, raw in zip(
-                *(batch.column(x).to_pylist() for x in ("h", "ctx", "before", "n", "bytes"))
-            ):
+            columns = [batch.column(x).to_pylist() for x in ("h", "ctx", "before", "n", "bytes")]
+            owner = [batch.column(x).to_pylist() for x in names[6:]]
+            # Null ids first, as Spark orders structs.
+            ranks = [(k is not None, k or 0, th, p) for k, th, p in zip(*owner)] or [None] * len(batch)
+            for h, ctx, before, n, raw, rank in zip(*columns, ranks):
                 if h != key:
                     if key is not None:
                         yield from _compared(key, held, length)
                     key, held = h, {}
-                held[ctx] = (before, n, raw)
+                held[ctx] = (before, n, raw, rank)
         if key is not None:
             yield from _compared(key, held, length)
 
@@ -204,19 +217,28 @@ def repeated(rows: DataFrame, length: int = LENGTH, heavy: int = HEAVY) -> DataF
 
     def spread(parts):
         for batch in parts:
-            for h, ctx, before, raw in zip(*(batch.column(x).to_pylist() for x in ("h", "ctx", "before", "bytes"))):
+            columns = [batch.column(x).to_pylist() for x in ("h", "ctx", "before", "bytes")]
+            owner = [batch.column(x).to_pylist() for x in names[6:]]
+            for h, ctx, before, raw, *own in zip(*columns, *owner):
                 a, w = _windows(raw, before, length)
                 n = len(a)
-                yield from batches({"w": w.view(np.int64), "h": np.full(n, h), "ctx": np.full(n, ctx), "a0": a})
+                made = {"w": w.view(np.int64), "h": np.full(n, h), "ctx": np.full(n, ctx), "a0": a}
+                yield from batches(made | {c: pa.array([x] * n, pa.int64()) for c, x in zip(names[6:], own)})
 
     each = contexts.filter(f"kinds > {heavy}").dropDuplicates(["h", "ctx"]).mapInArrow(
-        spread, "w long, h long, ctx long, a0 long"
+        spread, ", ".join(f"{c} long" for c in ("w", "h", "ctx", "a0", *names[6:]))
+    )
+    twice = each.groupBy("h", "w").agg(
+        F.count("*").alias("c"), *([F.min(first).alias("first")] if keep_first else ())
     )
-    twice = each.groupBy("h", "w").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    many = each.join(twice, ["h", "w"]).select("h", "ctx", "a0", F.col("a0").alias("a1"))
-    flags = whole.union(light).union(many)
+    many = each.join(twice.filter("c > 1").drop("c"), ["h", "w"])
+    many = many.filter(first > F.col("first")) if keep_first else many
+    many = many.select("h", "ctx", "a0", F.col("a0").alias("a1"))
+    # A class's first member loses what was compared; the others have lost all windows already.
+    flags = whole.union(light.union(many).withColumn("spared", F.lit(None).cast(whole.schema["spared"].dataType)))
     return (
         found.join(flags, ["h", "ctx"])
+        .filter(F.col("spared").isNull() | ~F.struct("k", "th", "p").eqNullSafe(F.col("spared")))
         .select(
             "k",
             "th",
@@ -228,10 +250,13 @@ def repeated(rows: DataFrame, length: int = LENGTH, heavy: int = HEAVY) -> DataF
 
 
 def _compared(h: int, held: dict, length: int):
-    """Windows of different contexts of one leading gram that are equal."""
+    """Windows of different contexts of one leading gram that are equal; with ranks, those that a lower one has too."""
     if len(held) < 2:
         return
-    made = [(ctx, n, *_windows(raw, before, length)) for ctx, (before, n, raw) in held.items()]
+    if next(iter(held.values()))[3] is not None:
+        yield from _later(h, held, length)
+        return
+    made = [(ctx, n, *_windows(raw, before, length)) for ctx, (before, n, raw, _) in held.items()]
     keys = np.sort(np.concatenate([x[3] for x in made]))
     twice = np.unique(keys[1:][keys[1:] == keys[:-1]])
     out: list[tuple[int, int, int, int]] = []
@@ -244,32 +269,55 @@ def _compared(h: int, held: dict, length: int):
         yield from batches(dict(zip(("h", "ctx", "a0", "a1"), (np.array(c, dtype=np.int64) for c in zip(*out)))))
 
 
+def _later(h: int, held: dict, length: int):
+    ordered = sorted(held.items(), key=lambda x: x[1][3])
+    made = [(ctx, *_windows(raw, before, length)) for ctx, (before, _, raw, _) in ordered]
+    keys = np.concatenate([x[2] for x in made])
+    order = np.argsort(keys, kind="stable")  # equal windows stay in the order of ranks
+    later = np.zeros(len(keys), dtype=bool)
+    later[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+    out, at = [], 0
+    for ctx, a, w in made:
+        out += [(h, ctx, a0, a1) for a0, a1 in _offsets(later[at : at + len(w)], a)]
+        at += len(w)
+    if out:
+        yield from batches(dict(zip(("h", "ctx", "a0", "a1"), (np.array(c, dtype=np.int64) for c in zip(*out)))))
+
+
 def remove_repeated(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, digest: bool = False
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    length: int = LENGTH,
+    digest: bool = False,
+    keep_first: bool = False,
 ) -> DataFrame:
     """``docs`` without the repeated bytes, and n_bytes, n_removed, n_spans and kept_sha256.
 
-    With ``digest`` only the id and these four columns.
+    With ``digest`` only the id and these four columns; with ``keep_first`` the first occurrence of a string stays.
     """
-    k, th, spans = (fresh(docs, x) for x in ("k", "th", "spans"))
+    k, th, spans, found_k, found_th = (fresh(docs, x) for x in ("k", "th", "spans", "found_k", "found_th"))
     keyed = docs.withColumns({k: F.col(doc_id).cast("long"), th: F.xxhash64(F.coalesce(text, F.lit("")))})
     if digest:
         keyed = keyed.select(doc_id, k, th, text)
     rows = keyed.select(F.col(k).alias("k"), F.col(th).alias("th"), F.col(text).alias("t"))
-    found = repeated(rows, length).select(F.col("k").alias("__k"), F.col("th").alias("__th"), F.col("spans").alias(spans))
-    both = keyed.join(found, F.col(k).eqNullSafe(F.col("__k")) & (F.col(th) == F.col("__th")), "left").drop(
-        "__k", "__th", k, th
+    found = repeated(rows, length, keep_first=keep_first).toDF(found_k, found_th, spans)
+    both = keyed.join(found, F.col(k).eqNullSafe(F.col(found_k)) & (F.col(th) == F.col(found_th)), "left").drop(
+        found_k, found_th, k, th
     )
     drop = {"n_bytes", "n_removed", "n_spans", "kept_sha256"}
     kept = [c for c in docs.columns if c.lower() not in drop]
     kept = [doc_id] if digest else kept
-    both = both.select(*{c: None for c in [*kept, text, spans]})
-    extra = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    # Names with dots cannot be handed to Arrow functions; positions can.
+    carried = list({c: None for c in [*kept, text, spans]})
+    at_of = {c: f"c{n}" for n, c in enumerate(carried)}
+    both = both.select(*(F.col(q).alias(at_of[c]) for c, q in zip(carried, quoted(carried))))
+    text_at, spans_at, kept_at = at_of[text], at_of[spans], [at_of[c] for c in kept]
 
     def cut(parts):
         for batch in parts:
             out: list[list] = [[] for _ in range(5)]
-            for t, found in zip(batch.column(text).to_pylist(), batch.column(spans).to_pylist()):
+            for t, found in zip(batch.column(text_at).to_pylist(), batch.column(spans_at).to_pylist()):
                 raw = (t or "").encode()
                 pieces, at, removed, runs = [], 0, 0, 0
                 end = -1
@@ -287,14 +335,18 @@ def remove_repeated(
                 values = (len(raw), removed, runs, hashlib.sha256(left).hexdigest())
                 for column, value in zip(out, (*values, None if t is None else left.decode("utf-8", "ignore"))):
                     column.append(value)
-            columns = {c: batch.column(c) for c in kept}
+            columns = {c: batch.column(c) for c in kept_at}
             if not digest:
-                columns[text] = pa.array(out[4], pa.string())
+                columns[text_at] = pa.array(out[4], pa.string())
             for c, v, kind in zip(
                 ("n_bytes", "n_removed", "n_spans", "kept_sha256"), out, [pa.int64()] * 3 + [pa.string()]
             ):
                 columns[c] = pa.array(v, kind)
             yield pa.RecordBatch.from_pydict(columns)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
-    return both.mapInArrow(cut, f"{fields}, {extra}")
+    schema = T.StructType([T.StructField(at_of[c], docs.schema[c].dataType) for c in kept])
+    for c in ("n_bytes", "n_removed", "n_spans"):
+        schema = schema.add(c, T.LongType())
+    return both.mapInArrow(cut, schema.add("kept_sha256", T.StringType())).withColumnsRenamed(
+        {at: c for c, at in at_of.items() if c in kept}
+    )

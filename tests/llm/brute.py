@@ -62,7 +62,7 @@ def jaccard_components(docs):
     return {k: (len(sets[k]), find(k)) for k in sets}
 
 
-def line_dedup(docs, run=3):
+def line_dedup(docs, run=3, least=50):
     seen, out = set(), {}
     for k, text in sorted(docs, key=lambda d: d[0]):
         if text is None:
@@ -71,11 +71,15 @@ def line_dedup(docs, run=3):
         lines = text.split("\n")
         real = [i for i, x in enumerate(lines) if words(x)]
         gone = set()
-        for j in range(len(real) - run + 1):
-            key = tuple(lines[i] for i in real[j : j + run])
-            if key in seen:
-                gone |= set(real[j : j + run])
-            seen.add(key)
+        for size in range(1, run + 1):
+            for j in range(len(real) - size + 1):
+                at = real[j : j + size]
+                key = tuple(lines[i] for i in at)
+                if size < run and sum(len(words(x)) for x in key) < least:
+                    continue
+                if key in seen:
+                    gone |= set(at)
+                seen.add(key)
         out[k] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     return out
 
@@ -115,6 +119,20 @@ def lm_losses(docs, trusted, mix=0.5):
     return out
 
 
+def kept_first(docs, length=400):
+    """Texts without the bytes that a string of ``length`` bytes covers which started earlier too."""
+    seen, out = set(), {}
+    for k, t in sorted(docs, key=lambda d: d[0]):
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if b[i : i + length] in seen:
+                gone[i : i + length] = b"\x01" * length
+            seen.add(b[i : i + length])
+        out[k] = t and bytes(x for x, g in zip(b, gone) if not g).decode("utf-8", "ignore")
+    return out
+
+
 def suffix_dedup(docs, length=400):
     at = Counter()
     raw = [(k, (t or "").encode()) for k, t in docs]

@@ -283,6 +283,23 @@ def test_line_dedup(spark, frame, docs, empty):
     assert left == ["", "", "d", "q\na\nb\nc"]
 
 
+def test_line_dedup_keeps_one_of_rows_without_id_or_with_one_id(spark):
+    rows = [(None, "a\nb\nc\n1"), (None, "a\nb\nc\n2"), (None, "a\nb\nc\n3"), (7, "x\ny\nz\n1"), (7, "x\ny\nz\n2"), (8, "x\ny\nz")]
+    for text in ("a\nb\nc", "x\ny\nz"):
+        left = [r["text"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        assert sum(t.startswith(text) for t in left) == 1 and len(left) == 6
+
+
+def test_columns_of_any_name(spark):
+    names = ["doc_id", "text", "x.y", "__k", "__th", "__s", "__c", "k", "th", "h", "in_shard", "found_k", "a`b"]
+    rows = [(n, f"line {n}\nsame\nall\nover", *["v"] * 11) for n in range(4)] + [(None, None, *["v"] * 11)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in zip(names, ["long"] + ["string"] * 12)))
+    marks = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    for got in (dedup_lines(df), suffix_dedup.remove_repeated(df), histogram_shards.shard(df), apply_rules(df, marks)):
+        assert set(names) <= set(got.columns)
+        assert [r["x.y"] for r in got.collect()] == ["v"] * 5
+
+
 def test_lm_scoring(frame, docs, labels, empty):
     got = by_id(score_documents(frame, labels))
     assert len(got) == len(docs)
@@ -328,7 +345,7 @@ def test_line_dedup_finds_short_runs_with_many_words(spark):
         (5, line("c", 25) + "\n" + line("d", 25)), (6, line("c", 25) + "\n \n" + line("d", 25) + "\nx"),
         (7, line("c", 25) + "\nx\n" + line("d", 25)), (8, line("a", 60) + "\n" + line("a", 60)),
     ]
-    got = by_id(dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), words=50))
+    got = by_id(dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
     want = dict(rows) | {2: "own\n\nend", 6: " \nx", 8: ""}
     assert {k: r["text"] for k, r in got.items()} == want
     assert [(got[k]["n_removed"], got[k]["n_runs"]) for k in (1, 2, 6, 8)] == [(0, 0), (1, 1), (2, 1), (2, 1)]
@@ -350,7 +367,7 @@ def test_lm_counts_know_every_word_and_trusted_document(spark, frame, docs, labe
 
 @pytest.mark.parametrize("heavy", [4096, 2])
 def test_suffix_dedup(spark, frame, docs, empty, heavy, monkeypatch):
-    monkeypatch.setattr(suffix_dedup.repeated, "__defaults__", (400, heavy))
+    monkeypatch.setattr(suffix_dedup.repeated, "__defaults__", (400, heavy, False))
     rnd = random.Random(9)
     passage = "".join(rnd.choice("abc é") for _ in range(900))
     noise = lambda n: "".join(rnd.choice("defgh ") for _ in range(n))
@@ -363,6 +380,23 @@ def test_suffix_dedup(spark, frame, docs, empty, heavy, monkeypatch):
     assert suffix_dedup.remove_repeated(empty).count() == 0
 
 
+@pytest.mark.parametrize("heavy", [4096, 2])
+def test_suffix_dedup_keeps_first_occurrences(spark, frame, docs, empty, heavy, monkeypatch):
+    monkeypatch.setattr(suffix_dedup.repeated, "__defaults__", (400, heavy, False))
+    rnd = random.Random(5)
+    passage = "".join(rnd.choice("abc é") for _ in range(900))
+    noise = lambda n: "".join(rnd.choice("defgh ") for _ in range(n))
+    extra = [(20_000 + n, noise(rnd.randint(0, 300)) + passage[rnd.randint(0, 400) : rnd.randint(500, 900)] + noise(50)) for n in range(40)]
+    extra += [(21_000, "ab" * 700), (21_001, "q" * 400), (21_002, passage + noise(500) + passage), (19_000, passage[200:700])]
+    df = frame.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string")).repartition(4)
+    got = by_id(suffix_dedup.remove_repeated(df, keep_first=True))
+    assert {k: r["text"] for k, r in got.items()} == brute.kept_first(docs + extra)
+    assert suffix_dedup.remove_repeated(empty, keep_first=True).count() == 0
+    ties = [(None, passage), (None, passage + "x"), (3, "y" + passage), (3, "z" + passage)]
+    left = suffix_dedup.remove_repeated(spark.createDataFrame(ties, "doc_id long, text string"), keep_first=True)
+    assert sorted(len(r["text"]) > 300 for r in left.collect()) == [False] * 3 + [True]
+
+
 def test_suffix_chunks(monkeypatch):
     rnd = random.Random(4)
     data = np.frombuffer(bytes(rnd.randrange(97, 100) for _ in range(5000)), dtype=np.uint8)

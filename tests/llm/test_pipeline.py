@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 
 from tests.llm import brute
@@ -29,12 +28,7 @@ def test_stages(spark):
     assert lines == brute.line_dedup(list(quality.items()))
     found = brute.jaccard_components(list(lines.items()))
     assert near == {k: lines[k] for k, (_, component) in found.items() if component == k}
-    for k, (_, _, _, digest) in brute.suffix_dedup(list(near.items())).items():
-        whole = near[k].encode()
-        if hashlib.sha256(whole).hexdigest() == digest:
-            assert cut[k] == near[k]
-        else:
-            assert len(cut[k]) < len(near[k])
+    assert cut == brute.kept_first(list(near.items()))
     pieces = defaultdict(list)
     for r in kept[4].collect():
         pieces[r["sequence_id"]].append((r["offset"], r["length"]))
@@ -58,3 +52,17 @@ def test_near_copies_judges_null_and_repeated_ids_by_text(spark):
     assert len(either) == 1
     want = [rows[n] for n in (0, 1, 3, 7, 9, 10, 11, 12)] + [(None, either[0])]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_stages_take_empty_tables_and_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    kind = "doc_id long, text string, `x.y` string, row_key int, has_shingles int, component_id int, n int"
+    passage = " ".join(f"w{n}" for n in range(200))
+    rows = [(k, t, "v", 1, 2, 3, 4) for k, t in ((1, passage), (2, passage + " end"), (None, "own words"), (4, None))]
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, spark.createDataFrame([], kind), SF).count() == 0, name
+        got = stage(spark, spark.createDataFrame(rows, kind), SF)
+        assert got.columns == spark.createDataFrame(rows, kind).columns, name
+        assert {tuple(r)[2:] for r in got.collect()} <= {("v", 1, 2, 3, 4)}, name
+    assert corpus_pipeline.packing(spark, spark.createDataFrame([], kind), SF).count() == 0
