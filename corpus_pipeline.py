@@ -1,7 +1,8 @@
 """A training corpus from raw documents, stage by stage.
 
 Each stage takes what the one before kept and returns the columns of documents, but for the last, which
-returns the packed pieces.
+returns the packed pieces. Null and empty texts fail the quality rules; a stage given them by itself keeps them.
+An empty table gives an empty result. Columns of any name beside doc_id and text pass through.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slowdigest.llm.common import fresh, staged, table
+from slowdigest.llm.common import fresh, quoted, staged, table
 from slowdigest.llm.line_dedup import dedup_lines
 from slowdigest.llm.ngram_join import jaccard_components
 from slowdigest.llm.packing import pack
@@ -20,12 +21,12 @@ from slowdigest.llm.suffix_dedup import remove_repeated
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality rules reject."""
-    return apply_rules(docs, table(spark, sf_dir, "labels")).filter("kept").select(*docs.columns)
+    return apply_rules(docs, table(spark, sf_dir, "labels")).filter("kept").select(*quoted(docs.columns))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later repeats of runs of lines; ``n_chars`` follows the text."""
-    return _sized(dedup_lines(docs).select(*docs.columns))
+    return _sized(dedup_lines(docs).select(*quoted(docs.columns)))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,31 +35,31 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are known by a hash of id and text, so rows that share an id, or have none, are judged by their own text.
     Of rows equal in both, one stays.
     """
-    key, own = fresh(docs, "row_key"), F.xxhash64("doc_id", "text")
+    key, has, own = fresh(docs, "row_key"), fresh(docs, "has_shingles"), F.xxhash64("doc_id", "text")
     keyed = docs.withColumn(key, own)
     found = staged(
         jaccard_components(docs.select(own.alias("doc_id"), "text"))
         .groupBy(F.col("doc_id").alias(key), "component_id")
-        .agg(F.max(F.coalesce("n_shingles", F.lit(0)) > 0).alias("__has"), F.count("*").alias("__n"))
+        .agg(F.max(F.coalesce("n_shingles", F.lit(0)) > 0).alias(has), F.count("*").alias("n"))
     )
     ranked = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col(key))
     first = (
         keyed.select("doc_id", key)
         .distinct()
-        .join(found.filter("__has"), key)
+        .join(found.filter(has), key)
         .groupBy("component_id")
         .agg(F.min(ranked)[key].alias(key))
     )
-    stay = first.select(key, F.lit(True).alias("__has")).union(found.filter("not __has").select(key, "__has"))
+    stay = first.select(key, F.lit(True).alias(has)).union(found.filter(~F.col(has)).select(key, has))
     kept = keyed.join(stay, key)
-    if found.filter("__has and __n > 1").limit(1).count():
-        kept = kept.filter("__has").dropDuplicates([key]).unionByName(kept.filter("not __has"))
-    return kept.select(*docs.columns)
+    if found.filter(F.col(has) & (F.col("n") > 1)).limit(1).count():
+        kept = kept.filter(has).dropDuplicates([key]).unionByName(kept.filter(~F.col(has)))
+    return kept.select(*quoted(docs.columns))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut passages that occur elsewhere."""
-    return _sized(remove_repeated(docs).select(*docs.columns))
+    """Cut strings of 400 bytes that started earlier too; the first occurrence of a passage stays."""
+    return _sized(remove_repeated(docs, keep_first=True).select(*quoted(docs.columns)))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
