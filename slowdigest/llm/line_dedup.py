@@ -21,14 +21,17 @@ has the name of a result column is replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slowdigest.llm.common import GAP, NOT_GAP, fresh, staged
+from slowdigest.llm.common import NOT_GAP, fresh, staged
 
 RUN = 3
 #: Words that make a run of fewer lines long enough.
 WORDS = 50
+_OTHER_GAPS = r"[\x09\x0B\x0C\x0D]"
 
 
 def _real(lines: Column) -> Column:
@@ -40,9 +43,13 @@ def line_hashes(text: Column) -> Column:
 
 
 def word_counts(text: Column) -> Column:
-    """Words of each line with a word."""
-    count = lambda x: F.size(F.array_remove(F.split(x, GAP), ""))
-    return F.transform(_real(F.split(text, "\n")), count)
+    """Words of each line with a word.
+
+    Blanks only are split at: a pattern of more characters would be compiled for every line.
+    """
+    blanks = F.when(text.rlike(_OTHER_GAPS), F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text)
+    counts = F.transform(F.split(blanks, "\n"), lambda x: F.size(F.array_remove(F.split(x, " "), "")))
+    return F.filter(counts, lambda n: n > 0)
 
 
 def repeated_windows(docs: DataFrame, run: int = RUN, words: int | None = WORDS) -> DataFrame:
@@ -50,8 +57,12 @@ def repeated_windows(docs: DataFrame, run: int = RUN, words: int | None = WORDS)
     n = F.size("hs")
 
     def windows_of(size: int) -> Column:
+        at = F.sequence(F.lit(0), n - size)
+        if size < run:
+            total = lambda i: reduce(lambda a, b: a + b, (F.get("ws", i + d) for d in range(size)))
+            at = F.filter(at, lambda i: total(i) >= words)
         found = F.transform(
-            F.sequence(F.lit(0), n - size),
+            at,
             lambda i: F.struct(
                 i.alias("s"),
                 F.lit(size).alias("size"),
@@ -59,9 +70,6 @@ def repeated_windows(docs: DataFrame, run: int = RUN, words: int | None = WORDS)
                 F.xxhash64(F.slice("hs", i + 1, size)).alias("c"),
             ),
         )
-        if size < run:
-            total = lambda i: F.aggregate(F.slice("ws", i + 1, size), F.lit(0), lambda a, b: a + b)
-            found = F.filter(found, lambda w: total(w["s"]) >= words)
         return F.when(n >= size, found).otherwise(F.array())
 
     around = F.concat(*(windows_of(size) for size in range(1 if words is not None else run, run + 1)))
