@@ -421,12 +421,9 @@ def q_occurrences(spark, sf):
 
 
 def _exploded_pages(documents: DataFrame) -> DataFrame:
-    """One row per time; the digest's fields stand on page 0 and come back by their key."""
+    """One row per time."""
     return documents.select(
-        "query_hash",
-        F.coalesce("execution_count", F.lit(0)).alias("execution_count"),
-        "page",
-        F.posexplode("timestamps").alias("pos", "ts"),
+        "query_hash", "execution_count", "page", F.posexplode("timestamps").alias("pos", "ts")
     ).select("query_hash", "execution_count", "page", "pos", _naive("ts").alias("ts"))
 
 
@@ -439,7 +436,9 @@ def _stored(spark: SparkSession, records: DataFrame) -> DataFrame:
 
 def q_digest_documents(spark, sf):
     records = _stored(spark, _fingerprinted(spark, sf))
-    return _exploded_pages(digest_documents(digest(records), occurrences(records), page_size=PAGE))
+    return _exploded_pages(
+        digest_documents(digest(records), occurrences(records), page_size=PAGE, every_page=("execution_count",))
+    )
 
 
 def q_digest_documents_arrival(spark, sf):

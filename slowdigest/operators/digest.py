@@ -286,24 +286,35 @@ def _in_order(listed: Column) -> Column:
 
 
 def digest_documents(
-    digests: DataFrame, times: DataFrame, *, page_size: int = 10_000, order: str = "time"
+    digests: DataFrame,
+    times: DataFrame,
+    *,
+    page_size: int = 10_000,
+    order: str = "time",
+    every_page: tuple[str, ...] = (),
 ) -> DataFrame:
     """Digests with their occurrence times attached (``DOCUMENT_SCHEMA``).
 
     Most fingerprints give one row (page 0); one with more than ``page_size``
     times gives one row per page.  Page 0 holds the digest; later pages hold its key
-    and their times only, so a long statement is not stored once a page.
+    and their times only, so a long statement is not stored once a page.  Fields named in
+    ``every_page`` stand on later pages too: they ride with every slot, so name short ones.
 
     Each input is read once: the digest rides with the first slot of its times to
     page 0.  Times without a digest give no row.
     """
     _check_pages(page_size, order)
-    numbered, sizes = _positions(times, order)
     fields = [n for n in DIGEST_SCHEMA.names if n not in KEYS]
+    if not set(every_page) <= set(fields):
+        raise ValueError(f"every_page must name fields of a digest, not {every_page!r}")
+    numbered, sizes = _positions(times, order)
     own = digests.select(F.struct(*KEYS).alias("_key"), F.struct(*fields).alias("_body"))
     # One row per slot of a digest, or one without a slot; the first carries the body.
-    slots = own.join(_earlier(sizes), "_key", "left").withColumn(
-        "_body", F.when(F.coalesce("_before", F.lit(0)) == 0, F.col("_body"))
+    slots = own.join(_earlier(sizes), "_key", "left").withColumns(
+        {
+            "_body": F.when(F.coalesce("_before", F.lit(0)) == 0, F.col("_body")),
+            **{f"_every_{n}": F.col("_body")[n] for n in every_page},
+        }
     )
     placed = slots.join(numbered, ["_key", "_slot"], "left").withColumn(
         "_at", F.coalesce(F.col("_before") + F.col("_at") - 1, F.lit(0))
@@ -312,10 +323,12 @@ def digest_documents(
     carried = F.when(F.col("_at") == 0, F.col("_body"))
     pages = placed.groupBy("_key", F.floor(F.col("_at") / page_size).alias("page")).agg(
         F.any_value(carried, F.lit(True)).alias("_body"),
+        *(F.any_value(f"_every_{n}", F.lit(True)).alias(f"_every_{n}") for n in every_page),
         _in_order(F.collect_list(time)).alias("timestamps"),
     )
+    body = [F.col(f"_every_{n}" if n in every_page else f"_body.{n}").alias(n) for n in fields]
     return pages.select(
-        *(F.col(f"_key.{k}").alias(k) for k in KEYS), "_body.*", "page", "timestamps"
+        *(F.col(f"_key.{k}").alias(k) for k in KEYS), *body, "page", "timestamps"
     ).to(DOCUMENT_SCHEMA)
 
 

@@ -162,6 +162,37 @@ def test_documents_hold_the_digest_on_page_0(spark):
     assert len(docs) == 4
 
 
+@pytest.mark.parametrize("order", ["time", "arrival"])
+def test_named_fields_stand_on_every_page(spark, order):
+    rows = [list(record(i, i * 7 % 10, "SELECT hot")) for i in range(10)] + [list(record(90, None, "SELECT none"))]
+    rows += [list(record(20 + i, i, f"SELECT {'ab'[i % 2]}")) for i in range(12)]
+    for i, row in enumerate(rows):
+        row[0] = "db" if i % 3 else None
+    df = records(spark, [tuple(r) for r in rows])
+    times = occurrences(df) if order == "time" else first_arrivals(df)
+    known = digest(df, order=order)
+    docs = digest_documents(
+        known, times, page_size=2, order=order, every_page=("execution_count", "max_query_time")
+    ).collect()
+    whole = {(r.instance_id, r.query_hash): (r.execution_count, r.max_query_time) for r in known.collect()}
+    assert {(d.instance_id, d.query_hash) for d in docs} == set(whole) and max(d.page for d in docs) > 1
+    assert all((d.execution_count, d.max_query_time) == whole[d.instance_id, d.query_hash] for d in docs)
+    assert all((d.query is None) == (d.page > 0) for d in docs)
+    with pytest.raises(ValueError):
+        digest_documents(known, times, every_page=("page",))
+
+
+def test_document_queries_count_on_every_page(spark):
+    from checks.queries import q_digest_documents
+
+    rows = q_digest_documents(spark, "/root/testdata/sf0.001").collect()
+    counts = {}
+    for r in rows:
+        counts.setdefault(r.query_hash, set()).add(r.execution_count)
+    assert max(r.page for r in rows) > 0
+    assert all(len(c) == 1 and 0 not in c for c in counts.values())
+
+
 @pytest.mark.parametrize("order", ["time", "arrival"])
 def test_documents_of_odd_keys(spark, order):
     """Keys without an instance, digests without times, and times without a digest."""
