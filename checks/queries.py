@@ -452,6 +452,7 @@ def q_digest_documents_arrival(spark, sf):
             first_arrivals(records),
             page_size=PAGE,
             order="arrival",
+            every_page=("execution_count",),
         )
     )
 

@@ -182,10 +182,11 @@ def test_named_fields_stand_on_every_page(spark, order):
         digest_documents(known, times, every_page=("page",))
 
 
-def test_document_queries_count_on_every_page(spark):
-    from checks.queries import q_digest_documents
+@pytest.mark.parametrize("name", ["digest_documents", "digest_documents_arrival"])
+def test_document_queries_count_on_every_page(spark, name):
+    from checks.queries import QUERIES
 
-    rows = q_digest_documents(spark, "/root/testdata/sf0.001").collect()
+    rows = QUERIES[name](spark, "/root/testdata/sf0.001").collect()
     counts = {}
     for r in rows:
         counts.setdefault(r.query_hash, set()).add(r.execution_count)
