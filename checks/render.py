@@ -31,11 +31,18 @@ STATEMENTS = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, spread over the cores if its files give fewer partitions than that."""
+#: Rows of a partition; rendered as log blocks and parsed, they keep a task busy for half a minute at most.
+ROWS_PER_TASK = 50_000
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """A test table, spread over the cores and in partitions of bounded length.
+
+    A row of a few bytes becomes a log block of hundreds, so the size of the files says too little about the work.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    wanted = max(spark.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from checks.render import INSTANCE, events
+from checks.render import INSTANCE, events, table
 from checks.variants import GRAMMARS, variant_blocks, write_variants
 from slowdigest.operators.blocks import parse_blocks, split_blocks
 from slowdigest.plans.batch import slow_query_records
@@ -76,3 +76,18 @@ def test_unreadable_and_missing_counts_differ(spark):
     assert beyond.count() > 0 and beyond.filter("rows_sent is not null or rows_examined is null").count() == 0
     missing = parsed.filter(kind == by_name["no numbers"])
     assert missing.count() > 0 and missing.filter("rows_sent <> 0 or rows_examined <> 0").count() == 0
+
+
+def test_tasks_do_not_grow_with_the_table(spark, tmp_path):
+    """The text of a few bytes of events is long: rows, not bytes of files, bound what a task renders and parses."""
+    cores = spark.sparkContext.defaultParallelism
+    for copies in (2, 8):
+        folder = tmp_path / str(copies)
+        spark.range(copies * cores * 100).withColumnRenamed("id", "event_id").coalesce(1).write.parquet(
+            f"{folder}/events.parquet"
+        )
+        df = table(spark, str(folder), "events", rows_per_task=100)
+        rows = df.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        assert sum(rows) == copies * cores * 100
+        assert max(rows) <= 150
+    assert df.select("event_id").distinct().count() == copies * cores * 100
