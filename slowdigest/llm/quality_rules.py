@@ -27,7 +27,6 @@ BUCKETS = 1 << 14
 SCALE = 1 << 16
 MAX_LABELLED = 100_000
 SYMBOLS = "#*$%&|<>"
-GAPS = " \t\n\x0b\x0c\r"
 KEEP_SHARE = 0.995
 
 
@@ -41,8 +40,8 @@ def with_base(df: DataFrame, text: str = "text", weights: list[int] | None = Non
     out = out.withColumns(
         {
             "n_words": n.cast("long"),
-            "word_chars": F.length(F.translate(whole, GAPS, "")).cast("long"),
-            "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
+            "word_chars": F.length(F.array_join(w, "")).cast("long"),
+            "n_symbols": F.regexp_count(whole, F.lit(f"[{SYMBOLS}]")).cast("long"),
             "n_dup_lines": _let(lines, _surplus).cast("long"),
             **({"score": _score_of_words(F.col(w), weights)} if weights else {}),
             g: F.when(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -397,6 +398,20 @@ def test_suffix_dedup_keeps_first_occurrences(spark, frame, docs, empty, heavy,
     assert sorted(len(r["text"]) > 300 for r in left.collect()) == [False] * 3 + [True]
 
 
+def test_quality_counts_of_odd_characters_without_translate(spark):
+    from slowdigest.llm.quality_rules import with_base
+
+    rows = [(1, "a\tb\x0b#c&\x0cd\r\n*$ é\u2003ß&&"), (2, "#*$%&|<>[]^-"), (3, ""), (4, None), (5, " \n"), (6, "\U0001f600 |x|")]
+    df = with_base(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: (r["n_words"], r["word_chars"], r["n_symbols"]) for r in df.collect()}
+    want = {
+        k: (len(w := re.findall(r"[^\x20\x09-\x0D]+", t or "")), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")))
+        for k, t in rows
+    }
+    assert got == want
+    assert "translate(" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_suffix_chunks(monkeypatch):
     rnd = random.Random(4)
     data = np.frombuffer(bytes(rnd.randrange(97, 100) for _ in range(5000)), dtype=np.uint8)
