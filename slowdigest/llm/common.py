@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: Separators of words: space, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
 NOT_GAP = r"[^\x20\x09-\x0D]"
+#: Bits of the set that tells rows that a join may find; its words take 16 bytes each, 4 MB in all.
+FILTER_BITS = 1 << 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +89,24 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def marked(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, mark: str) -> DataFrame:
+    """``df`` with a boolean ``mark``: false only where no row of ``wanted`` has the key (both keys are hashes, longs).
+
+    The wanted keys become a bit set, broadcast as at most 4 MB of words however many they are; with more keys than bits
+    most rows are marked, which is still right.
+    """
+    low = F.lit(FILTER_BITS - 1).cast("bigint")
+    word = lambda x: F.shiftright(x.bitwiseAND(low), 6)
+    place = lambda x: x.bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+    at, bits = fresh(df, "filter_word"), fresh(df, "filter_bits")
+    one = F.lit(1).cast("bigint")
+    words = wanted.groupBy(word(wanted_key).alias(at)).agg(
+        F.bit_or(F.call_function("shiftleft", one, place(wanted_key))).alias(bits)
+    )
+    found = df.join(F.broadcast(words), word(key) == F.col(at), "left")
+    return found.withColumn(mark, F.coalesce(F.bit_get(F.col(bits), place(key)) == 1, F.lit(False))).drop(at, bits)
+
+
 def batches(columns: dict, step: int = 65536) -> Iterator[pa.RecordBatch]:
     """Arrow batches of bounded length from equally long arrays."""
     whole = pa.table(columns)

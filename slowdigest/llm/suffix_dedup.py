@@ -10,11 +10,13 @@ places), and the suffix carries the windows that chose it.
    bucket is sorted locally, and equal windows lie side by side. Suffixes with one leading gram never straddle
    two buckets. Leading grams with very many different contexts are compared window by window in one more
    aggregate instead.
-3. Repeated windows go back to all members of their class, join into runs, and are cut from the text.
+3. Repeated windows go back to all members of their class, join into runs, and are cut from the text. Texts are shuffled
+   only where a bit set of their keys says that they may be concerned.
 
 By default every occurrence goes. With ``keep_first`` a window is repeated only where an equal one starts earlier, by
 (id, text hash, place): members of a class but its first lose all windows, and the first ones of classes are compared in
-that order.
+that order. With ``passages`` texts are searched a second time, for shorter strings: bytes of runs that hold many words or
+reach ``length`` are counted beside the others (every occurrence, whatever ``keep_first`` says) and stay in the text.
 
 Defined cases: null and empty texts stay as they are, with no removed bytes; shorter texts than ``length``
 have no window. Matches never cross documents. A null id is an id like others. Rows equal in id and text
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slowdigest.llm.common import batches, fresh, mixed, quoted, staged
+from slowdigest.llm.common import batches, fresh, marked, mixed, quoted, staged
 
 LENGTH = 400
 GRAM = 100
@@ -102,13 +104,14 @@ def sampled(data: np.ndarray, length: int = LENGTH, gram: int = GRAM):
 
 def suffixes(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """(h, ctx, k, th, p, lo, hi): every sampled suffix of the rows (k, th, t)."""
+    gram = min(GRAM, length // 4)
 
     def run(parts):
         for batch in parts:
             held: list[list[np.ndarray]] = [[] for _ in range(7)]
             for k, th, t in zip(*(batch.column(x).to_pylist() for x in ("k", "th", "t"))):
                 data = np.frombuffer((t or "").encode(), dtype=np.uint8)
-                for place, first, last, h, ctx in sampled(data, length):
+                for place, first, last, h, ctx in sampled(data, length, gram):
                     n = len(place)
                     for column, x in zip(
                         held,
@@ -182,8 +185,9 @@ def repeated(rows: DataFrame, length: int = LENGTH, heavy: int = HEAVY, keep_fir
                 yield from batches({c: pa.array(*made[c]) for c in names}, 4096)
 
     names = ["h", "ctx", "before", "n", "kinds", "bytes", *(("k", "th", "p") if keep_first else ())]
+    key = F.xxhash64("k", "th")
     contexts = staged(
-        rows.join(
+        marked(rows, key, listed.filter("kinds > 1"), key, "mark").filter("mark").join(
             wanted.select(F.col("k").alias("__k"), F.col("th").alias("__th"), "places"),
             F.col("k").eqNullSafe(F.col("__k")) & (F.col("th") == F.col("__th")),
         )
@@ -284,6 +288,17 @@ def _later(h: int, held: dict, length: int):
         yield from batches(dict(zip(("h", "ctx", "a0", "a1"), (np.array(c, dtype=np.int64) for c in zip(*out)))))
 
 
+def _runs(spans) -> list[tuple[int, int]]:
+    """Maximal runs of spans that overlap or touch, in order."""
+    out: list[tuple[int, int]] = []
+    for b, e in sorted((x["b"], x["e"]) for x in spans):
+        if out and b <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((b, e))
+    return out
+
+
 def remove_repeated(
     docs: DataFrame,
     text: str = "text",
@@ -291,61 +306,76 @@ def remove_repeated(
     length: int = LENGTH,
     digest: bool = False,
     keep_first: bool = False,
+    passages: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``docs`` without the repeated bytes, and n_bytes, n_removed, n_spans and kept_sha256.
 
     With ``digest`` only the id and these four columns; with ``keep_first`` the first occurrence of a string stays.
+
+    ``passages`` (bytes, words) adds n_passage_bytes: bytes covered by strings of so many bytes that also start elsewhere, in
+    maximal runs that have more than so many words, or ``length`` bytes.
     """
-    k, th, spans, found_k, found_th = (fresh(docs, x) for x in ("k", "th", "spans", "found_k", "found_th"))
+    k, th, spans, short, found_k, found_th, mark = (
+        fresh(docs, x) for x in ("k", "th", "spans", "short", "found_k", "found_th", "mark")
+    )
     keyed = docs.withColumns({k: F.col(doc_id).cast("long"), th: F.xxhash64(F.coalesce(text, F.lit("")))})
     if digest:
         keyed = keyed.select(doc_id, k, th, text)
     rows = keyed.select(F.col(k).alias("k"), F.col(th).alias("th"), F.col(text).alias("t"))
     found = repeated(rows, length, keep_first=keep_first).toDF(found_k, found_th, spans)
-    both = keyed.join(found, F.col(k).eqNullSafe(F.col(found_k)) & (F.col(th) == F.col(found_th)), "left").drop(
-        found_k, found_th, k, th
+    kind = found.schema[spans].dataType
+    empty = F.lit(None).cast(kind)
+    found = found.withColumn(short, empty)
+    if passages:
+        more = repeated(rows, passages[0]).toDF(found_k, found_th, short).withColumn(spans, empty)
+        found = found.unionByName(more).groupBy(found_k, found_th)
+        found = found.agg(*(F.first(x, ignorenulls=True).alias(x) for x in (spans, short)))
+    found = staged(found)
+    keyed = marked(keyed, F.xxhash64(k, th), found, F.xxhash64(found_k, found_th), mark)
+    both = keyed.filter(mark).join(
+        found, F.col(k).eqNullSafe(F.col(found_k)) & (F.col(th) == F.col(found_th)), "left"
     )
-    drop = {"n_bytes", "n_removed", "n_spans", "kept_sha256"}
+    rest = keyed.filter(~F.col(mark)).withColumns({spans: empty, short: empty})
+    both = both.drop(found_k, found_th).unionByName(rest).drop(k, th, mark)
+    counts = ["n_bytes", "n_removed", "n_spans", *(["n_passage_bytes"] if passages else [])]
+    drop = {*counts, "kept_sha256"}
     kept = [c for c in docs.columns if c.lower() not in drop]
     kept = [doc_id] if digest else kept
     # Names with dots cannot be handed to Arrow functions; positions can.
-    carried = list({c: None for c in [*kept, text, spans]})
+    carried = list({c: None for c in [*kept, text, spans, short]})
     at_of = {c: f"c{n}" for n, c in enumerate(carried)}
     both = both.select(*(F.col(q).alias(at_of[c]) for c, q in zip(carried, quoted(carried))))
-    text_at, spans_at, kept_at = at_of[text], at_of[spans], [at_of[c] for c in kept]
+    text_at, spans_at, short_at, kept_at = at_of[text], at_of[spans], at_of[short], [at_of[c] for c in kept]
 
     def cut(parts):
         for batch in parts:
-            out: list[list] = [[] for _ in range(5)]
-            for t, found in zip(batch.column(text_at).to_pylist(), batch.column(spans_at).to_pylist()):
+            out: list[list] = [[] for _ in range(len(counts) + 2)]
+            for t, found, more in zip(*(batch.column(x).to_pylist() for x in (text_at, spans_at, short_at))):
                 raw = (t or "").encode()
-                pieces, at, removed, runs = [], 0, 0, 0
-                end = -1
-                for x in sorted((x["b"], x["e"]) for x in found or ()):
-                    if x[0] > end:
-                        runs += 1
-                        pieces.append(raw[max(at, 0) : x[0]])
-                        removed += x[1] - x[0]
-                    elif x[1] > end:
-                        removed += x[1] - end
-                    end = max(end, x[1])
-                    at = end
+                gone = _runs(found or ())
+                pieces, at = [], 0
+                for b, e in gone:
+                    pieces.append(raw[at:b])
+                    at = e
                 pieces.append(raw[at:])
                 left = b"".join(pieces)
-                values = (len(raw), removed, runs, hashlib.sha256(left).hexdigest())
-                for column, value in zip(out, (*values, None if t is None else left.decode("utf-8", "ignore"))):
+                numbers = [len(raw), sum(e - b for b, e in gone), len(gone)]
+                if passages:
+                    long = (e - b for b, e in _runs(more or ()) if e - b >= length or len(raw[b:e].split()) > passages[1])
+                    numbers.append(sum(long))
+                values = (None if t is None else left.decode("utf-8", "ignore"), *numbers, hashlib.sha256(left).hexdigest())
+                for column, value in zip(out, values):
                     column.append(value)
             columns = {c: batch.column(c) for c in kept_at}
             if not digest:
-                columns[text_at] = pa.array(out[4], pa.string())
-            for c, v, kind in zip(
-                ("n_bytes", "n_removed", "n_spans", "kept_sha256"), out, [pa.int64()] * 3 + [pa.string()]
-            ):
-                columns[c] = pa.array(v, kind)
+                columns[text_at] = pa.array(out[0], pa.string())
+            for c, v in zip(counts, out[1:]):
+                columns[c] = pa.array(v, pa.int64())
+            columns["kept_sha256"] = pa.array(out[-1], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = T.StructType([T.StructField(at_of[c], docs.schema[c].dataType) for c in kept])
-    for c in ("n_bytes", "n_removed", "n_spans"):
+    for c in counts:
         schema = schema.add(c, T.LongType())
     return both.mapInArrow(cut, schema.add("kept_sha256", T.StringType())).withColumnsRenamed(
         {at: c for c, at in at_of.items() if c in kept}

@@ -133,6 +133,26 @@ def kept_first(docs, length=400):
     return out
 
 
+def passage_bytes(docs, length=250, words=50, whole=400):
+    """Bytes in runs of repeated strings of ``length`` bytes that have over ``words`` words or ``whole`` bytes."""
+    raw = {k: (t or "").encode() for k, t in docs}
+    at = Counter(b[i : i + length] for b in raw.values() for i in range(len(b) - length + 1))
+    out = {}
+    for k, b in raw.items():
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if at[b[i : i + length]] > 1:
+                gone[i : i + length] = b"\x01" * length
+        runs, i = [], 0
+        while (i := gone.find(1, i)) >= 0:
+            end = gone.find(0, i)
+            end = len(b) if end < 0 else end
+            runs.append(b[i:end])
+            i = end
+        out[k] = sum(len(x) for x in runs if len(x) >= whole or len(x.split()) > words)
+    return out
+
+
 def suffix_dedup(docs, length=400):
     at = Counter()
     raw = [(k, (t or "").encode()) for k, t in docs]

@@ -412,6 +412,27 @@ def test_quality_counts_of_odd_characters_without_translate(spark):
     assert "translate(" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_suffix_dedup_counts_shorter_passages(spark, frame, docs):
+    """Repeats below 400 bytes count with over 50 words; the columns of the 400 bytes stay as they are."""
+    own = lambda c: " ".join(f"{c}{i}own" for i in range(40))
+    passage = " ".join(f"m{n:03}" for n in range(52))  # 259 bytes
+    phrase = " ".join(f"long{n:04}" for n in range(30))  # 269 bytes, 30 words
+    lengthy = " ".join(f"verylongword{n:08}" for n in range(25))  # 524 bytes, 25 words
+    shared = [passage, passage, phrase, phrase, lengthy, lengthy]
+    extra = [(30_000 + n, f"{own(f'a{n}x')} {x} {own(f'b{n}x')}") for n, x in enumerate(shared)] + [(None, None), (None, "")]
+    rows = docs + extra
+    df = frame.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string")).repartition(4)
+    got = by_id(suffix_dedup.remove_repeated(df, digest=True, passages=(250, 50)).filter("doc_id is not null"))
+    plain = by_id(suffix_dedup.remove_repeated(df, digest=True).filter("doc_id is not null"))
+    assert {k: {c: v for c, v in r.asDict().items() if c != "n_passage_bytes"} for k, r in got.items()} == {
+        k: r.asDict() for k, r in plain.items()
+    }
+    n = {k: r["n_passage_bytes"] for k, r in got.items()}
+    assert [n[30_000 + i] >= len(x) for i, x in enumerate(shared)] == [True, True, False, False, True, True]
+    assert n == brute.passage_bytes([r for r in rows if r[0] is not None])
+    assert any(n[k] and not r["n_removed"] for k, r in got.items() if k < 30_000)
+
+
 def test_suffix_chunks(monkeypatch):
     rnd = random.Random(4)
     data = np.frombuffer(bytes(rnd.randrange(97, 100) for _ in range(5000)), dtype=np.uint8)
