@@ -58,8 +58,8 @@ CHUNK = 1 << 20
 #: The table of counts has one bucket for 64 bytes of text, within these bounds; only the order depends on it.
 LEAST_BITS, MOST_BITS = 16, 22
 SLICE = 1 << 12
-#: Bits of a class's bitmap.
-SIGNATURE = 1024
+#: Bits of a class's bitmap: the power of two from twice its shingles on, within these bounds.
+LEAST_SIGNATURE, MOST_SIGNATURE = 64, 1 << 18
 #: The filter of wanted texts takes 16 bits a text, at most 32 MB.
 MOST_FILTER_BITS = 28
 _BASE = 0xD1342543DE82EF95
@@ -179,12 +179,33 @@ def often_of(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> bytes:
-    """A bitmap with the places of all shingles, by their last bits."""
-    bits = np.zeros(SIGNATURE, dtype=bool)
-    bits[(found % np.uint64(SIGNATURE)).astype(np.int64)] = True
+    """A bitmap with the places of all shingles, by their last bits; it grows with the set, so that few share a place."""
+    size = min(max(1 << (2 * len(found) - 1).bit_length(), LEAST_SIGNATURE), MOST_SIGNATURE)
+    bits = np.zeros(size, dtype=bool)
+    bits[(found % np.uint64(size)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
+def most_common(na: np.ndarray, sa: list[bytes], nb: np.ndarray, sb: list[bytes]) -> np.ndarray:
+    """The most shingles that pairs of sets of these sizes and bitmaps can share.
+
+    A place that only one bitmap has stands for a shingle or more that the other set lacks. The longer bitmap of two is
+    folded to the length of the other.
+    """
+    out = np.zeros(len(sa), dtype=np.int64)
+    lengths = np.array([[len(x), len(y)] for x, y in zip(sa, sb)], dtype=np.int64).reshape(-1, 2)
+    for la, lb in np.unique(lengths, axis=0):
+        at = np.flatnonzero((lengths[:, 0] == la) & (lengths[:, 1] == lb))
+        least = min(la, lb)
+        x, y = (
+            np.bitwise_or.reduce(np.frombuffer(b"".join(s[i] for i in at), np.uint8).reshape(len(at), -1, least), axis=1)
+            for s in (sa, sb)
+        )
+        only_a, only_b = (np.bitwise_count(v).sum(1, dtype=np.int64) for v in (x & ~y, y & ~x))
+        out[at] = np.minimum(na[at] - only_a, nb[at] - only_b)
+    return out
+
+
 def frequent_from(counts: np.ndarray, frequent: int = FREQUENT) -> float:
     """Shingles whose bucket counts more are frequent: ``frequent`` above what chance gives most buckets."""
     usual = float(np.median(counts))
@@ -477,10 +498,7 @@ def _cross(rows: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the bitmaps of their sets let reach the overlap.
-
-    A place that only one bitmap has stands for a shingle or more that the other set lacks.
-    """
+    """The pairs (a, b) that the bitmaps of their sets let reach the overlap."""
     sigs = classes.select("cls", "n", "sig")
     both = pairs.select("a", "b").distinct()
     for x in ("a", "b"):
@@ -491,11 +509,7 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             if not len(batch):
                 continue
             na, nb = (batch.column(x).to_numpy() for x in ("na", "nb"))
-            sa, sb = (
-                np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint8).reshape(len(batch), -1)
-                for x in ("sa", "sb")
-            )
-            most = np.minimum(na - np.bitwise_count(sa & ~sb).sum(1, dtype=np.int64), nb - np.bitwise_count(sb & ~sa).sum(1, dtype=np.int64))
+            most = most_common(na, batch.column("sa").to_pylist(), nb, batch.column("sb").to_pylist())
             mask = pa.array((100 + PERCENT) * most >= PERCENT * (na + nb))
             yield pa.RecordBatch.from_pydict({x: batch.column(x).filter(mask) for x in ("a", "b")})
 
@@ -505,7 +519,8 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """(cls, found) of all classes in the pairs (a, b), and few others; one text of a class is read.
 
-    A broadcast bitmap of the wanted texts' hashes keeps the other texts out of the pass.
+    A broadcast bitmap of the wanted texts' hashes keeps the other texts out of the pass. The sets are for one ``probe``,
+    which takes them from the shuffle that makes them one a class, without another.
     """
     wanted = staged(
         classes.select("cls", "th").join(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls")
@@ -536,7 +551,7 @@ def sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"cls": pa.array(cls, pa.int64()), "found": pa.array(found, pa.binary())})
 
     fetched = rows.select("th", "t").mapInArrow(fetch, "cls long, found binary")
-    return staged(fetched.groupBy("cls").agg(F.first("found").alias("found")))
+    return fetched.groupBy("cls").agg(F.first("found").alias("found"))
 
 
 def probe(pairs: DataFrame, sets: DataFrame, shared, limit: float) -> DataFrame:
@@ -594,17 +609,16 @@ def jaccard_components(
     stars = members.filter("near and cls <> rep").select("cls", "rep")
     candidates = line_candidates(lists).union(centre_candidates(lists, members)).distinct()
     candidates = staged(plausible(candidates, classes))
-    sets = sets_of(candidates, classes, rows)
     # Each class meets its smallest candidate first; the others only where that leaves two components.
-    nearest = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = staged(probe(nearest, sets, shared, limit).select("a", "b").union(stars))
+    nearest = staged(candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    first = staged(probe(nearest, sets_of(nearest, classes, rows), shared, limit).select("a", "b").union(stars))
     apart = candidates
     known_parts = components(first)
     for x in ("a", "b"):
         part = known_parts.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
         apart = apart.join(part, x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
-    apart = apart.filter("ca <> cb").select("a", "b").join(nearest, ["a", "b"], "left_anti")
-    more = staged(probe(apart, sets, shared, limit).select("a", "b"))
+    apart = staged(apart.filter("ca <> cb").select("a", "b").join(nearest, ["a", "b"], "left_anti"))
+    more = staged(probe(apart, sets_of(apart, classes, rows), shared, limit).select("a", "b"))
     first = first.union(more)
     labels = components(first)
     opened = members.filter("not near").select(F.col("rep").alias("cls")).distinct().withColumn("open", F.lit(True))
@@ -623,8 +637,7 @@ def jaccard_components(
         )
     )
     counted = staged(plausible(occurrences(lists, attributes, block), classes))
-    sets = sets_of(counted, classes, rows)
-    second = staged(probe(counted, sets, shared, limit))
+    second = staged(probe(counted, sets_of(counted, classes, rows), shared, limit))
     second = second.select("a", "b").union(further_links(second, members))
     final = components(first.union(second)) if second.limit(1).count() else labels
     named = (

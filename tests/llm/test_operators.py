@@ -160,6 +160,25 @@ def test_ngram_join_links_through_rows_without_id(spark):
     assert sorted(map(repr, (tuple(r)[:3] for r in got))) == sorted(map(repr, want))
 
 
+def test_ngram_join_bitmaps_tell_large_sets_apart(spark):
+    rnd = np.random.default_rng(3)
+    sets, pairs, reached, far = [], [], set(), set()
+    for n, m in [(40, 40), (2000, 2000), (2040, 2070), (8000, 8500), (150_000, 150_000)]:  # bitmaps of two lengths, and the longest
+        for share in (0.5, 0.7, 0.85, 0.86, 0.9, 1.0):
+            both = int(share * n)
+            a, b = (np.unique(np.concatenate([x, rnd.integers(0, 1 << 64, k - both, dtype=np.uint64)])) for x, k in zip([rnd.integers(0, 1 << 64, both, dtype=np.uint64)] * 2, (n, m)))
+            pairs.append((len(sets), len(sets) + 1))
+            if both >= ngram_join.required(n, m):
+                reached.add(pairs[-1])
+            elif share <= 0.7 and 2000 <= n <= 8000:
+                far.add(pairs[-1])
+            sets += [a, b]
+    classes = spark.createDataFrame([(k, len(s), ngram_join.signature(s)) for k, s in enumerate(sets)], "cls long, n long, sig binary")
+    kept = {tuple(r) for r in ngram_join.plausible(spark.createDataFrame(pairs, "a long, b long"), classes).collect()}
+    assert len(reached) > 10 and len(far) == 6
+    assert reached <= kept and not far & kept
+
+
 def check_shards(rows, docs, shards, slack):
     seen, sizes = defaultdict(list), Counter()
     text = dict(docs)
