@@ -16,7 +16,8 @@ places), and the suffix carries the windows that chose it.
 By default every occurrence goes. With ``keep_first`` a window is repeated only where an equal one starts earlier, by
 (id, text hash, place): members of a class but its first lose all windows, and the first ones of classes are compared in
 that order. With ``passages`` texts are searched a second time, for shorter strings: bytes of runs that hold many words or
-reach ``length`` are counted beside the others (every occurrence, whatever ``keep_first`` says) and stay in the text.
+reach ``length`` are counted beside the others (every occurrence, whatever ``keep_first`` says) and stay in the text. With
+``cut_passages`` they go too, and ``keep_first`` holds for them as for the others.
 
 Defined cases: null and empty texts stay as they are, with no removed bytes; shorter texts than ``length``
 have no window. Matches never cross documents. A null id is an id like others. Rows equal in id and text
@@ -307,13 +308,14 @@ def remove_repeated(
     digest: bool = False,
     keep_first: bool = False,
     passages: tuple[int, int] | None = None,
+    cut_passages: bool = False,
 ) -> DataFrame:
     """``docs`` without the repeated bytes, and n_bytes, n_removed, n_spans and kept_sha256.
 
     With ``digest`` only the id and these four columns; with ``keep_first`` the first occurrence of a string stays.
 
     ``passages`` (bytes, words) adds n_passage_bytes: bytes covered by strings of so many bytes that also start elsewhere, in
-    maximal runs that have more than so many words, or ``length`` bytes.
+    maximal runs that have more than so many words, or ``length`` bytes. With ``cut_passages`` these runs are removed as well.
     """
     k, th, spans, short, found_k, found_th, mark = (
         fresh(docs, x) for x in ("k", "th", "spans", "short", "found_k", "found_th", "mark")
@@ -327,7 +329,7 @@ def remove_repeated(
     empty = F.lit(None).cast(kind)
     found = found.withColumn(short, empty)
     if passages:
-        more = repeated(rows, passages[0]).toDF(found_k, found_th, short).withColumn(spans, empty)
+        more = repeated(rows, passages[0], keep_first=keep_first and cut_passages).toDF(found_k, found_th, short).withColumn(spans, empty)
         found = found.unionByName(more).groupBy(found_k, found_th)
         found = found.agg(*(F.first(x, ignorenulls=True).alias(x) for x in (spans, short)))
     found = staged(found)
@@ -353,6 +355,12 @@ def remove_repeated(
             for t, found, more in zip(*(batch.column(x).to_pylist() for x in (text_at, spans_at, short_at))):
                 raw = (t or "").encode()
                 gone = _runs(found or ())
+                if passages:
+                    long = [
+                        x for x in _runs(more or ()) if x[1] - x[0] >= length or len(raw[x[0] : x[1]].split()) > passages[1]
+                    ]
+                    if cut_passages:
+                        gone = _runs([{"b": b, "e": e} for b, e in gone + long])
                 pieces, at = [], 0
                 for b, e in gone:
                     pieces.append(raw[at:b])
@@ -361,8 +369,7 @@ def remove_repeated(
                 left = b"".join(pieces)
                 numbers = [len(raw), sum(e - b for b, e in gone), len(gone)]
                 if passages:
-                    long = (e - b for b, e in _runs(more or ()) if e - b >= length or len(raw[b:e].split()) > passages[1])
-                    numbers.append(sum(long))
+                    numbers.append(sum(e - b for b, e in long))
                 values = (None if t is None else left.decode("utf-8", "ignore"), *numbers, hashlib.sha256(left).hexdigest())
                 for column, value in zip(out, values):
                     column.append(value)

@@ -153,6 +153,25 @@ def passage_bytes(docs, length=250, words=50, whole=400):
     return out
 
 
+def kept_first_passages(docs, length=250, words=50, whole=400):
+    """Texts without repeats that start earlier: strings of ``whole`` bytes, and runs of strings of ``length`` with many words."""
+    seen, out = {length: set(), whole: set()}, {}
+    for k, t in sorted(docs, key=lambda d: d[0]):
+        b = (t or "").encode()
+        gone = {size: bytearray(len(b)) for size in seen}
+        for size, flags in gone.items():
+            for i in range(len(b) - size + 1):
+                if b[i : i + size] in seen[size]:
+                    flags[i : i + size] = b"\x01" * size
+                seen[size].add(b[i : i + size])
+        for m in re.finditer(b"\x01+", bytes(gone[length])):
+            i, end = m.span()
+            if end - i >= whole or len(b[i:end].split()) > words:
+                gone[whole][i:end] = b"\x01" * (end - i)
+        out[k] = t and bytes(x for x, g in zip(b, gone[whole]) if not g).decode("utf-8", "ignore")
+    return out
+
+
 def suffix_dedup(docs, length=400):
     at = Counter()
     raw = [(k, (t or "").encode()) for k, t in docs]

@@ -452,6 +452,27 @@ def test_suffix_dedup_counts_shorter_passages(spark, frame, docs):
     assert any(n[k] and not r["n_removed"] for k, r in got.items() if k < 30_000)
 
 
+def test_suffix_dedup_cuts_shorter_passages_on_request(spark, frame, docs):
+    """Later occurrences of over 50 words go below 400 bytes too, the first one and repeats of few words stay."""
+    own = lambda c: " ".join(f"{c}{i}own" for i in range(40))
+    passage = " ".join(f"m{n:03}" for n in range(52))  # 259 bytes
+    phrase = " ".join(f"long{n:04}" for n in range(30))  # 269 bytes, 30 words
+    shared = [passage, passage, phrase, phrase, passage]
+    extra = [(30_000 + n, f"{own(f'a{n}x')} {x} {own(f'b{n}x')}") for n, x in enumerate(shared)]
+    odd = [(None, None), (None, ""), (40_000, f"{own('c')} {passage[::-1]} {own('d')} {passage[::-1]} {own('e')}")]
+    df = frame.select("doc_id", "text").union(spark.createDataFrame(extra + odd, "doc_id long, text string")).repartition(4)
+    keep = dict(keep_first=True, passages=(250, 50))
+    got = by_id(suffix_dedup.remove_repeated(df, cut_passages=True, **keep).filter("doc_id is not null"))
+    want = brute.kept_first_passages(docs + extra + odd[2:])
+    assert {k: r["text"] for k, r in got.items()} == want
+    assert [x in got[30_000 + n]["text"] for n, x in enumerate(shared)] == [True, False, True, True, False]
+    assert got[40_000]["text"].count(passage[::-1]) == 1
+    # Without the request texts stay as the 400 bytes leave them.
+    plain = by_id(suffix_dedup.remove_repeated(df, **keep).filter("doc_id is not null"))
+    assert {k: r["text"] for k, r in plain.items()} == brute.kept_first(docs + extra + odd[2:])
+    assert suffix_dedup.remove_repeated(df.limit(0), cut_passages=True, **keep).count() == 0
+
+
 def test_suffix_chunks(monkeypatch):
     rnd = random.Random(4)
     data = np.frombuffer(bytes(rnd.randrange(97, 100) for _ in range(5000)), dtype=np.uint8)
